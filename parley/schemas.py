@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructType, TimestampNTZType
 
+_TYPES = {"string": StringType(), "int": IntegerType(), "timestamp_ntz": TimestampNTZType()}
 
-def ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
+
+def _table(columns: str) -> StructType:
+    """A flat schema out of ``name type, name type``, without asking a session."""
+    schema = StructType()
+    for column in columns.split(","):
+        name, kind = column.split()
+        schema = schema.add(name, _TYPES[kind])
+    return schema
 
 
 # -- decoded pages ----------------------------------------------------------------------
@@ -40,37 +47,37 @@ FLAT_FILES = "array<struct<id string, channel string, name string, time string,
 # -- entity tables ------------------------------------------------------------------------
 
 ENTITIES = {
-    "user_data": ddl(
+    "user_data": _table(
         "id string, name string, real_name string, tz string, email string, batch string"
     ),
-    "channel_data": ddl(
+    "channel_data": _table(
         "id string, name string, type string, class string, is_archived string, is_private string"
     ),
-    "message_data": ddl(
+    "message_data": _table(
         "channel string, type string, subtype string, ts string, thread_ts string,"
         " time timestamp_ntz, reply_count int, user_id string, text string"
     ),
-    "thread_data": ddl(
+    "thread_data": _table(
         "channel string, type string, subtype string, ts string, thread_ts string,"
         " time timestamp_ntz, user_id string, text string"
     ),
-    "reaction_data": ddl(
+    "reaction_data": _table(
         "channel string, ts string, thread_ts string, user_id string, reaction string"
     ),
-    "file_data": ddl(
+    "file_data": _table(
         "id string, channel string, name string, time timestamp_ntz, user_id string"
     ),
-    "poll_data": ddl(
+    "poll_data": _table(
         "poll_id string, ts string, time timestamp_ntz, text string,"
         " vote_item string, vote_count int"
     ),
-    "role_data": ddl("id string, name string, user_id string"),
+    "role_data": _table("id string, name string, user_id string"),
 }
 
 REFERENCES = {
-    "channel_ref": ddl("id string, index int, category_name string, category_index int"),
-    "zone": ddl("ISO string, TZ string"),
-    "country": ddl("ISO2 string, COUNTRY string"),
+    "channel_ref": _table("id string, index int, category_name string, category_index int"),
+    "zone": _table("ISO string, TZ string"),
+    "country": _table("ISO2 string, COUNTRY string"),
 }
 
 # Columns shared by messages and thread replies.

@@ -6,13 +6,12 @@ itself does not name its channel or parent message: these stand in the file name
 
 from __future__ import annotations
 
-import ast
-import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from parley.sources.files import glob_names
 
@@ -64,18 +63,26 @@ def page_keys(pages: DataFrame) -> DataFrame:
     )
 
 
-def _literal_to_json(text: str | None) -> str | None:
-    if text is None:
-        return None
-    try:
-        return json.dumps(ast.literal_eval(text))
-    except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
-        return None
+def literal_json(value: Column | str) -> Column:
+    """JSON text of a Python literal, null where the text is none."""
 
+    def to_json(text: str | None) -> str | None:
+        # Imported here: the function travels to workers which need not have this package.
+        import ast
+        import json
 
-@F.pandas_udf("string")
-def literal_json(values: pd.Series) -> pd.Series:
-    return values.map(_literal_to_json)
+        if text is None:
+            return None
+        try:
+            return json.dumps(ast.literal_eval(text))
+        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+            return None
+
+    @F.pandas_udf(StringType())
+    def convert(values: pd.Series) -> pd.Series:
+        return values.map(to_json)
+
+    return convert(value)
 
 
 def decode_literal(pages: DataFrame) -> DataFrame:
@@ -108,6 +115,8 @@ def process_pages(
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import json
+
         for batch in batches:
             for name, text in zip(batch["file_name"], batch["json"]):
                 yield function(infile=name, result=json.loads(text), **arguments)
