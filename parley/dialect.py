@@ -18,6 +18,8 @@ class Dialect:
     geo: bool
     # Reply pages, thread tables and the per-thread metrics exist.
     threads: bool
+    # The count metrics are part of a run.
+    counts: bool
     # Names of the exported metric columns.
     upper_case: bool
     user_column: str
@@ -32,6 +34,7 @@ SLACK = Dialect(
     link_tag=r"(?d)<(.*?)>",
     geo=True,
     threads=True,
+    counts=True,
     upper_case=False,
     user_column="user_id",
 )
@@ -44,6 +47,7 @@ DISCORD = Dialect(
     link_tag=None,
     geo=False,
     threads=False,
+    counts=False,
     upper_case=True,
     user_column="user",
 )
