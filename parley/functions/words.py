@@ -26,14 +26,17 @@ CUTS = (
     ("[.]( |$)", " "),
     ("([nN]'[tT]|'(s|S|m|M|d|D|ll|LL|re|RE|ve|VE)?)( |$)", " "),
     ("(^| )'", " "),
+    ("(^| )([cC]an)(not)( |$)", " $2 $3 "),
+    ("(^| )([gG]on|[wW]an)(na)( |$)", " $2 $3 "),
+    ("(^| )([gG]ot)(ta)( |$)", " $2 $3 "),
+    ("(^| )([gG]im|[lL]em)(me)( |$)", " $2 $3 "),
 )
 
 # Words written together which count as two.
-JOINED = {
-    "cannot": "can not", "Cannot": "Can not", "gonna": "gon na", "Gonna": "Gon na",
-    "wanna": "wan na", "Wanna": "Wan na", "gotta": "got ta", "Gotta": "Got ta",
-    "gimme": "gim me", "Gimme": "Gim me", "lemme": "lem me", "Lemme": "Lem me",
-}
+JOINED = (
+    "cannot", "Cannot", "gonna", "Gonna", "wanna", "Wanna", "gotta", "Gotta",
+    "gimme", "Gimme", "lemme", "Lemme",
+)
 
 # English stop words.
 STOP_WORDS = tuple(
@@ -101,6 +104,12 @@ IRREGULAR = {
     "taught": "teach", "thought": "think", "told": "tell", "took": "take",
     "understood": "understand", "went": "go", "won": "win", "written": "write",
     "wrote": "write",
+    "applied": "apply", "carried": "carry", "replied": "reply", "studied": "study",
+    "tried": "try", "worried": "worry", "beginning": "begin", "dropped": "drop",
+    "dropping": "drop", "forgetting": "forget", "getting": "get", "letting": "let",
+    "planned": "plan", "planning": "plan", "preferred": "prefer", "preferring": "prefer",
+    "putting": "put", "running": "run", "setting": "set", "sitting": "sit",
+    "stopped": "stop", "stopping": "stop", "winning": "win",
 }
 
 
@@ -110,16 +119,12 @@ def chunks(text: Column | str) -> Column:
 
 def chunk_tokens(chunk: Column) -> Column:
     """Tokens of one chunk. Most chunks are a token already; only the others are cut."""
-    joined = F.create_map(*[F.lit(x) for pair in JOINED.items() for x in pair])
     cut = chunk
     for pattern, replacement in CUTS:
         cut = F.regexp_replace(cut, pattern, replacement)
     inner = F.filter(F.split(cut, " "), lambda t: t.rlike(LETTERS_AND_DIGITS))
-    return (
-        F.when(chunk.isin(*JOINED), F.split(F.try_element_at(joined, chunk), " "))
-        .when(chunk.rlike(LETTERS_AND_DIGITS), F.array(chunk))
-        .otherwise(inner)
-    )
+    whole = chunk.rlike(LETTERS_AND_DIGITS) & ~chunk.isin(*JOINED)
+    return F.when(whole, F.array(chunk)).otherwise(inner)
 
 
 def tokens(text: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parley.functions.words import CUTS, IRREGULAR, JOINED, LETTERS_AND_DIGITS, SEPARATORS, STOP_WORDS, VERB_ENDINGS, VERBS
+from parley.functions.words import CUTS, IRREGULAR, LETTERS_AND_DIGITS, SEPARATORS, STOP_WORDS, VERB_ENDINGS, VERBS
 
 ISO = "strftime(time, '%Y-%m-%dT%H:%M:%S.000')"
 
@@ -135,9 +135,8 @@ def _chunk_tokens(chunk: str) -> str:
     for pattern, replacement in CUTS:
         new = replacement.replace("$", "\\")
         cut = f"regexp_replace({cut}, {_quoted(pattern)}, {_quoted(new)}, 'g')"
-    pairs = " ".join(f"WHEN {_quoted(a)} THEN {_quoted(b)}" for a, b in JOINED.items())
     return (
-        f"list_filter(string_split(CASE {chunk} {pairs} ELSE {cut} END, ' '),"
+        f"list_filter(string_split({cut}, ' '),"
         f" lambda t: regexp_matches(t, {_quoted(LETTERS_AND_DIGITS)}))"
     )
 

@@ -18,7 +18,7 @@ from parley.operators.merge import SPECS, UNCHANGED, changes, replay
 from parley.plans.workspace import MASTER, Workspace
 from parley.schemas import ENTITIES
 from parley.sources import page_tables
-from parley.sources.files import list_batches
+from parley.sources.files import exists, list_batches
 from parley.sources.pages import bad_pages, normalize_pages_to_json, read_pages
 
 
@@ -33,7 +33,7 @@ def _kinds(ws: Workspace) -> tuple[str, ...]:
 
 
 def _pages(ws: Workspace, batch: str, kind: str) -> DataFrame:
-    return ws.spark.read.parquet(ws.pages_path(batch, kind))
+    return ws.spark.read.schema("file_name string, json string").parquet(ws.pages_path(batch, kind))
 
 
 # -- stage 1 ----------------------------------------------------------------------------------
@@ -105,7 +105,7 @@ def rebuild_master(ws: Workspace) -> list[str]:
     batches = list_batches(ws.spark, ws.home)
     rebuilt = []
     for name in ws.entities:
-        ready = [b for b in batches if not ws.table(b, name).isEmpty()]
+        ready = [b for b in batches if exists(ws.spark, f"{ws.table_path(b, name)}/_SUCCESS")]
         if not ready:
             continue
         rows = ws.spark.read.schema(ENTITIES[name]).parquet(*[ws.table_path(b, name) for b in ready])

@@ -62,7 +62,7 @@ class Workspace:
     def _read(self, path: str, schema: StructType) -> DataFrame:
         if not exists(self.spark, f"{path}/_SUCCESS"):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
     def versions(self, name: str) -> list[str]:
         """Batches after which a complete master version exists, oldest first."""

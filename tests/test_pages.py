@@ -1,0 +1,252 @@
+from datetime import datetime
+
+import pandas as pd
+import pytest
+
+from parley.sources import page_tables
+from parley.sources.files import list_batches, newest_batch
+from parley.sources.pages import (
+    bad_pages,
+    decode_literal,
+    normalize_pages_to_json,
+    page_keys,
+    process_pages,
+    read_pages,
+)
+
+CLOCK = 1588327872000000
+
+
+def _name(prefix, key, number=0):
+    return f"{prefix}-{key}-{CLOCK + number}.json"
+
+
+@pytest.fixture
+def pages(spark):
+    def build(*named):
+        raw = [(name, value if isinstance(value, str) else str(value)) for name, value in named]
+        return decode_literal(spark.createDataFrame(raw, "file_name string, value string"))
+
+    return build
+
+
+def test_keys_out_of_file_names(pages, rows):
+    keyed = page_keys(
+        pages(
+            (_name("conversation_history", "C1"), {}),
+            (_name("conversation_replies", "C1_1588327872.000200"), {}),
+            (_name("message_list", "123"), []),
+            (_name("user_list", "all"), {}),
+        )
+    )
+    assert rows(keyed, "channel", "parent_ts", "page_clock") == [
+        ("123", None, CLOCK), ("C1", "1588327872.000200", CLOCK), ("C1", None, CLOCK), (None, None, CLOCK),
+    ]
+
+
+def test_literals_keep_words_that_look_like_tokens(pages, rows):
+    history = pages(
+        (_name("conversation_history", "C1"), {"messages": [{"ts": "1.5", "text": "None is 'True' \"x\" \\ é\n"}]}),
+        (_name("conversation_history", "C2"), "{'messages': ["),
+        (_name("conversation_history", "C3"), "__import__('os').getcwd()"),
+    )
+    assert rows(page_tables.messages_from_pages(history), "channel", "text") == [
+        ("C1", "None is 'True' \"x\" \\ é\n")
+    ]
+    assert rows(bad_pages(history), "file_name") == [
+        (_name("conversation_history", "C2"),), (_name("conversation_history", "C3"),),
+    ]
+
+
+def test_users(pages, rows):
+    users = pages(
+        (_name("user_list", "all", 1), {"members": [{"id": "U3", "name": "cy", "profile": {}}]}),
+        (
+            _name("user_list", "all", 0),
+            {"members": [
+                {"id": "U1", "name": "ann", "tz": "UTC", "real_name": "A", "profile": {"email": "a@b"}},
+                {"id": "U2", "tz": None, "profile": {"email": None}},
+            ]},
+        ),
+    )
+    got = page_tables.users_from_pages(users, "20200501101112")
+    assert rows(got, "id", "name", "tz", "email", "batch") == [
+        ("U1", "ann", "UTC", "a@b", "1588204800"), ("U2", None, None, "", "1588204800"),
+        ("U3", "cy", None, "", "1588204800"),
+    ]
+    placed = page_tables.users_from_pages(users, "20200501101112", place=True)
+    assert rows(page_tables.page_offset_index(placed), "index", "id") == [(0, "U1"), (1, "U2"), (2, "U3")]
+
+
+def test_channels(pages, rows):
+    listed = pages(
+        (
+            _name("conversation_list", "all"),
+            {"channels": [
+                {"id": "C1", "name": "a", "is_channel": True, "is_private": False, "is_archived": False},
+                {"id": "C2", "is_channel": True, "is_mpim": True, "is_im": True, "is_private": True},
+                {"id": "C3", "name": "c"},
+                {"id": "C4", "name": "d", "is_mpim": True},
+            ]},
+        )
+    )
+    assert rows(page_tables.channels_from_pages(listed)) == [
+        ("C1", "a", "channel", "public", "False", "False"),
+        ("C2", "", "im", "confidential", "", "True"),
+        ("C3", "c", "", "public", "", "True"),
+        ("C4", "d", "mpim", "public", "", "True"),
+    ]
+    assert rows(page_tables.private_channels(listed)) == [("C2",), ("C4",)]
+
+
+def _reaction(name, *users):
+    return {"name": name, "users": list(users)}
+
+
+def test_replies_and_reactions_take_the_right_pages(pages, rows):
+    history = pages(
+        (
+            _name("conversation_history", "C1"),
+            {"messages": [
+                {"type": "message", "ts": "1.5", "user": "U1", "reply_count": 2, "reactions": [_reaction("old", "U9")]},
+                {"type": "message", "ts": "2.5", "user": "U1", "reply_count": None, "reactions": [_reaction("x", "U2", "U3")]},
+                {"type": "message", "ts": "3.5", "subtype": "thread_broadcast", "thread_ts": "1.5",
+                 "reactions": [_reaction("b", "U4")]},
+                {"type": "message", "ts": "4.5", "reactions": None},
+            ]},
+        )
+    )
+    replies = pages(
+        (
+            _name("conversation_replies", "C1_1.5"),
+            {"messages": [
+                {"ts": "1.5", "thread_ts": "1.5", "user": "U1", "reactions": [_reaction("new", "U8")]},
+                {"ts": "3.5", "subtype": "thread_broadcast", "thread_ts": "1.5", "reactions": [_reaction("b", "U4")]},
+            ]},
+        ),
+        (_name("conversation_replies", "C1_2.5"), {"messages": [{"ts": "9.5", "thread_ts": "2.5"}]}),
+    )
+    threads = page_tables.threads_from_pages(history, replies)
+    assert rows(threads, "channel", "ts", "time") == [
+        ("C1", "1.5", datetime(1970, 1, 1, 0, 0, 1)), ("C1", "3.5", datetime(1970, 1, 1, 0, 0, 3)),
+    ]
+    reactions = page_tables.reactions_from_messages(history, replies)
+    assert rows(reactions, "ts", "thread_ts", "user_id", "reaction") == [
+        ("1.5", "1.5", "U8", "new"), ("2.5", "", "U2", "x"), ("2.5", "", "U3", "x"), ("3.5", "1.5", "U4", "b"),
+    ]
+
+
+def test_files(pages, rows):
+    listed = pages(
+        (
+            _name("files_list", "all"),
+            {"files": [
+                {"id": "F1", "name": "a", "timestamp": 1588327872, "user": "U1", "channels": ["C1", "C2"]},
+                {"id": "F2", "name": "b", "timestamp": 1, "user": "U1", "channels": []},
+                {"id": "F3", "name": "c", "timestamp": 1, "user": "U1", "channels": None},
+                {"id": "F4", "name": "d", "timestamp": 1, "user": "U1"},
+            ]},
+        )
+    )
+    time = datetime(2020, 5, 1, 10, 11, 12)
+    assert rows(page_tables.files_from_pages(listed)) == [
+        ("F1", "C1", "a", time, "U1"), ("F1", "C2", "a", time, "U1"),
+    ]
+
+
+def _block(block_id, text):
+    return {"block_id": block_id, "text": {"text": text}}
+
+
+def test_votes_belong_to_the_last_menu(pages, rows):
+    history = pages(
+        (
+            _name("conversation_history", "C1"),
+            {"messages": [
+                {"ts": "1.5", "blocks": [_block("poll-0-vote", "early `1`")]},
+                {"ts": "2.5", "blocks": [_block("poll-a-0123456789menu", "Lunch?"), _block("poll-x", " Soup `3` ")]},
+                {"ts": "3.5", "blocks": None},
+                {"ts": "4.5"},
+                {"ts": "5.5", "blocks": [_block("rich", "no poll"), _block("poll-y", "Rice"), _block("poll-z", "Fish `many`")]},
+                {"ts": "6.5", "blocks": [_block("poll-b-0123456789menu", "Dinner?"), _block("poll-w", "Pie ` 12 `")]},
+            ]},
+        ),
+        (_name("conversation_history", "C2"), {"messages": [{"ts": "7.5", "blocks": [_block("poll-q", "Other `9`")]}]}),
+    )
+    votes = page_tables.polls_from_pages(history)
+    assert rows(votes, "ts", "poll_id", "text", "vote_item", "vote_count") == [
+        ("1.5", None, None, "early", 1), ("2.5", "poll-a", "Lunch?", "Soup", 3),
+        ("5.5", "poll-a", "Lunch?", "Fish", None), ("5.5", "poll-a", "Lunch?", "Rice", 0),
+        ("6.5", "poll-b", "Dinner?", "Pie", 12), ("7.5", None, None, "Other", 9),
+    ]
+    assert page_tables.polls_from_pages(history, channel="C2").count() == 1
+
+
+def test_redaction(spark, rows):
+    messages = spark.createDataFrame(
+        [("C1", "1", "secret", ["b"]), ("C1", "2", None, None), ("C2", "3", "open", ["b"])],
+        "channel string, ts string, text string, blocks array<string>",
+    )
+    private = spark.createDataFrame([("C1",), ("C1",)], "channel string")
+    assert rows(page_tables.redact_private(messages, private)) == [
+        ("C1", "1", "", []), ("C1", "2", None, None), ("C2", "3", "open", ["b"]),
+    ]
+
+
+def test_channel_class(spark, rows):
+    role = "struct<name string, allow_value long, allow_view boolean, deny_value long, deny_view boolean>"
+    role = role.replace("name string", "name: string").replace(" long", ": long").replace(" boolean", ": boolean")
+    overwrites = spark.createDataFrame(
+        [
+            ("1", []),
+            ("2", [("mods", 1, True, 0, False)]),
+            ("3", [("@everyone", 0, False, 0, False)]),
+            ("4", [("@everyone", 1, False, 1, True)]),
+            ("5", [("@everyone", 1, False, 1, False), ("@everyone", 1, True, 1, True)]),
+            ("6", [("@everyone", 1, False, 1, False)]),
+        ],
+        f"channel_id string, roles array<{role}>",
+    )
+    assert rows(page_tables.channel_class_b(overwrites), "channel_id", "class", "is_private") == [
+        ("1", "public", False), ("2", "protected", False), ("3", "public", False),
+        ("4", "private", True), ("5", "public", False), ("6", "protected", False),
+    ]
+
+
+def test_flat_pages(pages, rows):
+    messages = pages(
+        (
+            _name("message_list", "7"),
+            [{"channel": "7", "type": "message", "subtype": "default", "ts": "175928847299117063", "thread_ts": "",
+              "time": "2020-05-01T10:11:12.000", "reply_count": "", "user": "9", "text": "hi"}],
+        )
+    )
+    assert rows(page_tables.flat_messages(messages)) == [
+        ("7", "message", "default", "175928847299117063", None, datetime(2020, 5, 1, 10, 11, 12), None, "9", "hi")
+    ]
+    files = pages((_name("files_list", "all"), [{"id": 1, "channel": 7, "name": "f", "time": "2020-05-01T10:11:12.000", "user": 9}]))
+    assert rows(page_tables.flat_files(files)) == [("1", "7", "f", datetime(2020, 5, 1, 10, 11, 12), "9")]
+
+
+def test_files_on_disk(spark, tmp_path, rows):
+    for batch in ("20210101000000", "20200501101112", "notes"):
+        (tmp_path / batch / "api").mkdir(parents=True)
+    api = tmp_path / "20200501101112" / "api"
+    (api / _name("user_list", "all")).write_text("{'members': [\n{'id': 'U1', 'profile': {}}]}")
+    (api / _name("conversation_list", "all")).write_text("{'channels': []}")
+    home = str(tmp_path)
+    assert list_batches(spark, home) == ["20200501101112", "20210101000000"]
+    assert newest_batch(spark, home) == "20210101000000"
+    found = read_pages(spark, home, "20200501101112", "users")
+    assert rows(found, "file_name") == [(_name("user_list", "all"),)]
+    assert rows(normalize_pages_to_json(found), "json") == [('{"members": [{"id": "U1", "profile": {}}]}',)]
+    assert read_pages(spark, home, "20210101000000", "users").count() == 0
+
+
+def test_user_function_sees_every_page(pages, rows):
+    def sizes(infile, result, key):
+        return pd.DataFrame({"file": [infile], "n": [len(result[key])]})
+
+    named = [(_name("user_list", "all", i), {"members": [{"id": "U"}] * i}) for i in range(3)]
+    got = process_pages(pages(*named), sizes, "file string, n bigint", key="members")
+    assert rows(got, "n") == [(0,), (1,), (2,)]
