@@ -143,6 +143,9 @@ def verb_lemma(
     irregular: Mapping[str, str] = IRREGULAR,
 ) -> Column:
     """Shortest verb of the lexicon which the word may be a form of, else the word itself."""
+    inflected = word.isin(*irregular)
+    for ending in sorted({ending[-1] for ending, _ in VERB_ENDINGS}):
+        inflected = inflected | word.endswith(ending)
     pairs = [F.lit(x) for pair in irregular.items() for x in pair]
     exception = F.when(word.isin(*irregular), F.try_element_at(F.create_map(*pairs), word))
     candidates = [word, exception]
@@ -152,4 +155,6 @@ def verb_lemma(
         candidates.append(F.when(regular, F.concat(stem, F.lit(replacement))))
     known = F.filter(F.array(*candidates), lambda c: c.isin(*verbs))
     ranked = F.transform(known, lambda c, i: F.struct(F.length(c), i, c.alias("lemma")))
-    return F.coalesce(F.array_min(ranked)["lemma"], word)
+    lemma = F.coalesce(F.array_min(ranked)["lemma"], word)
+    # Any other word can only be its own lemma, in the lexicon or not.
+    return F.when(inflected, lemma).otherwise(word)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from parley.dialect import SLACK, Dialect
 from parley.schemas import CONVERSATION_COLUMNS, POST_COLUMNS
 
+_SPREAD = 4096
+
 
 def user_geo(
     users: DataFrame,
@@ -64,8 +66,13 @@ def conversations(
     authors = user_geo(users, zone, country, dialect).select(
         F.col("id").alias("_id"), "real_name", "name", "city", "country", "iso"
     )
-    rows = posts(messages, threads, prefer_thread)
-    joined = rows.join(authors, F.col("user_id") == F.col("_id"), "left")
+    # Posts without an author find nobody; a key of their own keeps them from gathering as
+    # nulls in one task.
+    apart = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("channel", "ts"), F.lit(_SPREAD)))
+    rows = posts(messages, threads, prefer_thread).withColumn(
+        "_author", F.coalesce("user_id", apart)
+    )
+    joined = rows.join(authors, F.col("_author") == F.col("_id"), "left")
     return joined.withColumn("ts_int", F.col("ts").try_cast("double")).select(
         *CONVERSATION_COLUMNS
     )

@@ -61,7 +61,8 @@ def thank_you_posts(
 ) -> DataFrame:
     """Add ``lemmas``: the lower-case verb lemmas of a post that says thanks, else null."""
     words = without_stop_words(tokens(text))
-    lemmas = F.transform(words, lambda w: verb_lemma(F.lower(w), verbs, irregular))
+    # Lower case first: inside the lemma the word is used many times.
+    lemmas = F.transform(F.transform(words, F.lower), lambda w: verb_lemma(w, verbs, irregular))
     # Every form of these words contains the word, or is a listed exception: a text without
     # any of them is settled by one scan.
     signs = [*THANKS, *[form for form, verb in irregular.items() if verb in THANKS]]

@@ -31,7 +31,7 @@ class Tables:
 
     def base(self) -> DataFrame:
         """One post per event; each run of 20 events is a thread within one channel."""
-        block = F.floor(F.col("event_id") / PAGE_POSTS).cast("bigint")
+        block = F.expr(f"event_id div {PAGE_POSTS}")
         thread = Window.partitionBy("block")
         channel = F.when(F.col("block") % 3 == 0, "C0").otherwise(
             F.concat(F.lit("C"), (F.col("block") % 41).cast("string"))
@@ -274,7 +274,7 @@ class Tables:
         rows = (
             self.user()
             .withColumn("place", F.substring("id", 2, 20).cast("bigint"))
-            .withColumn("page", F.floor(F.col("place") / 100).cast("bigint"))
+            .withColumn("page", F.expr("place div 100"))
         )
         member = F.struct(
             "id", "name", "tz", "real_name",
@@ -285,7 +285,7 @@ class Tables:
 
     def channel_pages(self) -> DataFrame:
         nation = F.col("s_nationkey")
-        rows = self.read("supplier").withColumn("page", F.floor(F.col("s_suppkey") / 10).cast("bigint"))
+        rows = self.read("supplier").withColumn("page", F.expr("s_suppkey div 10"))
         channel = F.struct(
             F.concat(F.lit("C"), F.col("s_suppkey").cast("string")).alias("id"),
             F.when(nation != 4, F.col("s_name")).alias("name"),
@@ -301,7 +301,7 @@ class Tables:
 
     def file_pages(self) -> DataFrame:
         key = F.col("page_id")
-        rows = self.read("pages").withColumn("page", F.floor(key / 50).cast("bigint"))
+        rows = self.read("pages").withColumn("page", F.expr("page_id div 50"))
         channels = (
             F.when(key % 4 == 0, F.array().cast("array<string>"))
             .when(key % 4 == 1, F.lit(None).cast("array<string>"))
@@ -335,7 +335,7 @@ class Tables:
         rows = (
             self.user()
             .withColumn("place", F.substring("id", 2, 20).cast("bigint"))
-            .withColumn("page", F.floor(F.col("place") / 100).cast("bigint"))
+            .withColumn("page", F.expr("place div 100"))
         )
         item = F.struct(
             "id", "name", "real_name", F.lit("").alias("tz"), "email",
@@ -345,7 +345,7 @@ class Tables:
         return self._literal_pages(rows, "page", self._numbered_name("user_list", "page"), "", pair)
 
     def flat_channel_pages(self) -> DataFrame:
-        rows = self.read("supplier").withColumn("page", F.floor(F.col("s_suppkey") / 10).cast("bigint"))
+        rows = self.read("supplier").withColumn("page", F.expr("s_suppkey div 10"))
         secret = F.col("s_nationkey") >= 12
         item = F.struct(
             F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"),
@@ -359,7 +359,7 @@ class Tables:
 
     def flat_file_pages(self) -> DataFrame:
         key = F.col("page_id")
-        rows = self.read("pages").withColumn("page", F.floor(key / 50).cast("bigint"))
+        rows = self.read("pages").withColumn("page", F.expr("page_id div 50"))
         item = F.struct(
             key.alias("id"), (key % 41).alias("channel"), F.col("url").alias("name"),
             F.lit("2024-01-01T00:00:00.000").alias("time"), (key % 150).alias("user"),

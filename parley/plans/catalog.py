@@ -277,7 +277,7 @@ def merge_counts(t: Tables) -> DataFrame:
 @_query
 def replay(t: Tables) -> DataFrame:
     """Orders of the last year of each customer: the year is the batch, the key a group."""
-    batches = t.read("orders").withColumn("batch_id", F.year("o_orderdate").cast("string"))
+    batches = t.read("orders").withColumn("batch_id", F.year("o_orderdate"))
     spec = merge.EntitySpec("orders", ("o_custkey",), ("o_custkey", "o_orderkey", "o_orderstatus"))
     return merge.replay(batches, spec)
 

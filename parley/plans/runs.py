@@ -19,45 +19,40 @@ from parley.plans.workspace import MASTER, Workspace
 from parley.schemas import ENTITIES
 from parley.sources import page_tables
 from parley.sources.files import exists, list_batches
-from parley.sources.pages import bad_pages, normalize_pages_to_json, read_pages
+from parley.sources.pages import PAGE_PREFIXES, normalize_pages_to_json, page_kind, read_pages
+
+_DECODED = "file_name string, json string, kind string"
 
 
 def _write(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
-def _kinds(ws: Workspace) -> tuple[str, ...]:
-    if ws.dialect.threads:
-        return ("users", "channels", "messages", "threads", "files")
-    return ("users", "channels", "flat_messages", "files")
-
-
 def _pages(ws: Workspace, batch: str, kind: str) -> DataFrame:
-    return ws.spark.read.schema("file_name string, json string").parquet(ws.pages_path(batch, kind))
+    pages = ws.spark.read.schema(_DECODED).parquet(ws.pages_path(batch))
+    return pages.where(F.col("kind") == kind).drop("kind")
 
 
 # -- stage 1 ----------------------------------------------------------------------------------
 
 
 def decode_batch(ws: Workspace, batch: str) -> None:
-    """Raw pages to JSON, once per page: every table of the batch is made from these."""
-    for kind in _kinds(ws):
-        raw = read_pages(ws.spark, ws.home, batch, kind)
-        _write(normalize_pages_to_json(raw), ws.pages_path(batch, kind))
+    """Raw pages to JSON, once per page and in one job: every table of the batch is made
+    from these, and each reads the partition of its kind only."""
+    pages = normalize_pages_to_json(read_pages(ws.spark, ws.home, batch))
+    known = pages.withColumn("kind", page_kind()).where(F.col("kind").isNotNull())
+    _write(known, ws.pages_path(batch), "kind")
 
 
 def unreadable(ws: Workspace, batch: str) -> DataFrame:
     """File names of the pages of a batch which could not be decoded."""
-    frames = [_pages(ws, batch, kind) for kind in _kinds(ws)]
-    found = frames[0]
-    for frame in frames[1:]:
-        found = found.unionByName(frame)
-    return bad_pages(found.withColumn("value", F.lit(None).cast("string"))).select("file_name")
+    pages = ws.spark.read.schema(_DECODED).parquet(ws.pages_path(batch))
+    return pages.where(F.col("json").isNull()).select("file_name")
 
 
 def load_batch(ws: Workspace, batch: str, poll_channel: str | None = None) -> list[str]:
     decode_batch(ws, batch)
-    pages = {kind: _pages(ws, batch, kind) for kind in _kinds(ws)}
+    pages = {kind: _pages(ws, batch, kind) for kind in PAGE_PREFIXES}
     if ws.dialect.threads:
         history, answers = pages["messages"], pages["threads"]
         tables = {
@@ -109,7 +104,7 @@ def rebuild_master(ws: Workspace) -> list[str]:
         if not ready:
             continue
         rows = ws.spark.read.schema(ENTITIES[name]).parquet(*[ws.table_path(b, name) for b in ready])
-        batch_id = F.regexp_extract("_metadata.file_path", r"/(\d{14})/tables/", 1)
+        batch_id = F.regexp_extract("_metadata.file_path", r"/(\d{14})/tables/", 1).cast("bigint")
         master = replay(rows.withColumn("batch_id", batch_id), SPECS[name])
         tagged = master.withColumn("_change", F.lit(UNCHANGED))
         _write(tagged, ws.version_path(name, ready[-1]), "_change")
@@ -204,10 +199,13 @@ def run_batch_then_master(
     return run(ws, batch, poll_channel=poll_channel) + run(ws)
 
 
-def replay_all(ws: Workspace, poll_channel: str | None = None) -> list[str]:
+def replay_all(
+    ws: Workspace, poll_channel: str | None = None, batch_metrics: bool = True
+) -> list[str]:
     """All batches from their raw pages, one master over them, and its metrics."""
     for batch in list_batches(ws.spark, ws.home):
         load_batch(ws, batch, poll_channel)
-        derive_metrics(ws, batch)
-        derive_counts(ws, batch)
+        if batch_metrics:
+            derive_metrics(ws, batch)
+            derive_counts(ws, batch)
     return rebuild_master(ws) + run(ws)

@@ -1,7 +1,7 @@
 """Where the tables of a workspace lie.
 
     <home>/<batch>/api        raw pages
-    <home>/<batch>/json       decoded pages, one table per page kind
+    <home>/<batch>/json       decoded pages, a partition per kind of page
     <home>/<batch>/tables     entity tables of the batch
     <home>/<batch>/metrics    metrics of the batch
     <home>/master/<table>/v-<batch>   master after that batch, by kind of change
@@ -44,8 +44,8 @@ class Workspace:
 
     # -- paths --------------------------------------------------------------------------------
 
-    def pages_path(self, batch: str, kind: str) -> str:
-        return f"{self.home}/{batch}/json/{kind}"
+    def pages_path(self, batch: str) -> str:
+        return f"{self.home}/{batch}/json"
 
     def table_path(self, batch: str, name: str) -> str:
         return f"{self.home}/{batch}/tables/{name}"

@@ -44,8 +44,3 @@ def write_batch_metadata(spark: SparkSession, home: str, batch: str) -> None:
     time = F.translate(F.substring(batch_time(F.lit(batch)).cast("string"), 1, 19), " ", "T")
     row = spark.range(1).select(time.alias("time"))
     row.coalesce(1).write.mode("overwrite").options(**_CSV).csv(f"{home}/{batch}/metadata")
-
-
-def write_pages(normalized: DataFrame, path: str) -> None:
-    """Normalized pages ``(file_name, json)`` in one distributed write."""
-    normalized.write.mode("overwrite").parquet(path)

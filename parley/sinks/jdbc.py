@@ -90,10 +90,12 @@ def load_table(
     options: dict[str, str],
     sized: bool = False,
     existing: DataFrame | None = None,
+    connections: int = 16,
 ) -> None:
-    """Overwrite a database table. All columns of an edge table are loaded."""
+    """Overwrite a database table over at most ``connections`` connections. All columns of an
+    edge table are loaded."""
     rows = typed_time(df) if spec.has_time else df
-    writer = rows.write.mode("overwrite")
+    writer = rows.write.mode("overwrite").option("numPartitions", connections)
     if sized and spec.sized:
         writer = writer.option("createTableColumnTypes", size_varchar(rows, spec.sized, existing))
     properties = {k: v for k, v in options.items() if k != "url"}

@@ -75,9 +75,12 @@ def page_offset_index(placed: DataFrame) -> DataFrame:
     return row_index(placed, ["page_clock", "position"]).drop("page_clock", "position")
 
 
-def page_messages(pages: DataFrame) -> DataFrame:
-    """History or reply pages to one row per raw message: keys of the page and struct m."""
-    return _parsed(pages, schemas.MESSAGES_PAGE).select(
+def page_messages(pages: DataFrame, schema: str = schemas.MESSAGES_PAGE) -> DataFrame:
+    """History or reply pages to one row per raw message: keys of the page and struct m.
+
+    Only the fields of ``schema`` are parsed.
+    """
+    return _parsed(pages, schema).select(
         page_channel().alias("channel"),
         page_parent().alias("parent_ts"),
         F.explode("page.messages").alias("m"),
@@ -100,13 +103,13 @@ def _post_columns(zone: str) -> dict[str, Column]:
 
 def messages_from_pages(history: DataFrame, zone: str = "UTC") -> DataFrame:
     columns = _post_columns(zone)
-    return page_messages(history).select(*[c.alias(n) for n, c in columns.items()])
+    return page_messages(history, schemas.POSTS_IN_PAGE).select(*[c.alias(n) for n, c in columns.items()])
 
 
 def _answered(history: DataFrame) -> DataFrame:
     """(channel, ts) of messages which announce replies: only their reply pages count."""
     return (
-        page_messages(history)
+        page_messages(history, schemas.REPLIES_IN_PAGE)
         .where(has_replies(F.col("m.reply_count")))
         .select("channel", F.col("m.ts").alias("parent_ts"))
         .distinct()
@@ -123,7 +126,7 @@ def _visited_replies(history: DataFrame, replies: DataFrame) -> DataFrame:
 def threads_from_pages(history: DataFrame, replies: DataFrame, zone: str = "UTC") -> DataFrame:
     columns = _post_columns(zone)
     del columns["reply_count"]
-    rows = page_messages(_visited_replies(history, replies))
+    rows = page_messages(_visited_replies(history, replies), schemas.POSTS_IN_PAGE)
     return rows.select(*[c.alias(n) for n, c in columns.items()])
 
 
@@ -146,8 +149,9 @@ def reactions_from_messages(history: DataFrame, replies: DataFrame) -> DataFrame
 
     A post shown in both kinds of page is read twice, hence the distinct.
     """
-    own = page_messages(history).where(~has_replies(F.col("m.reply_count")))
-    answered = page_messages(_visited_replies(history, replies))
+    fields = schemas.REACTIONS_IN_PAGE
+    own = page_messages(history, fields).where(~has_replies(F.col("m.reply_count")))
+    answered = page_messages(_visited_replies(history, replies), fields)
     return reactions_of(own).unionByName(reactions_of(answered)).distinct()
 
 
@@ -186,7 +190,7 @@ def polls_from_pages(
     )
     # A message without blocks gives null, which would make the flattened array null.
     with_blocks = F.filter(F.col("page.messages"), lambda m: m["blocks"].isNotNull())
-    pages = _parsed(history, schemas.MESSAGES_PAGE).withColumn(
+    pages = _parsed(history, schemas.BLOCKS_IN_PAGE).withColumn(
         "page", F.struct(with_blocks.alias("messages"))
     )
     numbered = pages.select(
@@ -200,7 +204,7 @@ def polls_from_pages(
                 b["ts"].alias("ts"),
             ),
         ).alias("blocks")
-    ).where(F.size("blocks") > 0)
+    )
     split = numbered.select(
         F.filter("blocks", lambda b: b["is_menu"]).alias("menus"),
         F.explode(F.filter("blocks", lambda b: ~b["is_menu"])).alias("vote"),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from parley.sources.files import glob_names
+from parley.sources.files import exists
 
 # File name prefixes of the page kinds.
 PAGE_PREFIXES = {
@@ -28,18 +28,28 @@ PAGE_PREFIXES = {
 _PAGES = "file_name string, value string"
 
 
-def read_pages(spark: SparkSession, home: str, batch: str, kind: str) -> DataFrame:
-    """All pages of one kind of a batch, in one listing and one read."""
-    return read_page_files(spark, f"{home}/{batch}/api/{PAGE_PREFIXES[kind]}*.json")
+def read_pages(spark: SparkSession, home: str, batch: str, kind: str | None = None) -> DataFrame:
+    """The pages of a batch, or those of one kind, in one listing and one read.
 
-
-def read_page_files(spark: SparkSession, pattern: str) -> DataFrame:
-    if not glob_names(spark, pattern):
+    The folder itself is the path and the names are filtered: a glob over single files would
+    make each of them a path of its own, to be listed one by one.
+    """
+    folder = f"{home}/{batch}/api"
+    if not exists(spark, folder):
         return spark.createDataFrame([], _PAGES)
-    pages = spark.read.text(pattern, wholetext=True)
+    names = f"{PAGE_PREFIXES[kind] if kind else ''}*.json"
+    pages = spark.read.option("pathGlobFilter", names).text(folder, wholetext=True)
     return pages.select(F.col("_metadata.file_name").alias("file_name"), "value")
 
 
+def page_kind(file_name: Column | str = "file_name") -> Column:
+    """The kind of a page by its name; null for other files."""
+    name = F.col(file_name) if isinstance(file_name, str) else file_name
+    return F.coalesce(
+        *[F.when(name.startswith(prefix), kind) for kind, prefix in PAGE_PREFIXES.items()]
+    )
+
+
 def page_clock(file_name: Column | str = "file_name") -> Column:
     """Microseconds at which the page was fetched: the order of the pages of one kind."""
     return F.regexp_extract(file_name, r"(\d{16})\.json$", 1).try_cast("bigint")
@@ -64,23 +74,51 @@ def page_keys(pages: DataFrame) -> DataFrame:
 
 
 def literal_json(value: Column | str) -> Column:
-    """JSON text of a Python literal, null where the text is none."""
+    """JSON text of a Python literal, null where the text is none.
+
+    Pages are printed dicts and lists, so rewriting their strings and constants is enough and
+    much faster than building the values. What does not come out as JSON that way (tuples,
+    prefixed strings, odd numbers, no literal at all) goes through ``ast.literal_eval``.
+    """
 
-    def to_json(text: str | None) -> str | None:
+    def converter():
         # Imported here: the function travels to workers which need not have this package.
         import ast
         import json
-
-        if text is None:
-            return None
-        try:
-            return json.dumps(ast.literal_eval(text))
-        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
-            return None
+        import re
+
+        plain = r"""'[^'\\"]*'|"[^"\\]*"|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[A-Za-z_]+"""
+        tokens = re.compile(plain, re.DOTALL)
+        constants = {"None": "null", "True": "true", "False": "false"}
+
+        def rewrite(match) -> str:
+            token = match.group()
+            quote = token[0]
+            if quote not in "'\"":
+                return constants[token]
+            if "\\" in token or (quote == "'" and '"' in token):
+                return json.dumps(ast.literal_eval(token))
+            return '"' + token[1:-1] + '"'
+
+        def to_json(text: str | None) -> str | None:
+            if text is None:
+                return None
+            try:
+                out = tokens.sub(rewrite, text)
+                parsed = json.loads(out)
+                return json.dumps(parsed) if "\n" in out else out
+            except (KeyError, ValueError, SyntaxError, RecursionError):
+                pass
+            try:
+                return json.dumps(ast.literal_eval(text))
+            except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+                return None
+
+        return to_json
 
     @F.pandas_udf(StringType())
     def convert(values: pd.Series) -> pd.Series:
-        return values.map(to_json)
+        return values.map(converter())
 
     return convert(value)
 

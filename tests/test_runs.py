@@ -68,7 +68,8 @@ def test_batch_after_batch(spark, home, rows):
     assert rows(ws.master("user_data"), "id", "name", "batch") == [
         ("U1", "ann", "1588204800"), ("U2", "bob", "1588204800"),
     ]
-    runs.run(ws, SECOND)
+    runs.load_batch(ws, SECOND)
+    runs.merge_batch(ws, SECOND)
     assert rows(ws.master("user_data"), "id", "name", "batch") == [
         ("U1", "ann", "1588204800"), ("U2", "bobby", "1588204800"), ("U3", "cy", "1590883200"),
     ]
@@ -79,8 +80,8 @@ def test_batch_after_batch(spark, home, rows):
     assert rows(runs.unreadable(ws, SECOND)) == [("conversation_history-C1-1588327872000001.json",)]
 
     before = _master(ws, rows)
-    runs.run(ws, SECOND)
-    assert _master(ws, rows) == before, "running a batch again must not change the master"
+    runs.merge_batch(ws, SECOND)
+    assert _master(ws, rows) == before, "merging a batch again must not change the master"
 
     runs.run(ws)
     edges = ws.metric(MASTER, "edge_data")
@@ -97,18 +98,22 @@ def test_batch_after_batch(spark, home, rows):
     assert ws.metric(FIRST, "conversation_data").count() == 3
 
 
-def test_stages(spark, home):
-    ws = Workspace(spark, str(home))
-    assert runs.run(ws, FIRST, stage=1)[:7] == list(ws.entities)
-    assert runs.run(ws, FIRST, stage=4)[0] == "aggr_by_channel"
-    assert runs.run(ws, stage=1)[0] == "conversation_data", "the master has no pages to load"
+def test_stages(monkeypatch):
+    names = ("load_batch", "merge_batch", "derive_metrics", "derive_counts")
+    for name in names:
+        monkeypatch.setattr(runs, name, lambda ws, scope, *_, name=name: [(name, scope)])
+    ws = Workspace(None, "home")
+    for stage in (None, 1, 2, 3, 4):
+        assert runs.run(ws, FIRST, stage) == [(n, FIRST) for n in names[(stage or 1) - 1 :]]
+    for stage in (None, 1, 4):
+        assert runs.run(ws, stage=stage) == [(n, MASTER) for n in names[2:]], "the master has no pages"
 
 
-def test_newest_batch_then_master(spark, home, rows):
+def test_newest_batch_then_master(spark, home, monkeypatch):
+    monkeypatch.setattr(runs, "run", lambda ws, batch=None, poll_channel=None: [(batch, poll_channel)])
     ws = Workspace(spark, str(home))
-    runs.run_batch_then_master(ws)
-    assert rows(ws.master("message_data"), "text") == [("late",)]
-    assert rows(ws.metric(MASTER, "conversation_data"), "text") == [("late",)]
+    assert runs.run_batch_then_master(ws, poll_channel="C1") == [(THIRD, "C1"), (None, None)]
+    assert runs.run_batch_then_master(ws, FIRST) == [(FIRST, None), (None, None)]
 
 
 def test_replay_equals_merging(spark, home, rows):
@@ -117,7 +122,7 @@ def test_replay_equals_merging(spark, home, rows):
         runs.load_batch(ws, batch)
         runs.merge_batch(ws, batch)
     merged = _master(ws, rows)
-    runs.replay_all(ws)
+    assert "edge_data" in runs.replay_all(ws, batch_metrics=False)
     assert _master(ws, rows) == merged
 
 

@@ -118,7 +118,7 @@ def test_tables_of_a_group_are_loaded(spark, monkeypatch):
     ((url, table, properties, set_options, columns),) = _Writer.calls
     assert (url, table, columns) == ("jdbc:postgresql:database", "poll_data", ["text", "vote_item", "time"])
     assert "url" not in properties and properties["user"] == "me"
-    assert set_options == {"mode": "overwrite", "createTableColumnTypes": "text VARCHAR(1), vote_item VARCHAR(2)"}
+    assert set_options == {"mode": "overwrite", "numPartitions": 16, "createTableColumnTypes": "text VARCHAR(1), vote_item VARCHAR(2)"}
 
 
 def test_load_specs():
