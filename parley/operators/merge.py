@@ -76,7 +76,9 @@ def _tagged_incoming(master: DataFrame, incoming: DataFrame, spec: EntitySpec) -
     for c in spec.keep_first:
         joined = joined.withColumn(c, F.when(F.col("_known"), F.col("_m_" + c)).otherwise(F.col(c)))
     change = F.when(F.col("_known"), UPDATE).otherwise(INSERT)
-    return joined.withColumn("_change", change).select(*spec.columns, "_change").distinct()
+    tagged = joined.withColumn("_change", change).select(*spec.columns, "_change")
+    # Rows which differed only in a first-seen column have become equal.
+    return tagged.distinct() if spec.keep_first else tagged
 
 
 def _untouched(master: DataFrame, incoming: DataFrame, spec: EntitySpec) -> DataFrame:

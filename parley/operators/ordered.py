@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from parley.session import require_checkpoint_dir
 
 ROWS_PER_SLICE = 2_000_000
-MAX_SLICES = 4096
+MAX_SLICES = 16384
 _SAMPLES_PER_SLICE = 64
 _NULL_SPREAD = 4096
 
@@ -44,7 +44,7 @@ def order_bounds(
     cuts = (
         values.where(F.col("v").isNotNull())
         .sample(fraction=fraction, seed=17)
-        .agg(F.percentile_approx("v", shares, 100 * slices).alias("cuts"))
+        .agg(F.percentile_approx("v", shares, 20 * slices).alias("cuts"))
         .first()["cuts"]
     )
     return sorted(set(cuts or []))

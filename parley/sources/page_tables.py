@@ -6,14 +6,20 @@ a page to another task; only the reply routing joins by message key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley import schemas
 from parley.functions.times import invite_epoch, parse_iso, wall_clock
 from parley.operators.filters import has_replies
 from parley.operators.ordered import row_index
-from parley.sources.pages import page_channel, page_clock, page_parent
+from parley.sources.pages import (
+    decode_literal,
+    page_channel,
+    page_clock,
+    page_parent,
+    read_pages,
+)
 
 # Block ids of a poll are poll-<id> plus a suffix of 15 characters.
 POLL_PREFIX = "poll-"
@@ -261,6 +267,20 @@ def flat_files(pages: DataFrame) -> DataFrame:
     )
 
 
+def read_chat_b(spark: SparkSession, home: str, batch: str) -> dict[str, DataFrame]:
+    """The tables of a batch of the second product, straight from its raw pages."""
+    readers = {
+        "user_data": ("users", flat_users),
+        "channel_data": ("channels", flat_channels),
+        "message_data": ("flat_messages", flat_messages),
+        "file_data": ("files", flat_files),
+    }
+    return {
+        name: reader(decode_literal(read_pages(spark, home, batch, kind)))
+        for name, (kind, reader) in readers.items()
+    }
+
+
 # -- privacy ----------------------------------------------------------------------------------
 
 

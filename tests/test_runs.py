@@ -170,3 +170,29 @@ def test_second_product(spark, tmp_path, rows):
     ]
     assert rows(ws.metric(MASTER, "interact_data"), "source", "targets", "edges") == [("1", 1, 2), ("2", 1, 2)]
     assert rows(ws.metric(MASTER, "users_timediff_data"), "user_id", "diff") == [("1", 0.0), ("1", 2.0), ("2", 0.0)]
+
+
+def test_exports(spark, home, monkeypatch):
+    from parley.plans import exports
+    from parley.sinks import jdbc
+
+    ws = Workspace(spark, str(home))
+    for batch in (FIRST, SECOND):
+        runs.load_batch(ws, batch)
+        runs.merge_batch(ws, batch)
+    numbered = exports.numbered(ws, "user_data")
+    assert numbered.columns[0] == "index"
+    assert [r.id for r in numbered.orderBy("index").collect()] == ["U1", "U2", "U3"]
+
+    runs.run(ws)
+    exports.export_metrics(ws, ["tag_data"])
+    header = {f.read_text().splitlines()[0] for f in (home / "metrics" / "csv" / "tag_data.csv").glob("part-*")}
+    assert header == {'"channel","ts","tag","nice_tag","type"'}
+
+    loaded = {}
+    monkeypatch.setattr(jdbc, "load_table", lambda df, spec, options, sized: loaded.update({spec.table: df.columns}))
+    (home / "references" / "channel_ref.csv").write_text("id,index,category_name,category_index\nC1,0,a,1\n")
+    done = exports.load_database(ws, {"url": "jdbc:x"})
+    assert set(done) == set(loaded) == set(jdbc.LOADS)
+    assert loaded["reaction_data"] == ["index", "channel", "ts", "thread_ts", "user_id", "reaction"]
+    assert loaded["edge_data"] == ["channel", "source", "target", "time", "relate"]
