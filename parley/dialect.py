@@ -10,7 +10,7 @@ class Dialect:
     name: str
     # Subtypes of a post written by a person. None in the tuple stands for SQL null.
     activity_subtypes: tuple[str | None, ...]
-    # `(?d)`: in Java `.` would otherwise stop at \r, \u0085,   and   too.
+    # The shortest text up to the closing bracket, within one line.
     user_tag: str
     channel_tag: str | None
     link_tag: str | None
@@ -29,9 +29,9 @@ class Dialect:
 SLACK = Dialect(
     name="slack",
     activity_subtypes=(None, "thread_broadcast"),
-    user_tag=r"(?d)<@(.*?)>",
-    channel_tag=r"(?d)<#(.*?)>",
-    link_tag=r"(?d)<(.*?)>",
+    user_tag=r"<@([^>\n]*)>",
+    channel_tag=r"<#([^>\n]*)>",
+    link_tag=r"<([^>\n]*)>",
     geo=True,
     threads=True,
     counts=True,
@@ -42,7 +42,7 @@ SLACK = Dialect(
 DISCORD = Dialect(
     name="discord",
     activity_subtypes=("default",),
-    user_tag=r"(?d)<@!(.*?)>",
+    user_tag=r"<@!([^>\n]*)>",
     channel_tag=None,
     link_tag=None,
     geo=False,

@@ -2,55 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.dialect import SLACK, Dialect
 from parley.operators.filters import activity
 
 
-def _labelled(matches: Column, kind: str) -> Column:
-    """Tag and label around the first pipe; a later pipe cuts the label off."""
-
-    def item(match: Column) -> Column:
-        parts = F.split(match, r"\|")
-        return F.struct(
-            F.get(parts, F.lit(0)).alias("tag"),
-            F.get(parts, F.lit(1)).alias("nice_tag"),
-            F.lit(kind).alias("type"),
-        )
-
-    return F.transform(matches, item)
-
-
-def _user_tags(matches: Column) -> Column:
-    # A user tag stays whole, also if it has a pipe; its label is looked up later.
-    return F.transform(
-        matches,
-        lambda match: F.struct(
-            match.alias("tag"), F.lit(None).cast("string").alias("nice_tag"), F.lit("user").alias("type")
-        ),
-    )
-
-
 def mentions(posts: DataFrame, dialect: Dialect = SLACK) -> DataFrame:
     """One row per match in the text of activity posts: channel, ts, tag, nice_tag, type.
 
-    The three kinds come out of one scan of the text.
+    The three kinds come out of one scan of the text. Tag and label stand around the first
+    pipe; a user tag stays whole, also with a pipe, and its label is looked up later.
     """
-
-    def found(pattern: str) -> Column:
-        return F.regexp_extract_all("text", F.lit(pattern), F.lit(1))
-
-    kinds = [_user_tags(found(dialect.user_tag))]
-    if dialect.channel_tag:
-        kinds.append(_labelled(found(dialect.channel_tag), "channel"))
-    if dialect.link_tag:
-        links = F.filter(found(dialect.link_tag), lambda match: match.rlike("^[^@#]"))
-        kinds.append(_labelled(links, "link"))
-    texts = activity(posts, dialect).where(F.col("text").isNotNull())
-    return texts.select("channel", "ts", F.explode(F.concat(*kinds)).alias("m")).select(
-        "channel", "ts", "m.*"
+    patterns = {"user": dialect.user_tag, "channel": dialect.channel_tag, "link": dialect.link_tag}
+    kinds = [
+        F.struct(
+            F.lit(kind).alias("type"),
+            F.regexp_extract_all("text", F.lit(pattern), F.lit(1)).alias("matches"),
+        )
+        for kind, pattern in patterns.items()
+        if pattern
+    ]
+    found = (
+        activity(posts, dialect)
+        .where(F.col("text").contains("<"))
+        .select("channel", "ts", F.explode(F.array(*kinds)).alias("k"))
+        .select("channel", "ts", "k.type", F.explode("k.matches").alias("match"))
+    )
+    match, is_user = F.col("match"), F.col("type") == "user"
+    is_link = (match != "") & ~match.startswith("@") & ~match.startswith("#")
+    label = F.when(~is_user & match.contains("|"), F.split_part(match, F.lit("|"), F.lit(2)))
+    return found.where((F.col("type") != "link") | is_link).select(
+        "channel",
+        "ts",
+        F.when(is_user, match).otherwise(F.substring_index(match, "|", 1)).alias("tag"),
+        label.alias("nice_tag"),
+        "type",
     )
 
 
