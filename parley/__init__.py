@@ -1,5 +1,5 @@
 """Team-chat analytics on Spark: pages to tables, batches to a master, tables to metrics."""
 
-from parley.dialect import DISCORD, SLACK, Dialect
+from parley.dialect import FLAT, THREADED, Dialect
 
-__all__ = ["DISCORD", "SLACK", "Dialect"]
+__all__ = ["FLAT", "THREADED", "Dialect"]

@@ -25,9 +25,10 @@ class Dialect:
     user_column: str
 
 
+# The first product has threads and nested records, the second flat records only.
 # Subtypes and markup patterns of the two products.
-SLACK = Dialect(
-    name="slack",
+THREADED = Dialect(
+    name="threaded",
     activity_subtypes=(None, "thread_broadcast"),
     user_tag=r"<@([^>\n]*)>",
     channel_tag=r"<#([^>\n]*)>",
@@ -39,8 +40,8 @@ SLACK = Dialect(
     user_column="user_id",
 )
 
-DISCORD = Dialect(
-    name="discord",
+FLAT = Dialect(
+    name="flat",
     activity_subtypes=("default",),
     user_tag=r"<@!([^>\n]*)>",
     channel_tag=None,

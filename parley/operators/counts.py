@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.dialect import SLACK, Dialect
+from parley.dialect import THREADED, Dialect
 from parley.operators.filters import activity, threaded
 
 
@@ -21,28 +21,28 @@ def _measures(dialect: Dialect) -> list[str]:
     return ["ts", "thread_ts"] if dialect.threads else ["ts"]
 
 
-def count_by_channel(posts: DataFrame, dialect: Dialect = SLACK) -> DataFrame:
+def count_by_channel(posts: DataFrame, dialect: Dialect = THREADED) -> DataFrame:
     return _counted(activity(posts, dialect), ["channel"], _measures(dialect))
 
 
-def count_by_channel_user(posts: DataFrame, dialect: Dialect = SLACK) -> DataFrame:
+def count_by_channel_user(posts: DataFrame, dialect: Dialect = THREADED) -> DataFrame:
     return _counted(activity(posts, dialect), ["channel", "user_id"], _measures(dialect))
 
 
-def users_per_channel(posts: DataFrame, dialect: Dialect = SLACK) -> DataFrame:
+def users_per_channel(posts: DataFrame, dialect: Dialect = THREADED) -> DataFrame:
     """Number of different active users of each channel."""
     active = activity(posts, dialect).where("channel is not null and user_id is not null")
     return active.groupBy("channel").agg(F.count_distinct("user_id").alias("user_id"))
 
 
-def max_per_channel(posts: DataFrame, dialect: Dialect = SLACK) -> DataFrame:
+def max_per_channel(posts: DataFrame, dialect: Dialect = THREADED) -> DataFrame:
     """The highest post count of any user, per channel."""
     counts = count_by_channel_user(posts, dialect)
     return counts.groupBy("channel").agg(F.max("ts").alias("ts"))
 
 
 def top_users_per_channel(
-    posts: DataFrame, users: DataFrame, channels: DataFrame, dialect: Dialect = SLACK
+    posts: DataFrame, users: DataFrame, channels: DataFrame, dialect: Dialect = THREADED
 ) -> DataFrame:
     """The most active user of each channel with names; users with equal counts all stay.
 

@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.dialect import SLACK, Dialect
+from parley.dialect import THREADED, Dialect
 
 
-def is_activity(dialect: Dialect = SLACK, subtype: str = "subtype") -> Column:
+def is_activity(dialect: Dialect = THREADED, subtype: str = "subtype") -> Column:
     """Posts written by a person: never null, so it can be negated and counted."""
     column = F.col(subtype)
     tests = [
@@ -20,7 +20,7 @@ def is_activity(dialect: Dialect = SLACK, subtype: str = "subtype") -> Column:
     return reduce(lambda a, b: a | b, tests)
 
 
-def activity(df: DataFrame, dialect: Dialect = SLACK) -> DataFrame:
+def activity(df: DataFrame, dialect: Dialect = THREADED) -> DataFrame:
     return df.where(is_activity(dialect))
 
 

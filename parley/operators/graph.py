@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.dialect import DISCORD, SLACK, Dialect
+from parley.dialect import FLAT, THREADED, Dialect
 from parley.operators.filters import activity, differs, threaded
 from parley.operators.posts import user_geo
 from parley.schemas import EDGE_COLUMNS, NODE_COLUMNS
@@ -18,7 +18,7 @@ def nodes(
     channels: DataFrame,
     zone: DataFrame | None = None,
     country: DataFrame | None = None,
-    dialect: Dialect = SLACK,
+    dialect: Dialect = THREADED,
 ) -> DataFrame:
     none = F.lit(None).cast("string")
     label = F.col("name") if dialect.geo else F.coalesce("name", "real_name")
@@ -50,7 +50,7 @@ def _active(posts: DataFrame, dialect: Dialect) -> DataFrame:
 
 
 def edges_interacts(
-    posts: DataFrame, dialect: Dialect = SLACK, join_keys: Sequence[str] = ("ts",)
+    posts: DataFrame, dialect: Dialect = THREADED, join_keys: Sequence[str] = ("ts",)
 ) -> DataFrame:
     """Author of a reply to the author of its thread parent, else author to channel.
 
@@ -83,7 +83,7 @@ def edges_interacts(
 def edges_reacts(
     posts: DataFrame,
     reactions: DataFrame,
-    dialect: Dialect = SLACK,
+    dialect: Dialect = THREADED,
     join_keys: Sequence[str] = ("ts",),
 ) -> DataFrame:
     """Author of a post to each user who reacted to it, the author included."""
@@ -97,7 +97,7 @@ def edges_reacts(
 def edges_refers(
     posts: DataFrame,
     tags: DataFrame,
-    dialect: Dialect = SLACK,
+    dialect: Dialect = THREADED,
     join_keys: Sequence[str] = ("ts",),
 ) -> DataFrame:
     """Author of a post to each user it mentions, one edge per mention."""
@@ -123,7 +123,7 @@ def edges(posts: DataFrame, reactions: DataFrame, tags: DataFrame) -> DataFrame:
 _UNTIMED = ["channel", "source", "target", "relate"]
 
 
-def edges_teams(posts: DataFrame, dialect: Dialect = DISCORD) -> DataFrame:
+def edges_teams(posts: DataFrame, dialect: Dialect = FLAT) -> DataFrame:
     """Author to channel, for every activity post."""
     return activity(posts, dialect).select(
         "channel", F.col("user_id").alias("source"), F.col("channel").alias("target"),
@@ -133,12 +133,12 @@ def edges_teams(posts: DataFrame, dialect: Dialect = DISCORD) -> DataFrame:
 
 def edges_untimed(posts: DataFrame, reactions: DataFrame, tags: DataFrame) -> DataFrame:
     """teams, reacts and refers of the second product; see ``interacts_b`` for the fourth."""
-    reacts = edges_reacts(posts, reactions, DISCORD).select(*_UNTIMED)
-    refers = edges_refers(posts, tags, DISCORD).select(*_UNTIMED)
+    reacts = edges_reacts(posts, reactions, FLAT).select(*_UNTIMED)
+    refers = edges_refers(posts, tags, FLAT).select(*_UNTIMED)
     return edges_teams(posts).unionByName(reacts).unionByName(refers)
 
 
-def participants(posts: DataFrame, dialect: Dialect = DISCORD) -> DataFrame:
+def participants(posts: DataFrame, dialect: Dialect = FLAT) -> DataFrame:
     """Activity posts per channel and user; posts without an author form one group."""
     return (
         activity(posts, dialect)
@@ -148,7 +148,7 @@ def participants(posts: DataFrame, dialect: Dialect = DISCORD) -> DataFrame:
     )
 
 
-def edges_interacts_b(posts: DataFrame, dialect: Dialect = DISCORD) -> DataFrame:
+def edges_interacts_b(posts: DataFrame, dialect: Dialect = FLAT) -> DataFrame:
     """Interactions by shared channel: each post of a user with each post of another user.
 
     Their number grows with the square of a channel, so they are given factorized: per
@@ -171,7 +171,7 @@ def edges_interacts_b(posts: DataFrame, dialect: Dialect = DISCORD) -> DataFrame
     ).where(F.col("edges") > 0)
 
 
-def interacts_of(posts: DataFrame, sources: DataFrame, dialect: Dialect = DISCORD) -> DataFrame:
+def interacts_of(posts: DataFrame, sources: DataFrame, dialect: Dialect = FLAT) -> DataFrame:
     """Targets of the given users (column ``user_id``): one row per channel, source and
     target with its number of edges. The result has one row per source and co-member."""
     people = participants(posts, dialect)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.dialect import SLACK, Dialect
+from parley.dialect import THREADED, Dialect
 from parley.functions.times import ts_key
 from parley.operators.filters import is_activity
 
@@ -21,7 +21,7 @@ def _positive(count: Column) -> Column:
 
 
 def user_activity(
-    users: DataFrame, posts: DataFrame, reactions: DataFrame, dialect: Dialect = SLACK
+    users: DataFrame, posts: DataFrame, reactions: DataFrame, dialect: Dialect = THREADED
 ) -> DataFrame:
     """First post of any kind, and count, first and last of activity posts and of reactions
     given, for every user. Counts of users who did nothing are null."""

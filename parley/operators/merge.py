@@ -46,11 +46,11 @@ SPECS = {
 }
 
 # The tables each product merges.
-SLACK_ENTITIES = (
+THREADED_ENTITIES = (
     "user_data", "channel_data", "message_data", "thread_data", "reaction_data",
     "file_data", "poll_data",
 )
-DISCORD_ENTITIES = (
+FLAT_ENTITIES = (
     "user_data", "channel_data", "message_data", "reaction_data", "file_data", "role_data",
 )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.dialect import SLACK, Dialect
+from parley.dialect import THREADED, Dialect
 from parley.schemas import CONVERSATION_COLUMNS, POST_COLUMNS
 
 _SPREAD = 4096
@@ -15,7 +15,7 @@ def user_geo(
     users: DataFrame,
     zone: DataFrame | None = None,
     country: DataFrame | None = None,
-    dialect: Dialect = SLACK,
+    dialect: Dialect = THREADED,
 ) -> DataFrame:
     """Users with ``country``, ``city`` and ``iso``.
 
@@ -59,7 +59,7 @@ def conversations(
     users: DataFrame,
     zone: DataFrame | None = None,
     country: DataFrame | None = None,
-    dialect: Dialect = SLACK,
+    dialect: Dialect = THREADED,
     prefer_thread: bool = False,
 ) -> DataFrame:
     """Posts with name and place of their author, in the columns of the conversation table."""

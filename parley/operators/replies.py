@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.dialect import SLACK, Dialect
+from parley.dialect import THREADED, Dialect
 from parley.functions.times import seconds_between, ts_key
 from parley.operators.filters import threaded
 from parley.operators.ordered import ROWS_PER_SLICE, order_bounds, with_previous
@@ -38,7 +38,7 @@ def timediff_threads(posts: DataFrame, bounds: Sequence[float] | None = None) ->
 
 
 def timediff_users(
-    posts: DataFrame, dialect: Dialect = SLACK, bounds: Sequence[float] | None = None
+    posts: DataFrame, dialect: Dialect = THREADED, bounds: Sequence[float] | None = None
 ) -> DataFrame:
     """Across channels; only posts in threads where the product has threads."""
     rows = threaded(posts) if dialect.threads else posts

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.dialect import SLACK, Dialect
+from parley.dialect import THREADED, Dialect
 from parley.operators.filters import activity
 
 
-def mentions(posts: DataFrame, dialect: Dialect = SLACK) -> DataFrame:
+def mentions(posts: DataFrame, dialect: Dialect = THREADED) -> DataFrame:
     """One row per match in the text of activity posts: channel, ts, tag, nice_tag, type.
 
     The three kinds come out of one scan of the text. Tag and label stand around the first
@@ -42,7 +42,7 @@ def mentions(posts: DataFrame, dialect: Dialect = SLACK) -> DataFrame:
     )
 
 
-def extract_tags(posts: DataFrame, users: DataFrame, dialect: Dialect = SLACK) -> DataFrame:
+def extract_tags(posts: DataFrame, users: DataFrame, dialect: Dialect = THREADED) -> DataFrame:
     """Mentions with the name of mentioned users.
 
     The join key carries the kind, so that channel and link tags find no user and yet are

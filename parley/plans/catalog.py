@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.dialect import DISCORD, SLACK
+from parley.dialect import FLAT, THREADED
 from parley.functions import times
 from parley.operators import counts, graph, members, merge, ordered, posts, replies, tags, texts
 from parley.operators.filters import activity, threaded
@@ -85,12 +85,12 @@ def count_by_thread_user(t: Tables) -> DataFrame:
 
 @_query
 def count_by_channel_b(t: Tables) -> DataFrame:
-    return counts.count_by_channel(t.message_b(), DISCORD)
+    return counts.count_by_channel(t.message_b(), FLAT)
 
 
 @_query
 def top_users_per_channel_b(t: Tables) -> DataFrame:
-    return counts.top_users_per_channel(t.message_b(), t.user(), t.channel(), DISCORD)
+    return counts.top_users_per_channel(t.message_b(), t.user(), t.channel(), FLAT)
 
 
 # -- posts and members ------------------------------------------------------------------------
@@ -118,7 +118,7 @@ def conversations(t: Tables) -> DataFrame:
 
 @_query
 def conversations_b(t: Tables) -> DataFrame:
-    return _timed(posts.conversations(t.message_b(), None, t.user(), dialect=DISCORD))
+    return _timed(posts.conversations(t.message_b(), None, t.user(), dialect=FLAT))
 
 
 @_query
@@ -133,7 +133,7 @@ def user_activity(t: Tables) -> DataFrame:
 
 @_query
 def user_activity_b(t: Tables) -> DataFrame:
-    return members.user_activity(t.user(), t.message_b(), t.reaction_b(), DISCORD)
+    return members.user_activity(t.user(), t.message_b(), t.reaction_b(), FLAT)
 
 
 # -- time differences ---------------------------------------------------------------------------
@@ -158,7 +158,7 @@ def timediff_users(t: Tables) -> DataFrame:
 
 @_query
 def timediff_users_b(t: Tables) -> DataFrame:
-    return replies.timediff_users(t.message_b(), DISCORD).select(*_DIFF)
+    return replies.timediff_users(t.message_b(), FLAT).select(*_DIFF)
 
 
 @_query
@@ -184,7 +184,7 @@ def extract_tags(t: Tables) -> DataFrame:
 
 @_query
 def extract_tags_b(t: Tables) -> DataFrame:
-    return tags.extract_tags(t.message_b(), t.user(), DISCORD)
+    return tags.extract_tags(t.message_b(), t.user(), FLAT)
 
 
 @_query
@@ -194,7 +194,7 @@ def nodes(t: Tables) -> DataFrame:
 
 @_query
 def nodes_b(t: Tables) -> DataFrame:
-    return graph.nodes(t.user(), t.channel(), dialect=DISCORD)
+    return graph.nodes(t.user(), t.channel(), dialect=FLAT)
 
 
 @_query
@@ -225,7 +225,7 @@ def edges_teams(t: Tables) -> DataFrame:
 
 @_query
 def edges_untimed_b(t: Tables) -> DataFrame:
-    found = tags.extract_tags(t.message_b(), t.user(), DISCORD)
+    found = tags.extract_tags(t.message_b(), t.user(), FLAT)
     return graph.edges_untimed(t.message_b(), t.reaction_b(), found)
 
 

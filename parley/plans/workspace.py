@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from parley.dialect import SLACK, Dialect
-from parley.operators.merge import DISCORD_ENTITIES, SLACK_ENTITIES
+from parley.dialect import THREADED, Dialect
+from parley.operators.merge import FLAT_ENTITIES, THREADED_ENTITIES
 from parley.schemas import ENTITIES, REFERENCES
 from parley.sources.files import exists, glob_names
 from parley.sources.tables import read_reference
@@ -34,13 +34,13 @@ MASTER = "master"
 class Workspace:
     spark: SparkSession
     home: str
-    dialect: Dialect = SLACK
+    dialect: Dialect = THREADED
     # Zone of the wall-clock times made out of epoch seconds.
     zone: str = "UTC"
 
     @property
     def entities(self) -> tuple[str, ...]:
-        return SLACK_ENTITIES if self.dialect.threads else DISCORD_ENTITIES
+        return THREADED_ENTITIES if self.dialect.threads else FLAT_ENTITIES
 
     # -- paths --------------------------------------------------------------------------------
 

@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 
-from parley.dialect import DISCORD
+from parley.dialect import FLAT
 from parley.operators import counts, graph, members, posts, tags
 
 POSTS = (
@@ -48,7 +48,7 @@ def test_geography_falls_back_to_the_zone_text(users, places, rows):
         ("U1", "Japan", "Tokyo", "JP"), ("U2", "UTC", None, None),
         ("U3", None, None, None), ("U4", "America", "Indiana", None),
     ]
-    flat = posts.user_geo(users, dialect=DISCORD)
+    flat = posts.user_geo(users, dialect=FLAT)
     assert rows(flat, "country", "city", "iso") == [("", "", "")] * 4
 
 
@@ -107,7 +107,7 @@ def test_tags(table, users, rows):
         ("user", "U2|bob", None), ("user", "U3\r", None),
     ]
     plain = table(_post("C1", "1", "U1", text="<@!U1> <@U2> <#C1>", subtype="default"))
-    assert rows(tags.extract_tags(plain, users, DISCORD), "tag", "nice_tag") == [("U1", "Ann A")]
+    assert rows(tags.extract_tags(plain, users, FLAT), "tag", "nice_tag") == [("U1", "Ann A")]
 
 
 def test_refers_has_one_edge_per_mention(table, users, rows):

@@ -2,7 +2,7 @@
 
 import pytest
 
-from parley.dialect import DISCORD
+from parley.dialect import FLAT
 from parley.plans import runs
 from parley.plans.workspace import MASTER, Workspace
 from parley.streaming.arrivals import ingest_stream
@@ -161,7 +161,7 @@ def test_second_product(spark, tmp_path, rows):
     _write(tmp_path, FIRST, "conversation_list", "all", clock, channels)
     _write(tmp_path, FIRST, "message_list", "7", clock, messages)
     _write(tmp_path, FIRST, "files_list", "all", clock, [])
-    ws = Workspace(spark, str(tmp_path), DISCORD)
+    ws = Workspace(spark, str(tmp_path), FLAT)
     done = runs.run_batch_then_master(ws, FIRST)
     assert "threads_timediff_data" not in done and "aggr_by_channel" not in done
     assert rows(ws.metric(MASTER, "edge_data"), "source", "target", "relate") == [

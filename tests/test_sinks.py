@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from parley.dialect import DISCORD
+from parley.dialect import FLAT
 from parley.schemas import ENTITIES
 from parley.sinks import jdbc
 from parley.sinks.files import metric_names, write_batch_metadata, write_entity
@@ -48,11 +48,11 @@ def test_batch_metadata(spark, tmp_path):
 
 def test_export_names(spark):
     frame = spark.createDataFrame([("a", "b")], "channel string, user_id string")
-    assert metric_names(frame, DISCORD).columns == ["CHANNEL", "USER"]
+    assert metric_names(frame, FLAT).columns == ["CHANNEL", "USER"]
 
 
 PROPERTIES = """
-[postgres-slack]
+[postgres]
 database.url=jdbc:postgresql:database
 database.driver=org.postgresql.Driver
 database.user=me
@@ -62,7 +62,7 @@ spark.jars=driver.jar
 
 
 def test_connection_options():
-    assert jdbc.jdbc_options(PROPERTIES, "postgres-slack") == {
+    assert jdbc.jdbc_options(PROPERTIES, "postgres") == {
         "url": "jdbc:postgresql:database", "driver": "org.postgresql.Driver",
         "user": "me", "password": "secret",
     }
@@ -107,7 +107,7 @@ def test_tables_of_a_group_are_loaded(spark, monkeypatch):
     from pyspark.sql.classic.dataframe import DataFrame
 
     monkeypatch.setattr(DataFrame, "write", property(_Writer))
-    options = jdbc.jdbc_options(PROPERTIES, "postgres-slack")
+    options = jdbc.jdbc_options(PROPERTIES, "postgres")
     tables = {
         "poll_data": spark.range(1).select(
             F.lit("2020-05-01T10:11:12.000").alias("time"), F.lit("t").alias("text"), F.lit("it").alias("vote_item")
