@@ -303,8 +303,8 @@ class Tables:
         key = F.col("page_id")
         rows = self.read("pages").withColumn("page", F.expr("page_id div 50"))
         channels = (
-            F.when(key % 4 == 0, F.array().cast("array<string>"))
-            .when(key % 4 == 1, F.lit(None).cast("array<string>"))
+            F.when(F.col("url").startswith("http:"), F.array().cast("array<string>"))
+            .when(F.col("url").contains("#"), F.lit(None).cast("array<string>"))
             .otherwise(F.array(F.lit("C1"), F.concat(F.lit("C"), (key % 41).cast("string"))))
         )
         item = F.struct(

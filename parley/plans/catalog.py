@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.dialect import FLAT, THREADED
+from parley.dialect import FLAT
 from parley.functions import times
 from parley.operators import counts, graph, members, merge, ordered, posts, replies, tags, texts
 from parley.operators.filters import activity, threaded
@@ -284,7 +284,7 @@ def replay(t: Tables) -> DataFrame:
 
 @_query
 def replay_first_seen(t: Tables) -> DataFrame:
-    """One row per order out of its line items: the last state, the first ship mode seen."""
+    """One row per order out of its line items: the last state, the first part seen."""
     batches = (
         t.read("lineitem")
         .groupBy("l_orderkey", F.col("l_linenumber").alias("batch_id"))

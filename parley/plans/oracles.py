@@ -431,7 +431,7 @@ FROM base WHERE event_type <> 'view' AND (coalesce(reply_count, 0) = 0
 SELECT 'F' || page_id AS id, unnest(['C1', 'C' || (page_id % 41)]) AS channel, url AS name,
   strftime(make_timestamp((1704067200 + page_id * 61) * 1000000), '%Y-%m-%dT%H:%M:%S.000') AS time,
   'U' || (page_id % 150) AS user_id
-FROM pages WHERE page_id % 4 >= 2""",
+FROM pages WHERE url NOT LIKE 'http:%' AND NOT contains(url, '#')""",
         "polls_from_pages": _sql(
             ["base"],
             f"""
