@@ -161,7 +161,8 @@ def edges_interacts_b(posts: DataFrame, dialect: Dialect = FLAT) -> DataFrame:
         F.sum("messages").alias("_messages"), F.count("*").alias("_users")
     )
     known = F.col("user_id").isNotNull()
-    joined = people.join(totals, F.col("channel") == F.col("_channel"))
+    # Null-safe, so that the join shuffles the totals again and AQE may split a large channel.
+    joined = people.join(totals, F.col("channel").eqNullSafe(F.col("_channel")))
     targets = F.col("_users") - F.when(known, 1).otherwise(0)
     others = F.col("_messages") - F.when(known, F.col("messages")).otherwise(0)
     return joined.select(

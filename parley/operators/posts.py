@@ -48,7 +48,10 @@ def posts(
     if threads is not None:
         replies = threads.select(*POST_COLUMNS)
         if prefer_thread:
-            both = both.join(replies.select("channel", "ts").distinct(), ["channel", "ts"], "left_anti")
+            keys = replies.select(F.col("channel").alias("_channel"), F.col("ts").alias("_ts")).distinct()
+            # Null-safe, so that the join shuffles the keys again and AQE may split copies.
+            same = F.col("channel").eqNullSafe(F.col("_channel")) & F.col("ts").eqNullSafe(F.col("_ts"))
+            both = both.join(keys, same, "left_anti")
         both = both.unionByName(replies)
     return both.distinct()
 

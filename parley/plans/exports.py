@@ -12,8 +12,10 @@ from parley.sinks.jdbc import LOADS, load_group
 
 
 def _order(name: str) -> list[str]:
+    """Sort columns, then keys, then all others: a large group of one key, such as the
+    reactions to one post, is still cut between tasks, and the order is definite."""
     spec = SPECS[name]
-    return [*spec.sort, *[k for k in spec.keys if k not in spec.sort]]
+    return list(dict.fromkeys([*spec.sort, *spec.keys, *spec.columns]))
 
 
 def numbered(ws: Workspace, name: str) -> DataFrame:

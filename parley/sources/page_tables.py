@@ -118,7 +118,6 @@ def _answered(history: DataFrame) -> DataFrame:
         page_messages(history, schemas.REPLIES_IN_PAGE)
         .where(has_replies(F.col("m.reply_count")))
         .select("channel", F.col("m.ts").alias("parent_ts"))
-        .distinct()
     )
 
 
@@ -296,9 +295,11 @@ def redact_private(messages: DataFrame, private: DataFrame) -> DataFrame:
 
     ``private`` holds the ids of such channels in ``channel``.
     """
-    flagged = private.select("channel").distinct().withColumn("_private", F.lit(True))
-    out = messages.join(flagged, "channel", "left")
-    hide = F.coalesce("_private", F.lit(False))
+    listed = private.select(F.col("channel").alias("_private")).distinct()
+    # By null-safe equality the join shuffles both sides itself instead of taking over the
+    # partitions of the distinct, and only such a join lets AQE split a large channel.
+    out = messages.join(listed, F.col("channel").eqNullSafe(F.col("_private")), "left")
+    hide = F.col("_private").isNotNull()
     if "text" in messages.columns:
         hidden = F.when(hide & F.col("text").isNotNull(), F.lit("")).otherwise(F.col("text"))
         out = out.withColumn("text", hidden)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parley.operators import counts, graph, merge, posts, tags
 from parley.operators.merge import SPECS, EntitySpec
+from parley.sources import page_tables
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -116,3 +117,20 @@ def test_channel_with_most_users(said, users, spark):
     channels = spark.createDataFrame([("C1", "c")], "id string, name string")
     many = said.withColumn("user_id", F.col("ts"))
     assert _is_split(counts.top_users_per_channel(many, users, channels))
+
+
+def test_private_channel_with_most_posts(said):
+    rows = said.withColumn("channel", F.col("user_id"))
+    private = said.select(F.col("user_id").alias("channel"))
+    assert _is_split(page_tables.redact_private(rows, private))
+
+
+def test_channel_with_most_members(said):
+    rows = said.withColumns({"user_id": F.col("ts"), "subtype": F.lit("default")})
+    rows = rows.withColumn("channel", F.concat(F.lit("C"), F.col("thread_ts")))
+    assert _is_split(graph.edges_interacts_b(rows))
+
+
+def test_post_with_most_copies(said):
+    copies = said.withColumn("ts", F.col("thread_ts"))
+    assert _is_split(posts.posts(copies, copies, prefer_thread=True))
