@@ -50,7 +50,10 @@ def unreadable(ws: Workspace, batch: str) -> DataFrame:
     return pages.where(F.col("json").isNull()).select("file_name")
 
 
-def load_batch(ws: Workspace, batch: str, poll_channel: str | None = None) -> list[str]:
+def load_batch(
+    ws: Workspace, batch: str, poll_channel: str | None = None, redact: bool = False
+) -> list[str]:
+    """Entity tables of a batch. ``redact`` empties what was said in private channels."""
     decode_batch(ws, batch)
     pages = {kind: _pages(ws, batch, kind) for kind in PAGE_PREFIXES}
     if ws.dialect.threads:
@@ -64,6 +67,12 @@ def load_batch(ws: Workspace, batch: str, poll_channel: str | None = None) -> li
             "file_data": page_tables.files_from_pages(pages["files"], ws.zone),
             "poll_data": page_tables.polls_from_pages(history, poll_channel, ws.zone),
         }
+        if redact:
+            private = page_tables.private_channels(pages["channels"])
+            for name in ("message_data", "thread_data"):
+                tables[name] = page_tables.redact_private(tables[name], private)
+            told = page_tables.pages_of_others(history, private)
+            tables["poll_data"] = page_tables.polls_from_pages(told, poll_channel, ws.zone)
     else:
         tables = {
             "user_data": page_tables.flat_users(pages["users"]),
@@ -175,13 +184,14 @@ def run(
     batch: str | None = None,
     stage: int | None = None,
     poll_channel: str | None = None,
+    redact: bool = False,
 ) -> list[str]:
     """Names of the tables written. Without a batch: stages 3 and 4 over the master."""
     scope = batch or MASTER
     first = (stage or 1) if batch else 3
     done: list[str] = []
     if first <= 1:
-        done += load_batch(ws, batch, poll_channel)
+        done += load_batch(ws, batch, poll_channel, redact)
     if first <= 2:
         done += merge_batch(ws, batch)
     if first <= 3:
@@ -192,19 +202,25 @@ def run(
 
 
 def run_batch_then_master(
-    ws: Workspace, batch: str | None = None, poll_channel: str | None = None
+    ws: Workspace,
+    batch: str | None = None,
+    poll_channel: str | None = None,
+    redact: bool = False,
 ) -> list[str]:
     """One batch, the newest by default, and then the metrics of the master."""
     batch = batch or list_batches(ws.spark, ws.home)[-1]
-    return run(ws, batch, poll_channel=poll_channel) + run(ws)
+    return run(ws, batch, poll_channel=poll_channel, redact=redact) + run(ws)
 
 
 def replay_all(
-    ws: Workspace, poll_channel: str | None = None, batch_metrics: bool = True
+    ws: Workspace,
+    poll_channel: str | None = None,
+    redact: bool = False,
+    batch_metrics: bool = True,
 ) -> list[str]:
     """All batches from their raw pages, one master over them, and its metrics."""
     for batch in list_batches(ws.spark, ws.home):
-        load_batch(ws, batch, poll_channel)
+        load_batch(ws, batch, poll_channel, redact)
         if batch_metrics:
             derive_metrics(ws, batch)
             derive_counts(ws, batch)

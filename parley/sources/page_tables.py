@@ -310,6 +310,14 @@ def redact_private(messages: DataFrame, private: DataFrame) -> DataFrame:
     return out.select(*messages.columns)
 
 
+def pages_of_others(history: DataFrame, private: DataFrame) -> DataFrame:
+    """History pages of channels which are not in ``private``."""
+    hidden = private.select(F.col("channel").alias("_private"))
+    keyed = history.withColumn("_channel", page_channel())
+    kept = keyed.join(hidden, F.col("_channel") == F.col("_private"), "left_anti")
+    return kept.select(*history.columns)
+
+
 def channel_class_b(overwrites: DataFrame) -> DataFrame:
     """Class of a channel by its permission overwrites, ``roles`` in their given order.
 

@@ -21,6 +21,7 @@ def ingest_stream(
     ws: Workspace,
     checkpoint: str,
     poll_channel: str | None = None,
+    redact: bool = False,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Load and merge every batch which got new pages.
@@ -36,7 +37,7 @@ def ingest_stream(
         merged = [v for name in ws.entities for v in ws.versions(name)]
         newest = max(merged, default="")
         for batch in touched:
-            load_batch(ws, batch, poll_channel)
+            load_batch(ws, batch, poll_channel, redact)
         if touched and touched[0] < newest:
             rebuild_master(ws)
         else:

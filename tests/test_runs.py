@@ -110,7 +110,7 @@ def test_stages(monkeypatch):
 
 
 def test_newest_batch_then_master(spark, home, monkeypatch):
-    monkeypatch.setattr(runs, "run", lambda ws, batch=None, poll_channel=None: [(batch, poll_channel)])
+    monkeypatch.setattr(runs, "run", lambda ws, batch=None, poll_channel=None, redact=False: [(batch, poll_channel)])
     ws = Workspace(spark, str(home))
     assert runs.run_batch_then_master(ws, poll_channel="C1") == [(THIRD, "C1"), (None, None)]
     assert runs.run_batch_then_master(ws, FIRST) == [(FIRST, None), (None, None)]
@@ -196,3 +196,21 @@ def test_exports(spark, home, monkeypatch):
     assert set(done) == set(loaded) == set(jdbc.LOADS)
     assert loaded["reaction_data"] == ["index", "channel", "ts", "thread_ts", "user_id", "reaction"]
     assert loaded["edge_data"] == ["channel", "source", "target", "time", "relate"]
+
+
+def test_redacted_load(spark, tmp_path, rows):
+    clock = 1588327872000000
+    poll = [{"block_id": "poll-a-0123456789menu", "text": {"text": "Lunch?"}}, {"block_id": "poll-x", "text": {"text": "Soup `3`"}}]
+    for channel in ("C1", "C2"):
+        history = [_message("1588000000.000100", "U1", "said", reply_count=1, blocks=poll)]
+        _write(tmp_path, FIRST, "conversation_history", channel, clock, {"messages": history})
+        _write(tmp_path, FIRST, "conversation_replies", f"{channel}_1588000000.000100", clock, {"messages": history})
+    listed = [{"id": "C1", "is_channel": True}, {"id": "C2", "is_channel": True, "is_private": True}]
+    _write(tmp_path, FIRST, "conversation_list", "all", clock, {"channels": listed})
+    ws = Workspace(spark, str(tmp_path))
+    runs.load_batch(ws, FIRST, redact=True)
+    for name in ("message_data", "thread_data"):
+        assert rows(ws.table(FIRST, name), "channel", "text") == [("C1", "said"), ("C2", "")]
+    assert rows(ws.table(FIRST, "poll_data"), "vote_item") == [("Soup",)]
+    runs.load_batch(ws, FIRST)
+    assert ws.table(FIRST, "poll_data").count() == 2
