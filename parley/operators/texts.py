@@ -53,6 +53,16 @@ def word_forms(
     return counted.withColumn("lemma", verb_lemma(F.col("token"), verbs, irregular))
 
 
+def forms_from_table(words: DataFrame, table: DataFrame, form: str) -> DataFrame:
+    """Add the stem or lemma which a table ``(token, <form>)`` gives; else the token itself.
+
+    ``words`` is a vocabulary (``word_counts``): the join runs once per distinct token.
+    """
+    given = table.select(F.col("token").alias("_token"), F.col(form).alias("_form"))
+    joined = words.join(given, F.col("token") == F.col("_token"), "left")
+    return joined.withColumn(form, F.coalesce("_form", "token")).drop("_token", "_form")
+
+
 def thank_you_posts(
     df: DataFrame,
     text: str = "text",

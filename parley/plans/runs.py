@@ -25,7 +25,9 @@ _DECODED = "file_name string, json string, kind string"
 
 
 def _write(df: DataFrame, path: str, *by: str) -> None:
-    df.write.mode("overwrite").partitionBy(*by).parquet(path)
+    # Readers take a table for complete by its success marker.
+    marked = df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    marked.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def _pages(ws: Workspace, batch: str, kind: str) -> DataFrame:

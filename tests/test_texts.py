@@ -52,3 +52,9 @@ def test_posts_that_say_thanks(spark):
     assert got == {
         0: ["many", "thank", "the", "team", "work"], 1: None, 2: ["thx"], 3: None, 4: None, 5: ["thank"],
     }
+
+
+def test_stems_out_of_a_table(spark, rows):
+    words = texts.word_counts(_texts(spark, "rituals values rituals"))
+    table = spark.createDataFrame([("rituals", "ritual"), ("other", "oth")], "token string, stem string")
+    assert rows(texts.forms_from_table(words, table, "stem")) == [("rituals", 2, "ritual"), ("values", 1, "values")]
