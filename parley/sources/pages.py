@@ -87,18 +87,30 @@ def literal_json(value: Column | str) -> Column:
         import json
         import re
 
-        plain = r"""'[^'\\"]*'|"[^"\\]*"|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[A-Za-z_]+"""
-        tokens = re.compile(plain, re.DOTALL)
+        # A run of strings without quotes or escapes inside, and what stands between them; any
+        # other string; a word.
+        run = r"""'[^'\\"]*'(?:[\s:,\[\]{}0-9.-]+'[^'\\"]*')*"""
+        string = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
+        tokens = re.compile(f"{run}|{string}|[A-Za-z_]+", re.DOTALL)
         constants = {"None": "null", "True": "true", "False": "false"}
+        # Escapes which mean the same in JSON, up to the quote.
+        single = re.compile(r"(?:[^\\]|\\[nrt\\'])*", re.DOTALL)
+        double = re.compile(r'(?:[^\\]|\\[nrt\\"])*', re.DOTALL)
 
         def rewrite(match) -> str:
             token = match.group()
-            quote = token[0]
-            if quote not in "'\"":
+            quote, body = token[0], token[1:-1]
+            if quote == "'":
+                if "\\" not in token and '"' not in token:
+                    return token.replace("'", '"')
+                if single.fullmatch(body):
+                    return '"' + body.replace("\\'", "'").replace('"', '\\"') + '"'
+            elif quote == '"':
+                if double.fullmatch(body):
+                    return token
+            else:
                 return constants[token]
-            if "\\" in token or (quote == "'" and '"' in token):
-                return json.dumps(ast.literal_eval(token))
-            return '"' + token[1:-1] + '"'
+            return json.dumps(ast.literal_eval(token))
 
         def to_json(text: str | None) -> str | None:
             if text is None:

@@ -1,3 +1,5 @@
+import json
+import random
 from datetime import datetime
 
 import pandas as pd
@@ -250,3 +252,36 @@ def test_user_function_sees_every_page(pages, rows):
     named = [(_name("user_list", "all", i), {"members": [{"id": "U"}] * i}) for i in range(3)]
     got = process_pages(pages(*named), sizes, "file string, n bigint", key="members")
     assert rows(got, "n") == [(0,), (1,), (2,)]
+
+
+def test_any_printed_value_comes_back(spark):
+    """Nested values with awkward strings, printed and decoded again."""
+    dice = random.Random(3)
+    parts = ["'", '"', "\\", "\n", "\t", "\r", "\x00", "\x7f", "é", "\u2028", "😀", "None", " True, ", ": ", "[", "}", "a", "0", "\\'", '\\"', "it's", "b'x'"]
+
+    def text():
+        return "".join(dice.choice(parts) for _ in range(dice.randrange(8)))
+
+    def value(depth):
+        kind = dice.randrange(9 if depth < 4 else 6)
+        if kind == 6:
+            return [value(depth + 1) for _ in range(dice.randrange(4))]
+        if kind > 6:
+            return {text(): value(depth + 1) for _ in range(dice.randrange(5))}
+        return [None, True, False, dice.randrange(-(10**20), 10**20), dice.random() * 10.0 ** dice.randrange(-30, 30), text()][kind]
+
+    values = [{"v": value(0)} for _ in range(3000)]
+    frame = spark.createDataFrame([(str(i), str(v)) for i, v in enumerate(values)], "file_name string, value string")
+    decoded = {int(r.file_name): r.json for r in decode_literal(frame).collect()}
+    assert {i: json.loads(decoded[i]) for i in decoded} == dict(enumerate(values))
+
+
+def test_other_literals_and_no_literals(spark, rows):
+    texts = ["(1, 'a')", "{1: 'x'}", "['a' 'b']", "[0x10, 1_0, +1]", "[1,]", " {'a': 1}", "['\\x41']",
+             "null", "[true]", "[NaN]", "[nan]", "", "NoneX", "[1, 2", "'", "f('x')", "['a'b]", None]
+    frame = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "file_name string, value string")
+    got = {texts[int(r.file_name)]: r.json for r in decode_literal(frame).collect()}
+    assert {k: json.loads(v) for k, v in got.items() if v is not None} == {
+        "(1, 'a')": [1, "a"], "{1: 'x'}": {"1": "x"}, "['a' 'b']": ["ab"], "[0x10, 1_0, +1]": [16, 10, 1],
+        "[1,]": [1], " {'a': 1}": {"a": 1}, "['\\x41']": ["A"],
+    }
