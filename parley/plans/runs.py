@@ -18,7 +18,7 @@ from parley.operators.merge import SPECS, UNCHANGED, changes, replay
 from parley.plans.workspace import MASTER, Workspace
 from parley.schemas import ENTITIES
 from parley.sources import page_tables
-from parley.sources.files import exists, list_batches
+from parley.sources.files import list_batches
 from parley.sources.pages import PAGE_PREFIXES, normalize_pages_to_json, page_kind, read_pages
 
 _DECODED = "file_name string, json string, kind string"
@@ -111,7 +111,7 @@ def rebuild_master(ws: Workspace) -> list[str]:
     batches = list_batches(ws.spark, ws.home)
     rebuilt = []
     for name in ws.entities:
-        ready = [b for b in batches if exists(ws.spark, f"{ws.table_path(b, name)}/_SUCCESS")]
+        ready = [b for b in batches if ws.is_written(ws.table_path(b, name))]
         if not ready:
             continue
         rows = ws.spark.read.schema(ENTITIES[name]).parquet(*[ws.table_path(b, name) for b in ready])

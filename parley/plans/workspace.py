@@ -59,8 +59,16 @@ class Workspace:
 
     # -- reading ------------------------------------------------------------------------------
 
+    def is_written(self, path: str) -> bool:
+        """Whether a table is there; one left behind by a failed write is an error."""
+        if exists(self.spark, f"{path}/_SUCCESS"):
+            return True
+        if exists(self.spark, path):
+            raise RuntimeError(f"{path} is incomplete: run its batch again")
+        return False
+
     def _read(self, path: str, schema: StructType) -> DataFrame:
-        if not exists(self.spark, f"{path}/_SUCCESS"):
+        if not self.is_written(path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 

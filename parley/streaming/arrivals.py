@@ -10,10 +10,15 @@ from parley.plans.runs import load_batch, merge_batch, rebuild_master
 from parley.plans.workspace import Workspace
 
 
+# Fixed by the file source: of these only the path is asked for, so no content is read.
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def arrivals(ws: Workspace) -> DataFrame:
-    """A stream of the batch ids of new page files; their content is not read here."""
-    files = ws.spark.readStream.format("text").option("wholetext", True).load(f"{ws.home}/*/api")
-    batch = F.regexp_extract("_metadata.file_path", r"/(\d{14})/api/", 1)
+    """A stream of the batch ids of new page files."""
+    source = ws.spark.readStream.format("binaryFile").schema(_FILES)
+    files = source.option("pathGlobFilter", "*.json").load(f"{ws.home}/*/api")
+    batch = F.regexp_extract("path", r"/(\d{14})/api/", 1)
     return files.select(batch.alias("batch_id")).where(F.col("batch_id") != "")
 
 

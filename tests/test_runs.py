@@ -214,3 +214,13 @@ def test_redacted_load(spark, tmp_path, rows):
     assert rows(ws.table(FIRST, "poll_data"), "vote_item") == [("Soup",)]
     runs.load_batch(ws, FIRST)
     assert ws.table(FIRST, "poll_data").count() == 2
+
+
+def test_a_failed_write_is_no_empty_table(spark, tmp_path):
+    ws = Workspace(spark, str(tmp_path))
+    assert ws.table(FIRST, "user_data").count() == 0
+    (tmp_path / FIRST / "tables" / "user_data").mkdir(parents=True)
+    with pytest.raises(RuntimeError, match="incomplete"):
+        ws.table(FIRST, "user_data")
+    (tmp_path / "master" / "user_data" / f"v-{FIRST}").mkdir(parents=True)
+    assert ws.versions("user_data") == [], "a merge that failed is done again from the version before"
