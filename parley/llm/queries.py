@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import packing, planes, shards
+from parley.llm import bpe, langid, packing, planes, shards
 from parley.llm.common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +44,20 @@ def op4_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op7_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=0, capacity=2048)
+
+
+@_query
+def op6_stream_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+def _fold(divisor: int) -> Column:
+    """The remainder of the checksum of ``doc_id`` as text."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+@_query
+def op3_kneser_ney_languages(spark: SparkSession, folder: str) -> DataFrame:
+    found = langid.identify(table(spark, folder, "documents"), _fold(3) != 1)
+    held_out = F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "rejected", "entropy", "symbols")
