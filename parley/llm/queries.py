@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, langid, packing, planes, shards
+from parley.llm import bpe, langid, packing, planes, quality, shards
 from parley.llm.common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,11 @@ def op3_kneser_ney_languages(spark: SparkSession, folder: str) -> DataFrame:
     found = langid.identify(table(spark, folder, "documents"), _fold(3) != 1)
     held_out = F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out")
     return found.select("doc_id", held_out, "lang_pred", "score", "rejected", "entropy", "symbols")
+
+
+@_query
+def op10_fourier_quality(spark: SparkSession, folder: str) -> DataFrame:
+    # one of the three learning folds calibrates
+    scored = quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"), _fold(4) != 2, _fold(4) == 3)
+    held_out = F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted")
