@@ -74,7 +74,7 @@ class Memo(dict):
     Keys longer than ``longest`` are made each time.
     """
 
-    def __init__(self, make: Callable, most: int = 400_000, longest: int = 64):
+    def __init__(self, make: Callable, most: int = 600_000, longest: int = 64):
         super().__init__()
         self.make, self.most, self.longest, self.old = make, most, longest, {}
 
