@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, langid, packing, planes, quality, shards
+from parley.llm import bpe, jaccard, langid, packing, planes, quality, shards
 from parley.llm.common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,8 @@ def op10_fourier_quality(spark: SparkSession, folder: str) -> DataFrame:
     scored = quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"), _fold(4) != 2, _fold(4) == 3)
     held_out = F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held_out, "score", "predicted")
+
+
+@_query
+def op2_parity_sketch_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"), words=4, part=85, whole=100)
