@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, jaccard, langid, packing, planes, quality, shards
+from parley.llm import bpe, covertree, jaccard, langid, packing, planes, quality, shards, vectors
 from parley.llm.common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,13 @@ def op10_fourier_quality(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op2_parity_sketch_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"), words=4, part=85, whole=100)
+
+
+@_query
+def op8_itq_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"), threshold=0.9)
+
+
+@_query
+def op9_dual_tree_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return covertree.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10, factor=1024.0)
