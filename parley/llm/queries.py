@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, covertree, jaccard, langid, packing, planes, quality, shards, vectors
+from parley.llm import bpe, covertree, jaccard, langid, licenses, packing, planes, quality, shards, vectors
 from parley.llm.common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +84,8 @@ def op8_itq_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op9_dual_tree_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return covertree.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10, factor=1024.0)
+
+
+@_query
+def op5_license_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
