@@ -51,23 +51,23 @@ def op6_stream_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
-def _fold(divisor: int) -> Column:
+def fold(divisor: int) -> Column:
     """The remainder of the checksum of ``doc_id`` as text."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
 
 
 @_query
 def op3_kneser_ney_languages(spark: SparkSession, folder: str) -> DataFrame:
-    found = langid.identify(table(spark, folder, "documents"), _fold(3) != 1)
-    held_out = F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out")
+    found = langid.identify(table(spark, folder, "documents"), fold(3) != 1)
+    held_out = F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out")
     return found.select("doc_id", held_out, "lang_pred", "score", "rejected", "entropy", "symbols")
 
 
 @_query
 def op10_fourier_quality(spark: SparkSession, folder: str) -> DataFrame:
     # one of the three learning folds calibrates
-    scored = quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"), _fold(4) != 2, _fold(4) == 3)
-    held_out = F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out")
+    scored = quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"), fold(4) != 2, fold(4) == 3)
+    held_out = F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held_out, "score", "predicted")
 
 
