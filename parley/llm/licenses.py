@@ -33,8 +33,11 @@ BASE = {
 #: Family, keyword, expression of its name in words, versions.
 FAMILIES = [
     ("apache", "apache", r"apache(?: software| public)*(?: license)?", ["1.0", "1.1", "2.0"]),
-    ("mit", " mit ", r"mit(?: x11)?", []),
-    ("isc", " isc ", r"isc", []),
+    ("mit", " mit licen", r"mit licen[cs]e", []),
+    ("mit", " mit x11", r"mit x11(?: licen[cs]e)?", []),
+    ("mit", "identifier mit ", r"mit", []),
+    ("isc", " isc licen", r"isc licen[cs]e", []),
+    ("isc", "identifier isc ", r"isc", []),
     ("bsd-2-clause", " bsd ", r"(?:bsd 2 clause|simplified bsd|2 clause bsd|freebsd)", []),
     ("bsd-3-clause", " bsd ", r"(?:bsd 3 clause|new bsd|modified bsd|revised bsd|3 clause bsd)", []),
     ("bsd-4-clause", " bsd ", r"(?:bsd 4 clause|original bsd|4 clause bsd)", []),
@@ -95,7 +98,7 @@ STATEMENTS = [
     ("proprietary", "proprietary", r"proprietary and confidential", 1),
     ("no-redistribution", "redistribut", r"(?:do not|may not be|no) redistribut(?:e|ed|ion)", 2),
     ("warranty-disclaimer", "warrant", r"without warranty of any kind", 2),
-    ("warranty-disclaimer", "as is", r"provided as is", 3),
+    ("warranty-disclaimer", "provided as is", r"provided as is", 3),
     ("permissive-grant", "permission is hereby granted", r"permission is hereby granted free of charge to any person", 1),
     ("permissive-grant", "redistribution and use", r"redistribution and use in source and binary forms", 1),
 ]
@@ -136,15 +139,15 @@ def rules() -> list[Rule]:
             found.append((f"{label}-{version}", keyword, then, 1))
         found.append((label, keyword, _GRANT + name, 1))
         found.append((label, keyword, _TAG + name, 1))
-        if keyword.strip() not in ("mit", "isc"):
+        if name not in ("mit", "isc"):
             found.append((label, keyword, name, 3))
-        found.append((label, keyword, rf"{name}(?: public)? licen[cs]e", 2))
+        found.append((label, keyword, name if "licen" in name else rf"{name}(?: public)? licen[cs]e", 2))
     found.extend((label, keyword, pattern, priority) for label, keyword, pattern, priority in STATEMENTS)
     framed = [(a, k, _WORD_WAS_BEFORE + p + _WORD_COMES_NEXT, n) for a, k, p, n in found]
     return [Rule(i, *values) for i, values in enumerate(framed)]
 
 
-_SCHEMA = "array<struct<order:int,label:string,keyword:string,pattern:string,priority:int>>"
+_SCHEMA = "array<struct<keyword:string,rules:array<struct<order:int,label:string,pattern:string,priority:int>>>>"
 #: ASCII signs outside words, and capitals with their small letters.
 _SIGNS = "".join(chr(c) for c in (*range(1, 48), *range(58, 65), *range(91, 97), *range(123, 128)))
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -236,9 +239,11 @@ def scan(docs: DataFrame, base: dict[str, str] | None = None, given: list[Rule]
             "_base": F.array_compact(F.array(*labels)),
         }
     )
-    table = F.from_json(F.lit(json.dumps([asdict(r) for r in given])), _SCHEMA)
-    chosen = F.filter(table, lambda r: F.contains(words, r["keyword"]))
-    detected = F.flatten(F.transform(chosen, lambda r: _intervals(words, r)))
+    # constant, so it is parsed once; one search for each keyword and not for each rule
+    table = F.from_json(F.lit(json.dumps([{"keyword": k, "rules": [asdict(r) for r in given if r.keyword == k]} for k in keywords])), _SCHEMA)
+    chosen = F.flatten(F.filter(table, lambda t: F.contains(words, t["keyword"]))["rules"])
+    matching = F.filter(chosen, lambda r: F.rlike(words, r["pattern"]))
+    detected = F.flatten(F.transform(matching, lambda r: _intervals(words, r)))
     rows = rows.withColumn("_found", F.when(F.col("_keyed"), _survivors(detected)))
     everything = F.array_union(F.col("_base"), F.coalesce(F.col("_found.labels"), F.array().cast("array<string>")))
     confidence = F.coalesce(F.element_at(F.array(*map(F.lit, [*CONFIDENCE, 0.0])), F.col("_found.best") + 1), F.lit(0.0))
