@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import Memo, small_batches
+from parley.llm.common import Memo, prepare_workers
 from parley.llm.tokens import byte_letters, spell
 
 #: Characters of a text that are encoded at once, up to the next gap.
@@ -254,7 +254,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     No shuffle. Ids and decoded text go through as slices and are never held whole.
     """
-    small_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = transducer(path)
@@ -281,7 +281,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) of every document."""
-    small_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = transducer(path)

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Sequence
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,8 +31,6 @@ def shared_folder(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        import tempfile
-
         base = tempfile.mkdtemp(prefix="parley-llm-")
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
@@ -38,8 +42,26 @@ def stored(df: DataFrame, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of texts small; a smaller setting of the caller stays."""
+@lru_cache(maxsize=8)
+def _ship_package(application: str) -> None:
+    """Send this package to the executors of an application, whose paths may lack it."""
+    root = Path(__file__).resolve().parents[1]
+    # executors fetch it from the driver whenever they start, so it stays until the driver ends
+    folder = tempfile.mkdtemp(prefix="parley-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / f"{root.name}-{application}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as file:
+        for source in sorted(root.rglob("*.py")):
+            file.write(source, source.relative_to(root.parent))
+    SparkSession.getActiveSession().sparkContext.addPyFile(str(archive))
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Give Python workers this package, and keep Arrow batches of texts small.
+
+    A smaller batch size of the caller stays.
+    """
+    _ship_package(spark.sparkContext.applicationId)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > BATCH_ROWS or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(BATCH_ROWS))

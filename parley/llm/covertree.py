@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.llm.common import prepare_workers
+
 #: Candidates and queries in a block.
 BLOCK, QUERIES = 4096, 1024
 #: Nodes of so few points are not divided further.
@@ -181,6 +183,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, factor: float = 1024.0
 
     A condition on ``vec_id`` names the queries; all rows are candidates.
     """
+    prepare_workers(rows.sparkSession)
     # only what can be scaled is; the bound keeps sums within 64 bits
     fits = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * factor < _LARGEST))
     good = rows.where(F.col("vec_id").isNotNull() & F.coalesce(fits, F.lit(False)) & (F.size("embedding") > 0))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import small_batches, stored
+from parley.llm.common import prepare_workers, stored
 
 ORDER = 4
 #: Bounds of the broadcast model: n-grams of the highest order by language, and languages.
@@ -82,7 +82,7 @@ def count_grams(words: Counter) -> tuple[list[str], np.ndarray]:
 
 def gram_counts(train: DataFrame) -> DataFrame:
     """(lang, gram, n) over all training rows (lang, text)."""
-    small_batches(train.sparkSession)
+    prepare_workers(train.sparkSession)
     schema = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +251,7 @@ def entropies(docs: DataFrame, models: Models) -> DataFrame:
 
     A text without a letter, or no model, gives nulls and no symbols.
     """
-    small_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(models)
     keep = [c for c in docs.columns if c != "text"]
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}

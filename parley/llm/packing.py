@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import numbered, small_batches, stored
+from parley.llm.common import numbered, prepare_workers, stored
 from parley.llm.tokens import encoder
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -35,7 +35,7 @@ _ARROW = pa.schema(
 
 def cut_pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
     """The pieces of all documents; a piece is shorter than the capacity only at the end."""
-    small_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = encoder(path)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import small_batches
+from parley.llm.common import prepare_workers
 from parley.llm.tokens import encoder
 
 BLOCK_IDS = 1 << 16
@@ -126,7 +126,7 @@ def segments(
     One shuffle by ranges of ``doc_id``; a task holds one segment and one batch of texts. A
     segment is full at ``segment_ids`` or more ids, as a document is never divided.
     """
-    small_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = encoder(path)

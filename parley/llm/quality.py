@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import small_batches, stored
+from parley.llm.common import prepare_workers, stored
 
 #: Features, width of the kernel in standard deviations, ridge penalty per row.
 FEATURES, WIDTH, PENALTY, SEED = 256, 4.0, 1e-4, 7
@@ -95,7 +95,7 @@ def statistics_of(text: str) -> list[float]:
 
 def statistics(docs: DataFrame) -> DataFrame:
     """doc_id and the statistics of the whole text, an array."""
-    small_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import stored
+from parley.llm.common import prepare_workers, stored
 from parley.llm.components import components
 
 #: Rows that the rotations are learned on, and rounds of learning.
@@ -140,6 +140,7 @@ def rerank(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
 
 def near_vectors(rows: DataFrame, threshold: float = 0.9) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row (vec_id, embedding)."""
+    prepare_workers(rows.sparkSession)
     everything = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
     good = everything.where(usable("vector") & F.col("vec_id").isNotNull())
     lengths = good.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
