@@ -127,20 +127,34 @@ def merge_counts(tagged: DataFrame) -> DataFrame:
     return tagged.groupBy(F.col("_change").alias("change")).agg(F.count("*").alias("rows"))
 
 
-def replay(batches: DataFrame, spec: EntitySpec, batch: str = "batch_id") -> DataFrame:
-    """The master which sequential upserts of all batches, oldest first, would give.
+def replay(
+    batches: DataFrame,
+    spec: EntitySpec,
+    batch: str = "batch_id",
+    first: str | None = None,
+    state: bool = False,
+) -> DataFrame:
+    """The master which sequential upserts of all batches, in order of ``batch``, would give.
 
     The rows of a key are those of its last batch. That batch comes from an aggregate which
     reduces before the shuffle, and is joined back; so a key with very many rows never meets
     in one window group, and AQE may split it in the join.
+
+    With ``state`` the rows also carry ``batch_id``, the last batch of their key, and
+    ``first_id``, its first; such rows, with ``first`` naming the latter, can be replayed
+    together with further batches of any age.
     """
-    seen = F.struct(F.col(batch))
+    first = first or batch
     last = batches.groupBy(*[F.col(k).alias("_l_" + k) for k in spec.keys]).agg(
         F.max(batch).alias("_last"),
-        *[F.min_by(c, seen).alias("_first_" + c) for c in spec.keep_first],
+        F.min(first).alias("_first"),
+        *[F.min_by(c, F.col(first)).alias("_first_" + c) for c in spec.keep_first],
     )
     joined = batches.join(
         last, _same_key(spec.keys, "_l_") & (F.col(batch) == F.col("_last")), "inner"
     )
-    first = {c: F.col("_first_" + c) for c in spec.keep_first}
-    return joined.select(*[first.get(c, F.col(c)).alias(c) for c in spec.columns]).distinct()
+    kept = {c: F.col("_first_" + c) for c in spec.keep_first}
+    columns = [kept.get(c, F.col(c)).alias(c) for c in spec.columns]
+    if state:
+        columns += [F.col("_last").alias("batch_id"), F.col("_first").alias("first_id")]
+    return joined.select(*columns).distinct()

@@ -8,20 +8,31 @@ back, which also cuts the lineage at a stored table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.operators import counts, graph, members, posts, replies, tags
-from parley.operators.merge import SPECS, UNCHANGED, changes, replay
+from parley.operators.merge import SPECS, replay
 from parley.plans.workspace import MASTER, Workspace
 from parley.schemas import ENTITIES
+from parley.sinks.files import write_batch_metadata
 from parley.sources import page_tables
-from parley.sources.files import list_batches
-from parley.sources.pages import PAGE_PREFIXES, normalize_pages_to_json, page_kind, read_pages
+from parley.sources.files import exists, glob_names, list_batches, remove
+from parley.sources.pages import (
+    LIST_FIELDS,
+    PAGE_PREFIXES,
+    normalize_pages_to_json,
+    page_faults,
+    page_kind,
+    read_pages,
+)
+from parley.sources.tables import read_entity
 
-_DECODED = "file_name string, json string, kind string"
+_DECODED = "file_name string, json string"
+_PARTS = "step string, kind string"
 
 
 def _write(df: DataFrame, path: str, *by: str) -> None:
@@ -31,8 +42,8 @@ def _write(df: DataFrame, path: str, *by: str) -> None:
 
 
 def _pages(ws: Workspace, batch: str, kind: str) -> DataFrame:
-    pages = ws.spark.read.schema(_DECODED).parquet(ws.pages_path(batch))
-    return pages.where(F.col("kind") == kind).drop("kind")
+    pages = ws.spark.read.schema(f"{_DECODED}, {_PARTS}").parquet(ws.pages_path(batch))
+    return pages.where(F.col("kind") == kind).drop("step", "kind")
 
 
 # -- stage 1 ----------------------------------------------------------------------------------
@@ -41,15 +52,35 @@ def _pages(ws: Workspace, batch: str, kind: str) -> DataFrame:
 def decode_batch(ws: Workspace, batch: str) -> None:
     """Raw pages to JSON, once per page and in one job: every table of the batch is made
     from these, and each reads the partition of its kind only."""
-    pages = normalize_pages_to_json(read_pages(ws.spark, ws.home, batch))
-    known = pages.withColumn("kind", page_kind()).where(F.col("kind").isNotNull())
-    _write(known, ws.pages_path(batch), "kind")
+    _write_pages(ws, batch, read_pages(ws.spark, ws.home, batch), "all")
+
+
+def decode_arrived(ws: Workspace, batch: str, arrived: DataFrame, step: int) -> None:
+    """Decode those of the pages (file_name, value) which are not decoded yet, next to the
+    others. A step which is repeated overwrites its own pages only.
+    """
+    root = ws.pages_path(batch)
+    if exists(ws.spark, root):
+        others = ws.spark.read.schema(f"file_name string, {_PARTS}").parquet(root).where(F.col("step") != f"s{step}")
+        arrived = arrived.join(others.select("file_name"), "file_name", "left_anti")
+    _write_pages(ws, batch, arrived, f"s{step}")
+
+
+def _write_pages(ws: Workspace, batch: str, pages: DataFrame, step: str) -> None:
+    """Pages by kind; a full decode replaces all steps, an arriving step only itself."""
+    known = normalize_pages_to_json(pages).withColumn("kind", page_kind()).where(F.col("kind").isNotNull())
+    root = ws.pages_path(batch)
+    if step == "all":
+        _write(known.withColumn("step", F.lit(step)), root, "step", "kind")
+    else:
+        _write(known, f"{root}/step={step}", "kind")
 
 
 def unreadable(ws: Workspace, batch: str) -> DataFrame:
-    """File names of the pages of a batch which could not be decoded."""
-    pages = ws.spark.read.schema(_DECODED).parquet(ws.pages_path(batch))
-    return pages.where(F.col("json").isNull()).select("file_name")
+    """(file_name, reason) of the pages of a batch which give no rows of their kind: those
+    that could not be decoded, and those without the list that their kind holds."""
+    pages = ws.spark.read.schema(f"{_DECODED}, {_PARTS}").parquet(ws.pages_path(batch))
+    return page_faults(pages, LIST_FIELDS if ws.dialect.threads else {})
 
 
 def load_batch(
@@ -57,6 +88,17 @@ def load_batch(
 ) -> list[str]:
     """Entity tables of a batch. ``redact`` empties what was said in private channels."""
     decode_batch(ws, batch)
+    return build_tables(ws, batch, poll_channel, redact)
+
+
+def build_tables(
+    ws: Workspace, batch: str, poll_channel: str | None = None, redact: bool = False
+) -> list[str]:
+    """Entity tables of a batch from its decoded pages, and the stamp that they are complete.
+
+    A table given as CSV under ``csv`` of the batch takes the place of the one from pages;
+    tables which no page holds come in this way only.
+    """
     pages = {kind: _pages(ws, batch, kind) for kind in PAGE_PREFIXES}
     if ws.dialect.threads:
         history, answers = pages["messages"], pages["threads"]
@@ -82,45 +124,58 @@ def load_batch(
             "message_data": page_tables.flat_messages(pages["flat_messages"]),
             "file_data": page_tables.flat_files(pages["files"]),
         }
+    for name in ws.entities:
+        if exists(ws.spark, f"{ws.home}/{batch}/csv/{name}.csv"):
+            tables[name] = read_entity(ws.spark, ws.home, f"{batch}/csv", name)
+    # Without its stamp a batch is not merged, and a base that holds it no longer counts.
+    remove(ws.spark, ws.stamp_path(batch))
     for name, df in tables.items():
         _write(df.select(*ENTITIES[name].names), ws.table_path(batch, name))
+    write_batch_metadata(ws.spark, ws.home, batch)
+    _mark(ws, ws.stamp_path(batch), uuid.uuid4().hex)
     return list(tables)
 
 
+def _mark(ws: Workspace, path: str, text: str) -> None:
+    marked = ws.spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite")
+    marked.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").text(path)
+
+
 # -- stage 2 ----------------------------------------------------------------------------------
 
 
 def merge_batch(ws: Workspace, batch: str) -> list[str]:
-    """Fold the tables of a batch into the master. An empty table leaves the master as it is.
-
-    One write holds the new master and, as its partitions, the inserted and updated rows.
-    """
-    merged = []
-    for name in ws.entities:
-        incoming = ws.table(batch, name)
-        if incoming.isEmpty():
-            continue
-        tagged = changes(ws.master(name, before=batch), incoming, SPECS[name], distinct_master=True)
-        _write(tagged, ws.version_path(name, batch), "_change")
-        merged.append(name)
-    return merged
-
-
-def rebuild_master(ws: Workspace) -> list[str]:
-    """The master over all batches in one pass per table, instead of merge after merge."""
-    batches = list_batches(ws.spark, ws.home)
-    rebuilt = []
+    """Make a loaded batch part of the master. No row is copied; an empty table changes nothing."""
+    if ws.stamp(batch) is None:
+        raise RuntimeError(f"batch {batch} is not loaded completely: load it again")
+    _mark(ws, ws.merged_path(batch), batch)
+    return [name for name in ws.entities if ws.is_written(ws.table_path(batch, name))]
+
+
+def merge_all(ws: Workspace) -> list[str]:
+    """Merge every loaded batch."""
+    merged = [merge_batch(ws, batch) for batch in list_batches(ws.spark, ws.home) if ws.stamp(batch)]
+    return [name for name in ws.entities if any(name in names for names in merged)]
+
+
+def compact(ws: Workspace) -> str | None:
+    """Write the replay of all merged batches as a base, so that readers need not go through
+    them again. Older bases stay until they are removed by hand; None without batches."""
+    batches = ws.merged()
+    if not batches:
+        return None
+    stamps = [(b, ws.stamp(b)) for b in batches]
+    missing = [b for b, stamp in stamps if stamp is None]
+    if missing:
+        raise RuntimeError(f"batches {missing} are not loaded completely: load them again")
+    number = max([int(v.removeprefix("v-")) for v in glob_names(ws.spark, f"{ws.home}/{MASTER}/base/v-*")], default=0) + 1
+    version = f"v-{number:08d}"
     for name in ws.entities:
-        ready = [b for b in batches if ws.is_written(ws.table_path(b, name))]
-        if not ready:
-            continue
-        rows = ws.spark.read.schema(ENTITIES[name]).parquet(*[ws.table_path(b, name) for b in ready])
-        batch_id = F.regexp_extract("_metadata.file_path", r"/(\d{14})/tables/", 1).cast("bigint")
-        master = replay(rows.withColumn("batch_id", batch_id), SPECS[name])
-        tagged = master.withColumn("_change", F.lit(UNCHANGED))
-        _write(tagged, ws.version_path(name, ready[-1]), "_change")
-        rebuilt.append(name)
-    return rebuilt
+        rows = ws.history(name, batches)
+        if rows is not None:
+            _write(replay(rows, SPECS[name], first="first_id", state=True), ws.base_path(version, name))
+    _write(ws.spark.createDataFrame(stamps, "batch string, stamp string").coalesce(1), ws.base_path(version, "stamps"))
+    return version
 
 
 # -- stages 3 and 4 -----------------------------------------------------------------------------
@@ -226,4 +281,4 @@ def replay_all(
         if batch_metrics:
             derive_metrics(ws, batch)
             derive_counts(ws, batch)
-    return rebuild_master(ws) + run(ws)
+    return merge_all(ws) + run(ws)

@@ -4,30 +4,47 @@
     <home>/<batch>/json       decoded pages, a partition per kind of page
     <home>/<batch>/tables     entity tables of the batch
     <home>/<batch>/metrics    metrics of the batch
-    <home>/master/<table>/v-<batch>   master after that batch, by kind of change
+    <home>/<batch>/loaded     stamp of the load, written after the last table
+    <home>/master/merged/<batch>   says that the batch belongs to the master
+    <home>/master/base/v-<n>  the master over some batches, and the stamps of their loads
     <home>/metrics            metrics of the master
     <home>/references         zone, country and channel_ref files
 
-A merge reads the newest master version older than its batch and writes its own version. So
-no path is overwritten while it is read, and a batch which is run again, also after a failure,
-gives the same master.
+The master is what sequential upserts of all merged batches in the order of their ids would
+give, whatever the order in which they were merged: a merge only writes that the batch belongs
+to it, and a reader replays the tables of the batches. So a merge copies no row, no batch can be
+lost, and a batch counts with all its tables or not at all. A base holds the replay of some
+batches with the first and last batch of each row, so batches of any age can follow; it counts
+only as long as those batches have not been loaded again.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from parley.dialect import THREADED, Dialect
-from parley.operators.merge import FLAT_ENTITIES, THREADED_ENTITIES
+from parley.operators.merge import (
+    FLAT_ENTITIES,
+    INSERT,
+    SPECS,
+    THREADED_ENTITIES,
+    UPDATE,
+    insert_delta,
+    replay,
+    update_delta,
+)
 from parley.schemas import ENTITIES, REFERENCES
 from parley.sources.files import exists, glob_names
 from parley.sources.tables import read_reference
 
 MASTER = "master"
+# The table of a base which names its batches; it is written last.
+_STAMPS = "stamps"
 
 
 @dataclass(frozen=True)
@@ -54,8 +71,14 @@ class Workspace:
         folder = self.home if scope == MASTER else f"{self.home}/{scope}"
         return f"{folder}/metrics/{name}"
 
-    def version_path(self, name: str, batch: str) -> str:
-        return f"{self.home}/{MASTER}/{name}/v-{batch}"
+    def stamp_path(self, batch: str) -> str:
+        return f"{self.home}/{batch}/loaded"
+
+    def merged_path(self, batch: str) -> str:
+        return f"{self.home}/{MASTER}/merged/{batch}"
+
+    def base_path(self, version: str, name: str) -> str:
+        return f"{self.home}/{MASTER}/base/{version}/{name}"
 
     # -- reading ------------------------------------------------------------------------------
 
@@ -72,24 +95,58 @@ class Workspace:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
-    def versions(self, name: str) -> list[str]:
-        """Batches after which a complete master version exists, oldest first."""
-        found = glob_names(self.spark, f"{self.home}/{MASTER}/{name}/v-*")
-        batches = [v.removeprefix("v-") for v in found]
-        return [b for b in batches if exists(self.spark, f"{self.version_path(name, b)}/_SUCCESS")]
+    def merged(self) -> list[str]:
+        """The batches of the master, oldest first."""
+        found = glob_names(self.spark, f"{self.home}/{MASTER}/merged/*")
+        return [b for b in found if exists(self.spark, f"{self.merged_path(b)}/_SUCCESS")]
+
+    def stamp(self, batch: str) -> str | None:
+        """The stamp of the last complete load of a batch."""
+        path = self.stamp_path(batch)
+        if not exists(self.spark, f"{path}/_SUCCESS"):
+            return None
+        return self.spark.read.text(path).first()["value"]
+
+    def bases(self) -> list[str]:
+        """Versions of the base which are complete, newest first."""
+        found = glob_names(self.spark, f"{self.home}/{MASTER}/base/v-*")
+        return [v for v in reversed(found) if exists(self.spark, f"{self.base_path(v, _STAMPS)}/_SUCCESS")]
+
+    def base_of(self, batches: list[str]) -> tuple[str | None, list[str]]:
+        """The newest base made of some of these batches as they are now, and those batches."""
+        for version in self.bases():
+            rows = self.spark.read.schema("batch string, stamp string").parquet(self.base_path(version, _STAMPS))
+            stamps = {r["batch"]: r["stamp"] for r in rows.collect()}
+            if set(stamps) <= set(batches) and all(self.stamp(b) == s for b, s in stamps.items()):
+                return version, sorted(stamps)
+        return None, []
+
+    def history(self, name: str, batches: list[str]) -> DataFrame | None:
+        """The rows of a table over batches with ``batch_id`` and ``first_id``, from a base
+        as far as there is one; nothing where no batch has the table."""
+        schema = StructType([*ENTITIES[name].fields]).add("batch_id", "long").add("first_id", "long")
+        version, held = self.base_of(batches)
+        parts = []
+        if version and self.is_written(self.base_path(version, name)):
+            parts.append(self.spark.read.schema(schema).parquet(self.base_path(version, name)))
+        ready = [b for b in batches if b not in held and self.is_written(self.table_path(b, name))]
+        if ready:
+            rows = self.spark.read.schema(ENTITIES[name]).parquet(*[self.table_path(b, name) for b in ready])
+            batch = F.regexp_extract("_metadata.file_path", r"/(\d{14})/tables/", 1).cast("bigint")
+            parts.append(rows.withColumn("batch_id", batch).withColumn("first_id", F.col("batch_id")))
+        return reduce(DataFrame.unionByName, parts) if parts else None
 
     def master(self, name: str, before: str | None = None) -> DataFrame:
-        """The newest master version, or the newest older than a batch."""
-        batches = [b for b in self.versions(name) if before is None or b < before]
-        if not batches:
+        """A table of the master, or of the master over the batches before one."""
+        rows = self.history(name, [b for b in self.merged() if before is None or b < before])
+        if rows is None:
             return self.spark.createDataFrame([], ENTITIES[name])
-        return self._read(self.version_path(name, batches[-1]), ENTITIES[name])
+        return replay(rows, SPECS[name], first="first_id")
 
     def delta(self, name: str, batch: str, change: str) -> DataFrame:
-        """Rows inserted or updated by the merge of a batch: one partition of its version."""
-        schema = StructType([*ENTITIES[name].fields]).add("_change", "string")
-        rows = self._read(self.version_path(name, batch), schema)
-        return rows.where(F.col("_change") == change).drop("_change")
+        """Rows which a batch inserts into, or updates in, the master over the batches before."""
+        pick = {INSERT: insert_delta, UPDATE: update_delta}[change]
+        return pick(self.master(name, before=batch), self.table(batch, name), SPECS[name])
 
     def table(self, scope: str, name: str) -> DataFrame:
         """An entity table of a batch, or of the master."""
@@ -98,6 +155,8 @@ class Workspace:
         return self._read(self.table_path(scope, name), ENTITIES[name])
 
     def metric(self, scope: str, name: str) -> DataFrame:
+        if not self.is_written(self.metric_path(scope, name)):
+            raise RuntimeError(f"{self.metric_path(scope, name)} is not there: derive it first")
         return self.spark.read.parquet(self.metric_path(scope, name))
 
     def reference(self, name: str) -> DataFrame:

@@ -26,15 +26,15 @@ CHANNELS_PAGE = """channels array<struct<
     is_private boolean, is_archived boolean>>"""
 
 # History pages and reply pages have the same shape. Each reader parses only its own fields.
-_POST_FIELDS = """type string, subtype string, ts string, thread_ts string, reply_count int,
+_POST_FIELDS = """type string, subtype string, ts string, thread_ts string, reply_count string,
     user string, text string"""
 _REACTION_FIELDS = "reactions array<struct<name string, users array<string>>>"
 _BLOCK_FIELDS = "blocks array<struct<block_id string, text struct<text string>>>"
 
 POSTS_IN_PAGE = f"messages array<struct<{_POST_FIELDS}>>"
-REPLIES_IN_PAGE = "messages array<struct<ts string, reply_count int>>"
+REPLIES_IN_PAGE = "messages array<struct<ts string, reply_count string>>"
 REACTIONS_IN_PAGE = f"""messages array<struct<
-    ts string, thread_ts string, reply_count int, {_REACTION_FIELDS}>>"""
+    ts string, thread_ts string, reply_count string, {_REACTION_FIELDS}>>"""
 BLOCKS_IN_PAGE = f"messages array<struct<ts string, {_BLOCK_FIELDS}>>"
 MESSAGES_PAGE = f"messages array<struct<{_POST_FIELDS}, {_REACTION_FIELDS}, {_BLOCK_FIELDS}>>"
 

@@ -37,7 +37,8 @@ def require_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = context.getConf().get("spark.checkpoint.dir")
     if not configured:
-        if not context.master.startswith("local"):
+        # local-cluster has executors of its own
+        if not context.master.startswith("local[") and context.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         import tempfile
 

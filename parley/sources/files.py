@@ -19,6 +19,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder which the caller wrote, if it is there."""
+    file_system, hadoop_path = _file_system(spark, path)
+    file_system.delete(hadoop_path, True)
+
+
 def glob_names(spark: SparkSession, pattern: str) -> list[str]:
     """Names of the entries which match a glob, sorted."""
     file_system, hadoop_path = _file_system(spark, pattern)

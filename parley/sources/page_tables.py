@@ -93,6 +93,11 @@ def page_messages(pages: DataFrame, schema: str = schemas.MESSAGES_PAGE) -> Data
     )
 
 
+def _reply_count() -> Column:
+    """The count of replies, which pages give as a number or as text."""
+    return F.col("m.reply_count").try_cast("int")
+
+
 def _post_columns(zone: str) -> dict[str, Column]:
     return {
         "channel": F.col("channel"),
@@ -101,7 +106,7 @@ def _post_columns(zone: str) -> dict[str, Column]:
         "ts": F.col("m.ts"),
         "thread_ts": F.col("m.thread_ts"),
         "time": wall_clock("m.ts", zone),
-        "reply_count": F.col("m.reply_count"),
+        "reply_count": _reply_count(),
         "user_id": F.col("m.user"),
         "text": F.col("m.text"),
     }
@@ -116,7 +121,7 @@ def _answered(history: DataFrame) -> DataFrame:
     """(channel, ts) of messages which announce replies: only their reply pages count."""
     return (
         page_messages(history, schemas.REPLIES_IN_PAGE)
-        .where(has_replies(F.col("m.reply_count")))
+        .where(has_replies(_reply_count()))
         .select("channel", F.col("m.ts").alias("parent_ts"))
     )
 
@@ -155,7 +160,7 @@ def reactions_from_messages(history: DataFrame, replies: DataFrame) -> DataFrame
     A post shown in both kinds of page is read twice, hence the distinct.
     """
     fields = schemas.REACTIONS_IN_PAGE
-    own = page_messages(history, fields).where(~has_replies(F.col("m.reply_count")))
+    own = page_messages(history, fields).where(~has_replies(_reply_count()))
     answered = page_messages(_visited_replies(history, replies), fields)
     return reactions_of(own).unionByName(reactions_of(answered)).distinct()
 

@@ -148,6 +148,31 @@ def bad_pages(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("json").isNull()).select("file_name", "value")
 
 
+# The list which a page of each kind holds; pages of the second product are lists themselves.
+LIST_FIELDS = {
+    "users": "members", "channels": "channels", "messages": "messages", "threads": "messages",
+    "files": "files",
+}
+
+
+def page_faults(decoded: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
+    """(file_name, reason) of decoded pages (file_name, json, kind) which would give no rows.
+
+    ``fields`` names the list by kind; a kind without one must be a list itself. A page whose
+    list is empty is no fault.
+    """
+    fields = LIST_FIELDS if fields is None else fields
+    is_list = F.ltrim("json").startswith("[")
+    reason = F.when(F.col("json").isNull(), "undecodable")
+    for kind, field in fields.items():
+        held = F.get_json_object("json", f"$.{field}")
+        lacks = ~F.coalesce(F.ltrim(held).startswith("["), F.lit(False))
+        reason = reason.when((F.col("kind") == kind) & lacks, f"no list of {field}")
+    others = ~F.col("kind").isin(*fields) if fields else F.lit(True)
+    reason = reason.when(others & ~is_list, "no list")
+    return decoded.withColumn("reason", reason).where(F.col("reason").isNotNull()).select("file_name", "reason")
+
+
 def normalize_pages_to_json(pages: DataFrame) -> DataFrame:
     """Each page as JSON text under its own file name, for one distributed write."""
     return decode_literal(pages).select("file_name", "json")

@@ -6,20 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from parley.plans.runs import load_batch, merge_batch, rebuild_master
+from parley.plans.runs import build_tables, decode_arrived, merge_batch
 from parley.plans.workspace import Workspace
 
 
-# Fixed by the file source: of these only the path is asked for, so no content is read.
+# Fixed by the file source.
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def arrivals(ws: Workspace) -> DataFrame:
-    """A stream of the batch ids of new page files."""
+    """A stream of (batch_id, file_name, value) of new page files; the content is read only
+    where ``value`` is asked for."""
     source = ws.spark.readStream.format("binaryFile").schema(_FILES)
     files = source.option("pathGlobFilter", "*.json").load(f"{ws.home}/*/api")
     batch = F.regexp_extract("path", r"/(\d{14})/api/", 1)
-    return files.select(batch.alias("batch_id")).where(F.col("batch_id") != "")
+    name = F.element_at(F.split("path", "/"), -1)
+    value = F.col("content").cast("string").alias("value")
+    return files.select(batch.alias("batch_id"), name.alias("file_name"), value).where(F.col("batch_id") != "")
 
 
 def ingest_stream(
@@ -31,23 +34,17 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Load and merge every batch which got new pages.
 
-    A touched batch is loaded again from all its pages, and each merge writes the version of
-    its batch; so pages which come late, and a step which is repeated after a failure, give
-    the same master. A batch older than the newest version needs all later versions anew: the
-    master is then rebuilt in one pass.
+    Only new pages are decoded; the tables of a touched batch are made again from its decoded
+    pages, as pages of one batch belong together. The master orders batches by id, so late
+    batches, late pages and steps which are repeated after a failure all give the same one.
     """
 
-    def merge(new: DataFrame, _: int) -> None:
-        touched = sorted(r["batch_id"] for r in new.distinct().collect())
-        merged = [v for name in ws.entities for v in ws.versions(name)]
-        newest = max(merged, default="")
+    def merge(new: DataFrame, step: int) -> None:
+        touched = sorted(r["batch_id"] for r in new.select("batch_id").distinct().collect())
         for batch in touched:
-            load_batch(ws, batch, poll_channel, redact)
-        if touched and touched[0] < newest:
-            rebuild_master(ws)
-        else:
-            for batch in touched:
-                merge_batch(ws, batch)
+            decode_arrived(ws, batch, new.where(F.col("batch_id") == batch).drop("batch_id"), step)
+            build_tables(ws, batch, poll_channel, redact)
+            merge_batch(ws, batch)
 
     writer = arrivals(ws).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

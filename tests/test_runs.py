@@ -1,10 +1,13 @@
 """Whole runs over raw page files, by batch, by replay and as a stream."""
 
+import itertools
+
 import pytest
 
 from parley.dialect import FLAT
 from parley.plans import runs
 from parley.plans.workspace import MASTER, Workspace
+from parley.schemas import ENTITIES
 from parley.streaming.arrivals import ingest_stream
 
 FIRST, SECOND, THIRD = "20200501101112", "20200601101112", "20210601101112"
@@ -77,7 +80,7 @@ def test_batch_after_batch(spark, home, rows):
     assert rows(ws.delta("message_data", SECOND, "insert"), "text") == [("new",)]
     assert rows(ws.delta("message_data", SECOND, "update"), "text") == [("changed",)]
     assert rows(ws.table(SECOND, "message_data"), "text") == [("changed",), ("new",)]
-    assert rows(runs.unreadable(ws, SECOND)) == [("conversation_history-C1-1588327872000001.json",)]
+    assert rows(runs.unreadable(ws, SECOND)) == [("conversation_history-C1-1588327872000001.json", "undecodable")]
 
     before = _master(ws, rows)
     runs.merge_batch(ws, SECOND)
@@ -222,5 +225,140 @@ def test_a_failed_write_is_no_empty_table(spark, tmp_path):
     (tmp_path / FIRST / "tables" / "user_data").mkdir(parents=True)
     with pytest.raises(RuntimeError, match="incomplete"):
         ws.table(FIRST, "user_data")
-    (tmp_path / "master" / "user_data" / f"v-{FIRST}").mkdir(parents=True)
-    assert ws.versions("user_data") == [], "a merge that failed is done again from the version before"
+    (tmp_path / "metrics" / "tag_data").mkdir(parents=True)
+    with pytest.raises(RuntimeError, match="incomplete"):
+        ws.metric(MASTER, "tag_data")
+
+
+def _texts(ws, rows):
+    return [text for (text,) in rows(ws.master("message_data"), "text")]
+
+
+@pytest.fixture
+def three(tmp_path):
+    """Three batches with a post of each and one which all of them change."""
+    for i, batch in enumerate((FIRST, SECOND, THIRD)):
+        posts = [_message("1588000000.000100", "U1", f"said in {i}"), _message(f"158800000{i + 1}.000100", "U1", f"only {i}")]
+        _export(tmp_path, batch, [("U1", f"ann {i}")], posts)
+    return tmp_path
+
+
+@pytest.mark.parametrize("order", list(itertools.permutations((FIRST, SECOND, THIRD))))
+def test_any_order_of_merging_gives_one_master(spark, three, rows, order):
+    ws = Workspace(spark, str(three))
+    for batch in (FIRST, SECOND, THIRD):
+        runs.load_batch(ws, batch)
+    for i, batch in enumerate(order):
+        runs.merge_batch(ws, batch)
+        assert len(_texts(ws, rows)) == i + 2, "no batch is lost"
+        if i == 1:
+            runs.compact(ws)
+    assert _texts(ws, rows) == ["only 0", "only 1", "only 2", "said in 2"]
+    assert rows(ws.master("user_data"), "name", "batch") == [("ann 2", "1588204800")]
+
+
+def test_a_batch_counts_with_all_its_tables_or_not_at_all(spark, three, rows, monkeypatch):
+    ws = Workspace(spark, str(three))
+    runs.run(ws, FIRST, 1)
+    write = runs._write
+
+    def failing(df, path, *by):
+        if path.endswith("/message_data"):
+            raise OSError("lost")
+        write(df, path, *by)
+
+    monkeypatch.setattr(runs, "_write", failing)
+    with pytest.raises(OSError, match="lost"):
+        runs.load_batch(ws, SECOND)
+    with pytest.raises(RuntimeError, match="not loaded completely"):
+        runs.merge_batch(ws, SECOND)
+    assert ws.merged() == [FIRST]
+    assert rows(ws.master("user_data"), "name") == [("ann 0",)]
+    monkeypatch.undo()
+    runs.load_batch(ws, SECOND)
+    runs.merge_batch(ws, SECOND)
+    assert _texts(ws, rows) == ["only 0", "only 1", "said in 1"]
+
+
+def test_a_base_with_a_batch_that_changed_does_not_count(spark, three, rows):
+    ws = Workspace(spark, str(three))
+    for batch in (FIRST, THIRD):
+        runs.load_batch(ws, batch)
+        runs.merge_batch(ws, batch)
+    assert runs.compact(ws) == "v-00000001"
+    assert ws.base_of(ws.merged())[0] == "v-00000001"
+    _write(three, FIRST, "conversation_history", "C1", 1588327872000009, {"messages": [_message("1588000009.000100", "U1", "more")]})
+    runs.load_batch(ws, FIRST)
+    assert ws.base_of(ws.merged())[0] is None
+    assert _texts(ws, rows) == ["more", "only 0", "only 2", "said in 2"]
+    assert runs.compact(ws) == "v-00000002"
+    assert ws.base_of(ws.merged())[0] == "v-00000002"
+    assert _texts(ws, rows) == ["more", "only 0", "only 2", "said in 2"]
+
+
+def test_a_merge_copies_no_row(spark, three):
+    ws = Workspace(spark, str(three))
+    for batch in (FIRST, SECOND):
+        runs.load_batch(ws, batch)
+        runs.merge_batch(ws, batch)
+    assert not list((three / "master").rglob("*.parquet"))
+
+
+def test_late_pages_after_a_late_batch(spark, three, tmp_path_factory, rows):
+    """First and third batch, then the second, then one more page of the third."""
+    home = tmp_path_factory.mktemp("stream")
+    checkpoint = str(tmp_path_factory.mktemp("checkpoint"))
+    ws = Workspace(spark, str(home))
+    for arriving in ((FIRST, THIRD), (SECOND,), ()):
+        for batch in arriving:
+            (home / batch / "api").mkdir(parents=True)
+            for page in (three / batch / "api").iterdir():
+                (home / batch / "api" / page.name).write_text(page.read_text())
+        if not arriving:
+            more = {"messages": [_message("1588000009.000100", "U1", "more")]}
+            _write(home, THIRD, "conversation_history", "C1", 1588327872000009, more)
+        query = ingest_stream(ws, checkpoint)
+        query.awaitTermination(120)
+        assert query.exception() is None
+    assert _texts(ws, rows) == ["more", "only 0", "only 1", "only 2", "said in 2"]
+    decoded = spark.read.parquet(ws.pages_path(THIRD))
+    assert decoded.count() == decoded.select("file_name").distinct().count()
+    assert decoded.select("step").distinct().count() == 2, "old pages are not decoded again"
+
+
+def test_pages_of_another_shape_are_reported(spark, tmp_path, rows):
+    clock = 1588327872000000
+    _write(tmp_path, FIRST, "conversation_history", "C1", clock, {"ok": False, "error": "ratelimited"})
+    _write(tmp_path, FIRST, "conversation_history", "C2", clock, {"messages": []})
+    _write(tmp_path, FIRST, "user_list", "all", clock, {"members": None})
+    _write(tmp_path, FIRST, "files_list", "all", clock, "{'files': ")
+    root = _message("1588000000.000100", "U1", "hi", reply_count="1")
+    _write(tmp_path, FIRST, "conversation_history", "C3", clock, {"messages": [root]})
+    _write(tmp_path, FIRST, "conversation_replies", "C3_1588000000.000100", clock, {"messages": [root, _message("1588000060.000100", "U2", "yes")]})
+    ws = Workspace(spark, str(tmp_path))
+    runs.load_batch(ws, FIRST)
+    assert rows(runs.unreadable(ws, FIRST)) == [
+        ("conversation_history-C1-1588327872000000.json", "no list of messages"),
+        ("files_list-all-1588327872000000.json", "undecodable"),
+        ("user_list-all-1588327872000000.json", "no list of members"),
+    ]
+    # A count given as text announces its replies.
+    assert rows(ws.table(FIRST, "thread_data"), "text") == [("hi",), ("yes",)]
+    assert rows(ws.table(FIRST, "message_data"), "reply_count") == [(1,)]
+
+
+def test_second_product_from_csv(spark, tmp_path, rows):
+    """Roles and reactions of the second product come as CSV and reach the edges."""
+    folder = tmp_path / FIRST / "csv"
+    folder.mkdir(parents=True)
+    (folder / "user_data.csv").write_text(f"id,name,real_name,tz,email,batch\n1,a,A,,,{FIRST}\n2,b,B,,,{FIRST}\n")
+    (folder / "reaction_data.csv").write_text('channel,ts,thread_ts,user_id,reaction\n7,175928847299117063,,2,"up"\n')
+    (folder / "role_data.csv").write_text(",".join(ENTITIES["role_data"].names) + "\n" + ",".join(["9"] * len(ENTITIES["role_data"].names)) + "\n")
+    message = {"channel": "7", "type": "message", "subtype": "default", "ts": "175928847299117063", "thread_ts": "",
+               "time": "2020-05-01T10:11:12.000", "reply_count": "", "user": "1", "text": "hi"}
+    _write(tmp_path, FIRST, "message_list", "7", 1588327872000000, [message])
+    ws = Workspace(spark, str(tmp_path), FLAT)
+    runs.run_batch_then_master(ws, FIRST)
+    assert ws.master("role_data").count() == 1
+    assert ("1", "2", "reacts") in rows(ws.metric(MASTER, "edge_data"), "source", "target", "relate")
+    assert (tmp_path / FIRST / "metadata").exists()
