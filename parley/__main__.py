@@ -33,6 +33,8 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("batch", nargs="?")
     run.add_argument("stage", nargs="?", type=int, choices=(1, 2, 3, 4))
     run.add_argument("--csv", action="store_true", help="also export the results as CSV")
+    run.add_argument("--numbered", action="store_true", help="number the rows of exported tables")
+    run.add_argument("--deltas", action="store_true", help="also export what the batch inserts and updates")
     loading(run)
     loading(command("newest", "the newest batch, then the master"))
     loading(command("replay", "all batches, then the master"))
@@ -40,6 +42,7 @@ def parser() -> argparse.ArgumentParser:
     watch.add_argument("checkpoint", help="folder for the progress of the stream")
     watch.add_argument("--once", action="store_true", help="stop when nothing new is left")
     loading(watch)
+    command("compact", "write the master over all merged batches as a base for readers")
     load = command("load", "the master and its metrics into a database")
     load.add_argument("properties", help="file with database.url, driver, user and password")
     load.add_argument("section", help="section of that file")
@@ -56,9 +59,13 @@ def main(arguments: Sequence[str] | None = None) -> list[str]:
         if args.csv:
             scope = args.batch or MASTER
             entities = [name for name in done if name in ws.entities]
-            exports.export_tables(ws, scope)
+            exports.export_tables(ws, scope, args.numbered)
             exports.export_metrics(ws, [name for name in done if name not in entities], scope)
+        if args.deltas and args.batch:
+            done += exports.export_deltas(ws, args.batch)
         return done
+    if args.command == "compact":
+        return [runs.compact(ws) or ""]
     if args.command == "newest":
         return runs.run_batch_then_master(ws, None, args.poll_channel, args.redact)
     if args.command == "replay":

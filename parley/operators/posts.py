@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from parley.dialect import THREADED, Dialect
 from parley.schemas import CONVERSATION_COLUMNS, POST_COLUMNS
 
-_SPREAD = 4096
-
-
 def user_geo(
     users: DataFrame,
     zone: DataFrame | None = None,
@@ -71,7 +68,7 @@ def conversations(
     )
     # Posts without an author find nobody; a key of their own keeps them from gathering as
     # nulls in one task.
-    apart = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("channel", "ts"), F.lit(_SPREAD)))
+    apart = F.concat(F.lit("\u0000"), F.xxhash64("channel", "ts").cast("string"))
     rows = posts(messages, threads, prefer_thread).withColumn(
         "_author", F.coalesce("user_id", apart)
     )

@@ -14,31 +14,29 @@ from parley.operators.ordered import ROWS_PER_SLICE, order_bounds, with_previous
 
 
 def post_bounds(posts: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> list[float]:
-    """Cut points of the message order, to be shared by the three measures."""
+    """Cut points of the message order, to be shared by the three measures. Runs jobs over
+    ``posts``, which should be a stored table."""
     return order_bounds(posts, ts_key("ts"), rows_per_slice)
 
 
-def _timediff(
-    posts: DataFrame, keys: Sequence[str], bounds: Sequence[float] | None
-) -> DataFrame:
-    if bounds is None:
-        bounds = post_bounds(posts)
+def _timediff(posts: DataFrame, keys: Sequence[str], bounds: Sequence[float]) -> DataFrame:
     ties = [F.col("channel"), F.col("text")]
     rows = with_previous(posts, keys, ts_key("ts"), "time", "_previous", ties, bounds)
     diff = seconds_between(F.col("time"), F.col("_previous"))
     return rows.withColumn("diff", F.coalesce(diff, F.lit(0.0))).drop("_previous")
 
 
-def timediff_conversations(posts: DataFrame, bounds: Sequence[float] | None = None) -> DataFrame:
+def timediff_conversations(posts: DataFrame, bounds: Sequence[float]) -> DataFrame:
+    """``bounds`` as given by ``post_bounds``; building the plan runs no job."""
     return _timediff(posts, ["channel"], bounds)
 
 
-def timediff_threads(posts: DataFrame, bounds: Sequence[float] | None = None) -> DataFrame:
+def timediff_threads(posts: DataFrame, bounds: Sequence[float]) -> DataFrame:
     return _timediff(threaded(posts), ["channel", "thread_ts"], bounds)
 
 
 def timediff_users(
-    posts: DataFrame, dialect: Dialect = THREADED, bounds: Sequence[float] | None = None
+    posts: DataFrame, bounds: Sequence[float], dialect: Dialect = THREADED
 ) -> DataFrame:
     """Across channels; only posts in threads where the product has threads."""
     rows = threaded(posts) if dialect.threads else posts

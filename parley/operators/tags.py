@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +11,12 @@ from parley.dialect import THREADED, Dialect
 from parley.operators.filters import activity
 
 
-def mentions(posts: DataFrame, dialect: Dialect = THREADED) -> DataFrame:
+def mentions(
+    posts: DataFrame, dialect: Dialect = THREADED, only: Sequence[str] = ("user", "channel", "link")
+) -> DataFrame:
     """One row per match in the text of activity posts: channel, ts, tag, nice_tag, type.
 
-    The three kinds come out of one scan of the text. Tag and label stand around the first
+    The kinds asked for come out of one scan of the text. Tag and label stand around the first
     pipe; a user tag stays whole, also with a pipe, and its label is looked up later.
     """
     patterns = {"user": dialect.user_tag, "channel": dialect.channel_tag, "link": dialect.link_tag}
@@ -22,8 +26,10 @@ def mentions(posts: DataFrame, dialect: Dialect = THREADED) -> DataFrame:
             F.regexp_extract_all("text", F.lit(pattern), F.lit(1)).alias("matches"),
         )
         for kind, pattern in patterns.items()
-        if pattern
+        if pattern and kind in only
     ]
+    # A product may lack the kinds asked for.
+    kinds = kinds or [F.struct(F.lit("").alias("type"), F.array().cast("array<string>").alias("matches"))]
     found = (
         activity(posts, dialect)
         .where(F.col("text").contains("<"))
@@ -45,13 +51,11 @@ def mentions(posts: DataFrame, dialect: Dialect = THREADED) -> DataFrame:
 def extract_tags(posts: DataFrame, users: DataFrame, dialect: Dialect = THREADED) -> DataFrame:
     """Mentions with the name of mentioned users.
 
-    The join key carries the kind, so that channel and link tags find no user and yet are
-    spread by their own value instead of meeting as nulls in one task.
+    Only user tags are joined. The texts are read twice, each time for other patterns, which
+    costs less than to shuffle tags that can match no user.
     """
-    names = users.select(
-        F.concat(F.lit("user:"), F.col("id")).alias("_key"), F.col("real_name").alias("_name")
-    )
-    found = mentions(posts, dialect).withColumn("_key", F.concat_ws(":", "type", "tag"))
-    return found.join(names, "_key", "left").select(
-        "channel", "ts", "tag", F.coalesce("nice_tag", "_name").alias("nice_tag"), "type"
-    )
+    names = users.select(F.col("id").alias("_id"), F.col("real_name").alias("_name"))
+    named = mentions(posts, dialect, ["user"]).join(names, F.col("tag") == F.col("_id"), "left")
+    columns = ["channel", "ts", "tag", F.coalesce("nice_tag", "_name").alias("nice_tag"), "type"]
+    others = mentions(posts, dialect, ["channel", "link"])
+    return named.select(*columns).unionByName(others)

@@ -16,9 +16,9 @@ from parley.functions import times
 from parley.operators import counts, graph, members, merge, ordered, posts, replies, tags, texts
 from parley.operators.filters import activity, threaded
 from parley.plans.bindings import Tables, snowflake
-from parley.sinks.jdbc import byte_lengths
+from parley.sinks import jdbc
 from parley.sources import page_tables
-from parley.sources.pages import bad_pages, decode_literal, normalize_pages_to_json, page_keys, process_pages
+from parley.sources.pages import decode_literal, normalize_pages_to_json, page_faults, page_keys, process_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 _CATALOG: dict[str, Query] = {}
@@ -143,22 +143,26 @@ _DIFF = ["channel", "ts", "thread_ts", "user_id", "text", "diff"]
 
 @_query
 def timediff_conversations(t: Tables) -> DataFrame:
-    return replies.timediff_conversations(_posts(t)).select(*_DIFF)
+    rows = _posts(t)
+    return replies.timediff_conversations(rows, replies.post_bounds(rows)).select(*_DIFF)
 
 
 @_query
 def timediff_threads(t: Tables) -> DataFrame:
-    return replies.timediff_threads(_posts(t)).select(*_DIFF)
+    rows = _posts(t)
+    return replies.timediff_threads(rows, replies.post_bounds(rows)).select(*_DIFF)
 
 
 @_query
 def timediff_users(t: Tables) -> DataFrame:
-    return replies.timediff_users(_posts(t)).select(*_DIFF)
+    rows = _posts(t)
+    return replies.timediff_users(rows, replies.post_bounds(rows)).select(*_DIFF)
 
 
 @_query
 def timediff_users_b(t: Tables) -> DataFrame:
-    return replies.timediff_users(t.message_b(), FLAT).select(*_DIFF)
+    rows = t.message_b()
+    return replies.timediff_users(rows, replies.post_bounds(rows), FLAT).select(*_DIFF)
 
 
 @_query
@@ -171,7 +175,11 @@ def timediff_sliced(t: Tables) -> DataFrame:
 
 @_query
 def user_hash(t: Tables) -> DataFrame:
-    return t.user().select("id", replies.user_hash("id").alias("user_hash"))
+    """Posts by hash: as many, and of as many users, as by the user id itself."""
+    hashed = _posts(t).groupBy(replies.user_hash()).agg(
+        F.min("user_id").alias("user_id"), F.count("*").alias("rows"), F.countDistinct("user_id").alias("users")
+    )
+    return hashed.select("user_id", "rows", "users")
 
 
 # -- tags and graph -----------------------------------------------------------------------------
@@ -218,6 +226,13 @@ def edges_refers(t: Tables) -> DataFrame:
     return _timed(graph.edges_refers(t.message(), found))
 
 
+@_query
+def edges(t: Tables) -> DataFrame:
+    """The complete edge table of the first product."""
+    found = tags.extract_tags(t.message(), t.user())
+    return _timed(graph.edges(t.message(), t.reaction(), found))
+
+
 @_query
 def edges_teams(t: Tables) -> DataFrame:
     return graph.edges_teams(t.message_b())
@@ -297,6 +312,39 @@ def replay_first_seen(t: Tables) -> DataFrame:
     return merge.replay(batches, spec)
 
 
+@_query
+def master_of_batches(t: Tables) -> DataFrame:
+    """Three batches of orders as reactions to a post (a group per customer): the first and the
+    third are compacted to a base, and the second comes late."""
+    year = F.year("o_orderdate")
+    batch_id = F.when(year < 1994, 1).when(year < 1996, 2).otherwise(3)
+    rows = t.read("orders").select(
+        F.col("o_orderpriority").alias("channel"), F.col("o_custkey").cast("string").alias("ts"),
+        F.lit("").alias("thread_ts"), F.col("o_orderkey").cast("string").alias("user_id"),
+        F.col("o_orderstatus").alias("reaction"), batch_id.alias("batch_id"), batch_id.alias("first_id"),
+    )
+    return _late_batch(rows, merge.SPECS["reaction_data"])
+
+
+@_query
+def master_of_users(t: Tables) -> DataFrame:
+    """The same for one row per customer and batch as users, who keep their first-seen batch."""
+    year = F.year("o_orderdate")
+    batch_id = F.when(year < 1994, 1).when(year < 1996, 2).otherwise(3)
+    rows = t.read("orders").groupBy("o_custkey", batch_id.alias("batch_id")).agg(F.max("o_orderkey").alias("last"))
+    user = rows.select(
+        F.col("o_custkey").cast("string").alias("id"), F.col("last").cast("string").alias("name"),
+        *[F.lit("").alias(c) for c in ("real_name", "tz", "email")], F.col("batch_id").cast("string").alias("batch"),
+        "batch_id", F.col("batch_id").alias("first_id"),
+    )
+    return _late_batch(user, merge.SPECS["user_data"])
+
+
+def _late_batch(rows: DataFrame, spec: merge.EntitySpec) -> DataFrame:
+    base = merge.replay(rows.where("batch_id <> 2"), spec, first="first_id", state=True)
+    return merge.replay(base.unionByName(rows.where("batch_id = 2")), spec, first="first_id")
+
+
 # -- raw pages ------------------------------------------------------------------------------------
 
 
@@ -315,9 +363,11 @@ def reply_page_keys(t: Tables) -> DataFrame:
 
 @_query
 def unreadable_pages(t: Tables) -> DataFrame:
-    """Raw web pages are no literals: all of them are reported as bad."""
+    """Among good pages of messages: raw web pages, which are no literals, and pages of users,
+    which hold no messages."""
     raw = t.read("pages").select(F.col("page_id").cast("string").alias("file_name"), F.col("html").alias("value"))
-    return bad_pages(decode_literal(raw)).select("file_name")
+    pages = t.history_pages().unionByName(raw).unionByName(t.user_pages())
+    return page_faults(decode_literal(pages).withColumn("kind", F.lit("messages")))
 
 
 @_query
@@ -445,8 +495,11 @@ def invite_epoch(t: Tables) -> DataFrame:
 
 @_query
 def size_varchar(t: Tables) -> DataFrame:
-    sizes = byte_lengths(t.read("documents"), ["text", "lang", "source"])
-    return sizes.select(*[F.col(c).cast("bigint").alias(c) for c in sizes.columns])
+    """Column types for the documents, no narrower than a table of turns that is there."""
+    existing = t.read("conversations").select("text", F.col("role").alias("lang"), F.lit(None).cast("string").alias("source"))
+    documents = t.read("documents")
+    types = jdbc.size_varchar(documents, ["text", "lang", "source"], existing)
+    return documents.sparkSession.range(1).select(F.lit(types).alias("types"))
 
 
 @_query

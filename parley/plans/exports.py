@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
-from parley.operators.merge import SPECS
+from parley.operators.merge import INSERT, SPECS, UPDATE
 from parley.operators.ordered import row_index
 from parley.plans.workspace import MASTER, Workspace
 from parley.sinks.files import metric_names, write_entity
 from parley.sinks.jdbc import LOADS, load_group
+from parley.sources.files import remove
+from parley.sources.tables import read_jdbc
 
 
 def _order(name: str) -> list[str]:
@@ -18,10 +22,15 @@ def _order(name: str) -> list[str]:
     return list(dict.fromkeys([*spec.sort, *spec.keys, *spec.columns]))
 
 
+def _sorted_path(ws: Workspace, name: str) -> str:
+    return f"{ws.home}/{MASTER}/sorted/{name}"
+
+
 def numbered(ws: Workspace, name: str) -> DataFrame:
-    """A master table with its ``index`` in export order, as the first column."""
+    """A master table with its ``index`` in export order, as the first column. Its sorted rows
+    lie in the workspace until they are removed."""
     rows = ws.master(name)
-    return row_index(rows, _order(name)).select("index", *rows.columns)
+    return row_index(rows, _order(name), folder=_sorted_path(ws, name)).select("index", *rows.columns)
 
 
 def export_tables(ws: Workspace, scope: str = MASTER, index: bool = False) -> list[str]:
@@ -32,6 +41,17 @@ def export_tables(ws: Workspace, scope: str = MASTER, index: bool = False) -> li
     return list(ws.entities)
 
 
+def export_deltas(ws: Workspace, batch: str) -> list[str]:
+    """What a batch inserts into the master and updates there, as CSV next to its tables."""
+    written = []
+    for name in ws.entities:
+        for change in (INSERT, UPDATE):
+            target = f"{name}_{change}"
+            write_entity(ws.delta(name, batch, change), f"{ws.home}/{batch}/csv/{target}.csv", sort=_order(name))
+            written.append(target)
+    return written
+
+
 def export_metrics(ws: Workspace, names: list[str], scope: str = MASTER) -> list[str]:
     """Metrics as CSV, with the column names of the product."""
     folder = ws.home if scope == MASTER else f"{ws.home}/{scope}"
@@ -41,11 +61,28 @@ def export_metrics(ws: Workspace, names: list[str], scope: str = MASTER) -> list
     return names
 
 
+def database_table(ws: Workspace, options: dict[str, str], name: str) -> DataFrame | None:
+    """A table as it is in the database; None where the database has none of the name."""
+    try:
+        return read_jdbc(ws.spark, name, options)
+    except (AnalysisException, Py4JJavaError):
+        return None
+
+
 def load_database(ws: Workspace, options: dict[str, str], sized: bool = False) -> list[str]:
-    """The master and its metrics into a database; ``sized`` for one with VARCHAR(n)."""
-    tables = {name: numbered(ws, name) for name in LOADS if name in ws.entities}
-    tables["channel_ref"] = ws.reference("channel_ref")
+    """The master and its metrics into a database, one table after the other; ``sized`` for
+    one with VARCHAR(n), whose columns stay at least as wide as they are."""
+    done: list[str] = []
     for spec in LOADS.values():
+        name = spec.table
         if spec.group == "metrics":
-            tables[spec.table] = ws.metric(MASTER, spec.table)
-    return load_group(tables, "master", options, sized) + load_group(tables, "metrics", options, sized)
+            table = ws.metric(MASTER, name)
+        elif name in ws.entities:
+            table = numbered(ws, name)
+        elif name == "channel_ref":
+            table = ws.reference(name)
+        else:
+            continue
+        done += load_group({name: table}, spec.group, options, sized, lambda n: database_table(ws, options, n))
+        remove(ws.spark, _sorted_path(ws, name))
+    return done

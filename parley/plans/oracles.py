@@ -119,6 +119,10 @@ def _sql(parts: list[str], select: str) -> str:
     return "WITH " + ",".join(CTE[p] for p in parts) + "\n" + select
 
 
+# The batch of an order, by its year.
+_BATCH = "CASE WHEN year(o_orderdate) < 1994 THEN 1 WHEN year(o_orderdate) < 1996 THEN 2 ELSE 3 END"
+
+
 # -- text ---------------------------------------------------------------------------------------
 
 
@@ -334,6 +338,14 @@ SELECT id, coalesce(name, id), 'channel', coalesce(name, id), NULL, NULL, NULL,
             f"SELECT m.channel, m.user_id AS source, r.user_id AS target, {ISO}, 'reacts' AS relate"
             " FROM act_m m JOIN reaction r ON m.ts = r.ts".replace(ISO, ISO + " AS time"),
         ),
+        "edges": _sql(
+            [*_MESSAGE, "act_m", "reaction"],
+            f"{_INTERACTS.format(extra='')} UNION ALL"
+            f" SELECT m.channel, m.user_id, r.user_id, {ISO}, 'reacts' FROM act_m m JOIN reaction r ON m.ts = r.ts UNION ALL"
+            f" SELECT m.channel, m.user_id, t.tag, {ISO}, 'refers' FROM act_m m"
+            " JOIN (SELECT ts, unnest(regexp_extract_all(text, '<@(.*?)>', 1)) AS tag FROM act_m) t"
+            " ON m.ts = t.ts WHERE m.user_id IS NOT NULL",
+        ),
         "edges_refers": _sql(
             [*_MESSAGE, "act_m"],
             f"SELECT m.channel, m.user_id AS source, t.tag AS target, {ISO} AS time, 'refers' AS relate"
@@ -378,6 +390,14 @@ WHERE x.user_id IN (SELECT arg_max(user_id, ts::DECIMAL(38,6)) FROM message_b
 SELECT o_custkey, o_orderkey, o_orderstatus FROM (
   SELECT *, max(year(o_orderdate)) OVER (PARTITION BY o_custkey) AS last FROM orders)
 WHERE year(o_orderdate) = last""",
+        "user_hash": _sql(_POSTS, "SELECT user_id, count(*) AS rows, count(DISTINCT user_id) AS users FROM posts GROUP BY 1"),
+        "master_of_batches": f"""
+SELECT o_orderpriority AS channel, o_custkey::VARCHAR AS ts, '' AS thread_ts, o_orderkey::VARCHAR AS user_id,
+  o_orderstatus AS reaction
+FROM (SELECT *, {_BATCH} AS b, max({_BATCH}) OVER (PARTITION BY o_custkey) AS last FROM orders) WHERE b = last""",
+        "master_of_users": f"""
+SELECT o_custkey::VARCHAR AS id, arg_max(o_orderkey, ({_BATCH}, o_orderkey))::VARCHAR AS name, '' AS real_name,
+  '' AS tz, '' AS email, min({_BATCH})::VARCHAR AS batch FROM orders GROUP BY o_custkey""",
         "replay_first_seen": """
 WITH b AS (SELECT l_orderkey, l_linenumber AS n, max(l_linestatus) AS state, max(l_partkey) AS part
   FROM lineitem GROUP BY 1, 2)
@@ -393,7 +413,9 @@ FROM b GROUP BY 1""",
             " AS file_name, channel, root AS parent_ts, epoch_us(root_time) AS page_clock FROM base"
             " WHERE thread_ts IS NOT NULL",
         ),
-        "unreadable_pages": "SELECT page_id::VARCHAR AS file_name FROM pages",
+        "unreadable_pages": "SELECT page_id::VARCHAR AS file_name, 'undecodable' AS reason FROM pages UNION ALL"
+        " SELECT DISTINCT 'user_list-all-' || lpad((1704067200000000 + c_custkey // 100)::VARCHAR, 16, '0') || '.json',"
+        " 'no list of messages' FROM customer",
         "normalize_pages": _sql(["base"], "SELECT channel, ts, text FROM base"),
         "process_each_page": _sql(
             ["base"],
@@ -476,7 +498,9 @@ SELECT channel_id, class, class = 'private' AS is_private FROM (
 SELECT event_id, (epoch_us(ts) // 1000 - 1420070400000) * 4194304 + event_id % 4096 AS snowflake,
   epoch_us(ts) // 1000 AS created_ms FROM events""",
         "invite_epoch": "SELECT o_orderkey, epoch(date_trunc('day', o_orderdate) - INTERVAL 1 DAY)::BIGINT::VARCHAR AS invite FROM orders",
-        "size_varchar": "SELECT max(strlen(text))::BIGINT AS text, max(strlen(lang))::BIGINT AS lang, max(strlen(source))::BIGINT AS source FROM documents",
+        "size_varchar": "SELECT 'text VARCHAR(' || greatest(d.a, c.a, 1) || '), lang VARCHAR(' || greatest(d.b, c.b, 1) ||"
+        " '), source VARCHAR(' || greatest(d.c, 1) || ')' AS types FROM (SELECT max(strlen(text)) AS a, max(strlen(lang)) AS b,"
+        " max(strlen(source)) AS c FROM documents) d, (SELECT max(length(text)) AS a, max(length(role)) AS b FROM conversations) c",
         "row_index": _sql(
             ["batches"],
             "SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS index, o_orderkey FROM"

@@ -96,7 +96,7 @@ def build_tables(
 ) -> list[str]:
     """Entity tables of a batch from its decoded pages, and the stamp that they are complete.
 
-    A table given as CSV under ``csv`` of the batch takes the place of the one from pages;
+    A table given as CSV under ``given`` of the batch takes the place of the one from pages;
     tables which no page holds come in this way only.
     """
     pages = {kind: _pages(ws, batch, kind) for kind in PAGE_PREFIXES}
@@ -125,8 +125,8 @@ def build_tables(
             "file_data": page_tables.flat_files(pages["files"]),
         }
     for name in ws.entities:
-        if exists(ws.spark, f"{ws.home}/{batch}/csv/{name}.csv"):
-            tables[name] = read_entity(ws.spark, ws.home, f"{batch}/csv", name)
+        if exists(ws.spark, f"{ws.home}/{batch}/given/{name}.csv"):
+            tables[name] = read_entity(ws.spark, ws.home, f"{batch}/given", name)
     # Without its stamp a batch is not merged, and a base that holds it no longer counts.
     remove(ws.spark, ws.stamp_path(batch))
     for name, df in tables.items():
@@ -204,7 +204,7 @@ def derive_metrics(ws: Workspace, scope: str) -> list[str]:
     put("conversation_timediff_data", replies.timediff_conversations(conversation, bounds))
     if dialect.threads:
         put("threads_timediff_data", replies.timediff_threads(conversation, bounds))
-    put("users_timediff_data", replies.timediff_users(conversation, dialect, bounds))
+    put("users_timediff_data", replies.timediff_users(conversation, bounds, dialect))
     tag = put("tag_data", tags.extract_tags(conversation, users, dialect))
     put("node_data", graph.nodes(users, channels, zone, country, dialect))
     if dialect.threads:

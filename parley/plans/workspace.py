@@ -2,6 +2,7 @@
 
     <home>/<batch>/api        raw pages
     <home>/<batch>/json       decoded pages, a partition per kind of page
+    <home>/<batch>/given      entity tables as CSV, used instead of those from pages
     <home>/<batch>/tables     entity tables of the batch
     <home>/<batch>/metrics    metrics of the batch
     <home>/<batch>/loaded     stamp of the load, written after the last table

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -26,22 +30,18 @@ def local_session(cpus: int | str = "*", app: str = "parley", **conf: str) -> Sp
 
 
 def require_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session.
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` decides. Only a local session without one gets a folder of its
-    own; on a cluster a machine-local folder would be lost with its machine.
+    Only a session on one machine may go without; on a cluster a machine-local folder would
+    be lost with its machine.
     """
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    configured = context.getConf().get("spark.checkpoint.dir")
-    if not configured:
-        # local-cluster has executors of its own
-        if not context.master.startswith("local[") and context.master != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        import tempfile
-
-        configured = tempfile.mkdtemp(prefix="parley-checkpoint-")
-    context.setCheckpointDir(configured)
-    return configured
+    configured = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    if configured:
+        return configured
+    if not context.master.startswith("local[") and context.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    own = tempfile.mkdtemp(prefix="parley-")
+    context.setCheckpointDir(own)
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    return own

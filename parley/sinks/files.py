@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from parley.dialect import Dialect
 from parley.functions.times import batch_time, iso_text
 from parley.operators.ordered import row_index
+from parley.sources.files import remove
 
 _CSV = {"header": True, "quoteAll": True, "escape": '"', "quote": '"', "nullValue": "", "emptyValue": ""}
 
@@ -17,16 +18,19 @@ _CSV = {"header": True, "quoteAll": True, "escape": '"', "quote": '"', "nullValu
 def write_entity(
     df: DataFrame, path: str, sort: Sequence[str] = (), index: bool = False
 ) -> None:
-    """Overwrite a CSV table; times become ISO text. ``index`` numbers the sorted rows."""
+    """Overwrite a CSV table; times become ISO text. ``index`` numbers the sorted rows; the
+    files then follow the order only inside, as the number says the place."""
     for name, kind in df.dtypes:
         if kind.startswith("timestamp"):
             df = df.withColumn(name, iso_text(name))
+    sorted_rows = f"{path}-sorted"
     if index:
-        numbered = row_index(df, [*sort] or df.columns)
-        df = numbered.select("index", *df.columns).orderBy("index")
+        numbered = row_index(df, [*sort] or df.columns, folder=sorted_rows)
+        df = numbered.select("index", *df.columns)
     elif sort:
         df = df.orderBy(*sort)
     df.write.mode("overwrite").options(**_CSV).csv(path)
+    remove(df.sparkSession, sorted_rows)
 
 
 def metric_names(df: DataFrame, dialect: Dialect) -> DataFrame:

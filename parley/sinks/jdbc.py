@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import configparser
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -95,7 +95,8 @@ def load_table(
     """Overwrite a database table over at most ``connections`` connections. All columns of an
     edge table are loaded."""
     rows = typed_time(df) if spec.has_time else df
-    writer = rows.write.mode("overwrite").option("numPartitions", connections)
+    # A shuffle to as many tasks as connections; without it the work above would be as narrow.
+    writer = rows.repartition(connections).write.mode("overwrite").option("numPartitions", connections)
     if sized and spec.sized:
         writer = writer.option("createTableColumnTypes", size_varchar(rows, spec.sized, existing))
     properties = {k: v for k, v in options.items() if k != "url"}
@@ -103,10 +104,16 @@ def load_table(
 
 
 def load_group(
-    tables: dict[str, DataFrame], group: str, options: dict[str, str], sized: bool = False
+    tables: dict[str, DataFrame],
+    group: str,
+    options: dict[str, str],
+    sized: bool = False,
+    existing: Callable[[str], DataFrame | None] = lambda _: None,
 ) -> list[str]:
-    """Load every table of a group (master or metrics) which is at hand."""
+    """Load every table of a group (master or metrics) which is at hand. ``existing`` gives the
+    database table of a name, whose widths sized columns keep."""
     specs = [s for s in LOADS.values() if s.group == group and s.table in tables]
     for spec in specs:
-        load_table(tables[spec.table], spec, options, sized)
+        held = existing(spec.table) if sized and spec.sized else None
+        load_table(tables[spec.table], spec, options, sized, held)
     return [spec.table for spec in specs]

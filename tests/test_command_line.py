@@ -17,7 +17,8 @@ def calls(spark, monkeypatch):
 
     for name in ("run", "run_batch_then_master", "replay_all"):
         monkeypatch.setattr(command_line.runs, name, record(name, ["user_data", "tag_data"]))
-    for name in ("export_tables", "export_metrics", "load_database"):
+    monkeypatch.setattr(command_line.runs, "compact", record("compact", "v-00000001"))
+    for name in ("export_tables", "export_metrics", "export_deltas", "load_database"):
         monkeypatch.setattr(command_line.exports, name, record(name, []))
     return seen
 
@@ -38,11 +39,22 @@ def test_runs(calls):
 def test_csv(calls):
     command_line.main(["run", "home", "20200501101112", "--csv"])
     assert calls[1:] == [
-        ("export_tables", "home", THREADED, "20200501101112"),
+        ("export_tables", "home", THREADED, "20200501101112", False),
         ("export_metrics", "home", THREADED, ["tag_data"], "20200501101112"),
     ]
 
 
+def test_numbered_and_deltas(calls):
+    command_line.main(["run", "home", "20200501101112", "--csv", "--numbered", "--deltas"])
+    assert ("export_tables", "home", THREADED, "20200501101112", True) in calls
+    assert calls[-1] == ("export_deltas", "home", THREADED, "20200501101112")
+
+
+def test_compact(calls):
+    assert command_line.main(["compact", "home"]) == ["v-00000001"]
+    assert calls == [("compact", "home", THREADED)]
+
+
 def test_load(calls, tmp_path):
     file = tmp_path / "database.properties"
     file.write_text("[db]\ndatabase.url=jdbc:x\ndatabase.driver=d\ndatabase.user=u\ndatabase.password=p\n")

@@ -59,6 +59,17 @@ def test_sliced_measures_equal_the_sequential_ones(spark):
         assert _diffs(timediff_users(posts, bounds=bounds)) == _expected(data, lambda r: r[3], threaded)
 
 
+def test_building_a_measure_runs_no_job(spark):
+    posts, _ = _posts(spark, rows=50)
+    context = spark.sparkContext
+    context.setJobGroup("measures", "plans only")
+    timediff_conversations(posts, [])
+    timediff_threads(posts, [1588000050.0])
+    timediff_users(posts, [1588000050.0])
+    assert list(context.statusTracker().getJobIdsForGroup("measures")) == []
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_unordered_rows_come_first(spark):
     rows = spark.createDataFrame(
         [("k", None, 1), ("k", 5.0, 2), ("k", 9.0, 3), (None, 1.0, 4), (None, 2.0, 5)],
@@ -78,6 +89,13 @@ def test_sliced_window_has_no_group_by_key_alone(spark):
     assert windows and all("_slice" in line for line in windows)
 
 
+def test_row_index_shuffles_no_row_after_the_sort(spark, tmp_path):
+    rows = spark.range(0, 5000, numPartitions=7).select((F.lit(4999) - F.col("id")).alias("v"))
+    plan = row_index(rows, ["v"], folder=str(tmp_path / "sorted"))._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan or "Join" in plan
+    assert "hashpartitioning(_part" not in plan.split("BroadcastExchange")[0]
+
+
 def test_row_index_is_the_global_order(spark):
     rows = spark.range(0, 5000, numPartitions=7).select((F.lit(4999) - F.col("id")).alias("v"))
     indexed = row_index(rows, ["v"])

@@ -37,7 +37,7 @@ def test_thread_user_counts_add_up_to_thread_counts(said):
 
 
 def test_differences_add_up_to_the_span(said):
-    diffs = replies.timediff_conversations(said).groupBy("channel").agg(F.sum("diff").cast("bigint").alias("s"))
+    diffs = replies.timediff_conversations(said, []).groupBy("channel").agg(F.sum("diff").cast("bigint").alias("s"))
     seconds = epoch_seconds("time")
     span = said.groupBy("channel").agg((F.max(seconds) - F.min(seconds)).cast("bigint").alias("s"))
     assert _dict(diffs, "channel", "s") == _dict(span, "channel", "s")

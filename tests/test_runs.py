@@ -193,12 +193,27 @@ def test_exports(spark, home, monkeypatch):
     assert header == {'"channel","ts","tag","nice_tag","type"'}
 
     loaded = {}
-    monkeypatch.setattr(jdbc, "load_table", lambda df, spec, options, sized: loaded.update({spec.table: df.columns}))
+    monkeypatch.setattr(jdbc, "load_table", lambda df, spec, options, sized, existing: loaded.update({spec.table: df.columns}))
     (home / "references" / "channel_ref.csv").write_text("id,index,category_name,category_index\nC1,0,a,1\n")
     done = exports.load_database(ws, {"url": "jdbc:x"})
     assert set(done) == set(loaded) == set(jdbc.LOADS)
     assert loaded["reaction_data"] == ["index", "channel", "ts", "thread_ts", "user_id", "reaction"]
     assert loaded["edge_data"] == ["channel", "source", "target", "time", "relate"]
+    assert not list((home / "master" / "sorted").glob("*")), "no sorted rows are left"
+
+    # Sized columns are told what the database holds.
+    asked = []
+    monkeypatch.setattr(exports, "database_table", lambda ws, options, name: asked.append(name))
+    exports.load_database(ws, {"url": "jdbc:x"}, sized=True)
+    assert asked == [name for name, spec in jdbc.LOADS.items() if spec.sized]
+
+    assert "message_data_update" in exports.export_deltas(ws, SECOND)
+    changed = [f.read_text() for f in (home / SECOND / "csv" / "message_data_update.csv").glob("part-*")]
+    assert any('"changed"' in text for text in changed)
+    exports.export_tables(ws, index=True)
+    first = sorted(f.read_text() for f in (home / "master" / "csv" / "user_data.csv").glob("part-*"))
+    assert first[0].startswith('"index","id"')
+    assert not (home / "master" / "csv" / "user_data.csv-sorted").exists()
 
 
 def test_redacted_load(spark, tmp_path, rows):
@@ -349,7 +364,7 @@ def test_pages_of_another_shape_are_reported(spark, tmp_path, rows):
 
 def test_second_product_from_csv(spark, tmp_path, rows):
     """Roles and reactions of the second product come as CSV and reach the edges."""
-    folder = tmp_path / FIRST / "csv"
+    folder = tmp_path / FIRST / "given"
     folder.mkdir(parents=True)
     (folder / "user_data.csv").write_text(f"id,name,real_name,tz,email,batch\n1,a,A,,,{FIRST}\n2,b,B,,,{FIRST}\n")
     (folder / "reaction_data.csv").write_text('channel,ts,thread_ts,user_id,reaction\n7,175928847299117063,,2,"up"\n')
