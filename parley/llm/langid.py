@@ -6,8 +6,10 @@ language and n-gram, so what is shuffled follows the alphabet and not the text.
 are sorted arrays of n-gram hashes with a column per language. A text goes to the language
 of the lowest cross-entropy per symbol.
 
-Rejection is calibrated on the training rows: a text whose cross-entropy lies further above the
-mean of its language than ``deviations`` standard deviations, for its length, is rejected.
+Rejection is calibrated on the training rows: a text is rejected if its cross-entropy lies
+further above the mean of its language than ``deviations`` standard deviations, for its length,
+and also above what texts of that language have under the next best model, so it looks as
+foreign to its best language as other languages do. A text that mixes known languages stays.
 
 Nulls and edges: a null text, or one without a letter, is ``und`` with score 0 and is rejected;
 rows without a language, id or text train nothing; equal cross-entropies go to the smaller
@@ -161,6 +163,8 @@ def kneser_ney(rows: list[tuple[str, str, int]]) -> Models:
     share for each symbol of any language.
     """
     languages = sorted({lang for lang, _, _ in rows})
+    if not rows:
+        return Models([], [], [], [], [])
     place = {lang: i for i, lang in enumerate(languages)}
     counts: list[dict[str, np.ndarray]] = [{} for _ in range(ORDER)]
 
@@ -310,11 +314,12 @@ def identify(docs: DataFrame, train: Column, deviations: float = DEVIATIONS) ->
         F.avg("entropy").alias("_mean"),
         F.var_pop("entropy").alias("_between"),
         F.avg("symbols").alias("_symbols"),
+        (F.avg("following") + F.stddev_pop("following")).alias("_foreign"),
     )
     # as many rows as languages, which are bounded
     limits = F.broadcast(spread.limit(MOST_LANGUAGES))
     deviation = F.sqrt(F.col("_between") * (1 + F.col("_symbols") / F.greatest("symbols", F.lit(1))))
-    beyond = F.col("entropy") > F.col("_mean") + deviations * deviation
+    beyond = F.col("entropy") > F.greatest(F.col("_mean") + deviations * deviation, F.col("_foreign"))
     found = scored.join(limits, F.col("best") == F.col("_lang"), "left")
     return found.select(
         "doc_id",

@@ -137,10 +137,12 @@ def rules() -> list[Rule]:
             found.append((f"{label}-{version}", keyword, _GRANT + then, 0))
             found.append((f"{label}-{version}", keyword, _TAG + then + "(?: (?:only|or later))?", 0))
             found.append((f"{label}-{version}", keyword, then, 1))
-        found.append((label, keyword, _GRANT + name, 1))
         found.append((label, keyword, _TAG + name, 1))
-        if name not in ("mit", "isc"):
-            found.append((label, keyword, name, 3))
+        if keyword.startswith("identifier"):
+            # a word of everyday texts, which is a name only behind the tag
+            continue
+        found.append((label, keyword, _GRANT + name, 1))
+        found.append((label, keyword, name, 3))
         found.append((label, keyword, name if "licen" in name else rf"{name}(?: public)? licen[cs]e", 2))
     found.extend((label, keyword, pattern, priority) for label, keyword, pattern, priority in STATEMENTS)
     framed = [(a, k, _WORD_WAS_BEFORE + p + _WORD_COMES_NEXT, n) for a, k, p, n in found]

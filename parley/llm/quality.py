@@ -127,7 +127,8 @@ class Model:
         return self.features(values) @ self.weights
 
     def score(self, values: np.ndarray) -> np.ndarray:
-        return np.clip(np.interp(self.raw(values), self.places, self.chances), 0, 1)
+        # rounded, as the last digits of a product depend on the rows around it
+        return np.clip(np.interp(np.round(self.raw(values), 10), self.places, self.chances), 0, 1)
 
 
 def _values(column: pd.Series) -> np.ndarray:
