@@ -10,9 +10,9 @@ sketch). ``q`` exceeds the number of poor blocks, with too few shingles to be te
 set normally has, so poor blocks need no join; a set with ``q`` or more of them joins on those
 too, and its partners do the same, so no link is lost.
 
-A bucket gives no list of pairs: its members are paired with the smallest one, pairs are
+A bucket gives no list of pairs: its members are paired with the most central one, pairs are
 verified on the whole sets, and only where a bucket still holds several components are their
-members compared across. A bit sketch (each shingle flips one bit, so the Hamming distance is
+members compared across, inside its group. A bit sketch (each shingle flips one bit, so the Hamming distance is
 again a lower bound) sorts out pairs before texts are moved.
 
 Nulls and edges: a null text, an empty one and one without words have an empty set, linked
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parley.llm.common import Memo, shared_folder, small_batches, stored
+from parley.llm.common import Memo, prepare_workers, stored
 from parley.llm.components import components
 
 #: Odd factors of the hashes, one per word of a shingle and for mixing.
@@ -44,6 +44,10 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 SKETCH_BITS = 1024
 #: Members that one verification group holds next to its hub.
 GROUP = 1000
+#: Bits of the filter that keeps unpaired texts out of the shuffle.
+FILTER_BITS = 1 << 24
+#: Members of a bucket that are compared across with as many others in one group.
+CHUNK = 2048
 #: Sets remembered in a task, of which only the first copy sends its blocks.
 COPIES = 200_000
 
@@ -165,7 +169,7 @@ def prints(docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
 
     Of equal sets in a task only the first sends keys; the others are found by signature.
     """
-    small_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, bands = Shingles(words), Bands(part, whole)
@@ -203,6 +207,25 @@ def _plausible(pairs: DataFrame, classes: DataFrame, part: int, whole: int) -> D
     return both.where(sizes & close).select("a", "b")
 
 
+def _prefiltered(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts without most of those that are not wanted, so these need not be shuffled.
+
+    A bit map of ``FILTER_BITS`` hashed ids, as a table of at most ``FILTER_BITS / 64`` rows,
+    whose size is bounded and which is broadcast. It lets through all that is wanted and some
+    more; with very many wanted ids it lets through everything.
+    """
+
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+    def bit(column: str) -> Column:
+        return F.expr(f"shiftleft(1L, cast(pmod(xxhash64({column}), 64L) AS int))")
+
+    words = wanted.groupBy((place("doc_id") / 64).cast("int").alias("_word")).agg(F.bit_or(bit("doc_id")).alias("_bits"))
+    near = texts.withColumn("_word", (place("doc_id") / 64).cast("int")).join(F.broadcast(words), "_word")
+    return near.where(F.col("_bits").bitwiseAND(bit("doc_id")) != 0).select("doc_id", "text")
+
+
 def verify(pairs: DataFrame, docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
     """The pairs (a, b) that link, decided on the whole sets.
 
@@ -213,8 +236,9 @@ def verify(pairs: DataFrame, docs: DataFrame, words: int, part: int, whole: int)
     chunked = pairs.join(counts, "b").withColumn("_group", F.pmod(F.xxhash64("a"), F.col("_groups")).cast("int"))
     members = chunked.select(F.col("a").alias("doc_id"), F.col("b").alias("_hub"), "_group", F.lit(1).alias("_role"))
     hubs = counts.select(F.col("b").alias("doc_id"), F.col("b").alias("_hub"), F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("_group"), F.lit(0).alias("_role"))
+    wanted = stored(members.union(hubs))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text IS NOT NULL")
-    sent = texts.join(members.union(hubs), "doc_id")
+    sent = _prefiltered(texts, wanted).join(wanted, "doc_id")
     ordered = sent.repartition("_hub", "_group").sortWithinPartitions("_hub", "_group", "_role", "doc_id")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -242,12 +266,116 @@ def verify(pairs: DataFrame, docs: DataFrame, words: int, part: int, whole: int)
     return ordered.select("doc_id", "text", "_hub", "_group", "_role").mapInArrow(check, "a bigint, b bigint")
 
 
-def _members(rows: DataFrame) -> DataFrame:
-    """(key, doc_id, hub, size) of the keys that several documents have."""
-    keyed = rows.where("doc_id IS NOT NULL").select(F.explode("keys").alias("key"), "doc_id")
-    same = Window.partitionBy("key")
-    found = keyed.withColumn("hub", F.min("doc_id").over(same)).withColumn("far", F.max("doc_id").over(same))
-    return found.where(F.col("hub") < F.col("far")).select("key", "doc_id", "hub")
+def _buckets(rows: DataFrame) -> DataFrame:
+    """(doc_id, keys, weight): the buckets of each document that others share, one row each.
+
+    ``weight`` is the number of members of all of them together.
+    """
+    keyed = rows.select(F.explode("keys").alias("key"), "doc_id")
+    sized = keyed.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("size > 1")
+    return sized.groupBy("doc_id").agg(F.collect_set("key").alias("keys"), F.sum("size").alias("weight"))
+
+
+def _stars(buckets: DataFrame) -> DataFrame:
+    """Distinct pairs (x, hub) of a bucket's members and its most central one.
+
+    Central is who meets the most others over all its buckets: of near copies of one text the
+    text itself, and all find the same one.
+    """
+    members = buckets.select(F.explode("keys").alias("key"), "doc_id", "weight")
+    heaviest = F.max(F.struct("weight", "doc_id")).over(Window.partitionBy("key"))["doc_id"]
+    hubs = members.withColumn("hub", heaviest).where(F.col("doc_id") != F.col("hub"))
+    return hubs.select(F.col("doc_id").alias("x"), F.col("hub").alias("y")).distinct()
+
+
+def _between_classes(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """Pairs of documents as distinct pairs a > b of their classes."""
+    left = named.select(F.col("doc_id").alias("x"), F.col("rep").alias("rx"))
+    right = named.select(F.col("doc_id").alias("y"), F.col("rep").alias("ry"))
+    moved = pairs.join(left, "x").join(right, "y").where(F.col("rx") != F.col("ry"))
+    return moved.select(F.greatest("rx", "ry").alias("a"), F.least("rx", "ry").alias("b")).distinct()
+
+
+def _across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, part: int, whole: int) -> DataFrame:
+    """Distinct pairs a > b which share a bucket, carry different labels, and may link.
+
+    Members of a bucket are dealt to chunks of about ``CHUNK``, and each pair of chunks is one
+    group, so a task holds two chunks. Only pairs that pass the bounds leave the group.
+    """
+    placed = buckets.join(labels.select("doc_id", "rep", "label"), "doc_id").select(F.explode("keys").alias("key"), "rep", "label")
+    bucket = Window.partitionBy("key")
+    spans = placed.withColumns(
+        {
+            "least": F.min("label").over(bucket), "most": F.max("label").over(bucket),
+            "chunks": F.ceil(F.count(F.lit(1)).over(bucket) / CHUNK).cast("int"),
+        }
+    )
+    mixed = spans.where(F.col("least") < F.col("most")).select("key", "rep", "label", "chunks").distinct()
+    members = mixed.join(classes.select("rep", "n", "bits"), "rep")
+    own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
+    members = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    members = members.withColumns({"first": F.least("own", "other"), "second": F.greatest("own", "other")})
+    group = ["key", "first", "second"]
+    ordered = members.repartition(*group).sortWithinPartitions(*group).select(*group, "own", "rep", "label", "n", "bits")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[tuple[int, int]] = set()
+        for own, rep, label, n, bits in _groups(batches, 3):
+            found: tuple[list, list] = ([], [])
+            one_chunk = (own == own[0]).all()
+            for i in range(len(rep)):
+                # each pair once: inside a chunk with those behind, across chunks from the lower one
+                others = slice(i + 1, None) if one_chunk else own > own[i]
+                far = label[others] != label[i]
+                if not far.any():
+                    continue
+                sizes, which = n[others][far], rep[others][far]
+                fits = (whole * np.minimum(sizes, n[i]) >= part * np.maximum(sizes, n[i])).nonzero()[0]
+                apart = np.bitwise_count(bits[others][far][fits] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                close = apart * (whole + part) <= (sizes[fits] + n[i]) * (whole - part)
+                for j in which[fits[close]].tolist():
+                    pair = (max(j, int(rep[i])), min(j, int(rep[i])))
+                    if pair not in known:
+                        known.add(pair)
+                        found[0].append(pair[0])
+                        found[1].append(pair[1])
+            if len(known) > COPIES:
+                known.clear()
+            if found[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], schema=schema)
+
+    return ordered.mapInArrow(compare, "a bigint, b bigint").distinct()
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Columns behind the keys, for each run of equal keys; a run may go over batches."""
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
+
+    def columns() -> tuple[np.ndarray, ...]:
+        whole = pa.Table.from_batches(held)
+        flat = [whole.column(i).to_numpy() for i in range(keys, whole.num_columns - 1)]
+        bits = whole.column(whole.num_columns - 1).combine_chunks()
+        return (*flat, bits.flatten().to_numpy().reshape(len(bits), -1))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = [batch.column(i).to_numpy() for i in range(keys)]
+        changes = np.zeros(batch.num_rows, bool)
+        for value in values:
+            changes[1:] |= value[1:] != value[:-1]
+        starts = [0, *np.flatnonzero(changes).tolist(), batch.num_rows]
+        for at, end in zip(starts, starts[1:], strict=False):
+            key = tuple(int(v[at]) for v in values)
+            if last is not None and key != last:
+                yield columns()
+                held = []
+            held.append(batch.slice(at, end - at))
+            last = key
+    if held:
+        yield columns()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
@@ -262,32 +390,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, whole: int
     named = stored(named.select("doc_id", "rep").distinct())
     # a document with several texts joins the classes of all of them
     own = named.where(F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    several = named.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where(F.col("a") != F.col("b"))
-    members = stored(_members(some))
-
-    def between_classes(pairs: DataFrame) -> DataFrame:
-        """Pairs of documents as distinct pairs of classes, the larger one first."""
-        left = named.select(F.col("doc_id").alias("x"), F.col("rep").alias("rx"))
-        right = named.select(F.col("doc_id").alias("y"), F.col("rep").alias("ry"))
-        moved = pairs.join(left, "x").join(right, "y").where(F.col("rx") != F.col("ry"))
-        return moved.select(F.greatest("rx", "ry").alias("a"), F.least("rx", "ry").alias("b")).distinct()
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        plausible = stored(_plausible(pairs, classes, part, whole))
-        return stored(verify(plausible, docs, words, part, whole))
-
-    stars = stored(between_classes(members.where(F.col("doc_id") != F.col("hub")).select(F.col("doc_id").alias("x"), F.col("hub").alias("y")).distinct()))
-    links = linked(stars).union(several.select("a", "b"))
+    several = named.groupBy("doc_id").agg(F.max("rep").alias("a"), F.min("rep").alias("b")).where(F.col("a") != F.col("b"))
+    buckets = stored(_buckets(some))
+    stars = stored(_plausible(_between_classes(_stars(buckets), named), classes, part, whole))
+    links = stored(verify(stars, docs, words, part, whole)).union(several.select("a", "b"))
     joined = stored(components(links))
     # buckets that hold several components still: compare across them
-    label = named.join(joined, named["rep"] == joined["node"], "left").select("doc_id", "rep", F.coalesce("component", "rep").alias("label"))
-    placed = members.select("key", "doc_id").join(label, "doc_id")
-    mixed = placed.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where(F.col("least") < F.col("most")).select("key")
-    open_rows = stored(placed.join(mixed, "key").select("key", "rep", "label").distinct())
-    other = open_rows.select("key", F.col("rep").alias("rep2"), F.col("label").alias("label2"))
-    across = open_rows.join(other, "key").where((F.col("label") < F.col("label2")))
-    across = across.select(F.greatest("rep", "rep2").alias("a"), F.least("rep", "rep2").alias("b")).distinct()
-    late = linked(across.join(stars, ["a", "b"], "left_anti"))
+    label = F.coalesce("component", "rep").alias("label")
+    labels = named.join(joined, named["rep"] == joined["node"], "left").select("doc_id", "rep", label)
+    untested = stored(_across(buckets, labels, classes, part, whole).join(stars, ["a", "b"], "left_anti"))
+    late = stored(verify(untested, docs, words, part, whole))
     final = components(links.union(late).union(own))
     found = rows.select("doc_id", "n").join(final, rows["doc_id"] == final["node"], "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
