@@ -38,5 +38,72 @@ FROM rows
 """
 
 
+# Components: the smallest id that a walk along the links reaches.
+_REACHED = """
+reached(node, other) AS (
+  SELECT a, b FROM (SELECT a, b FROM links UNION SELECT b, a FROM links)
+  UNION
+  SELECT r.node, l.b FROM reached r JOIN (SELECT a, b FROM links UNION SELECT b, a FROM links) l ON r.other = l.a
+)"""
+
+_OP2 = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+    lambda w: w <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [list_aggregate(w, 'string_agg', ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: list_aggregate(w[i : i + 3], 'string_agg', ' ')) END) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT c.a, c.b FROM common c JOIN sizes x ON c.a = x.doc_id JOIN sizes y ON c.b = y.doc_id
+  WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)
+), {_REACHED}
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, r.least) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+LEFT JOIN (SELECT node, min(other) AS least FROM reached GROUP BY 1) r ON d.doc_id = r.node
+"""
+
+_VALID = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+_OP8 = f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE {_VALID} AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y ON x.vec_id < y.vec_id
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.9
+), {_REACHED}
+SELECT e.vec_id, coalesce(l.n, 0) AS n_links, least(e.vec_id, r.least) AS component_id,
+  e.vec_id = least(e.vec_id, r.least) AS kept
+FROM embeddings e
+LEFT JOIN (SELECT a, count(*) AS n FROM (SELECT a FROM links UNION ALL SELECT b FROM links) GROUP BY 1) l ON e.vec_id = l.a
+LEFT JOIN (SELECT node, min(other) AS least FROM reached GROUP BY 1) r ON e.vec_id = r.node
+"""
+
+_OP9 = f"""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings WHERE {_VALID}
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 10
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op4_jump_shards": _OP4}
+    return {
+        "op2_parity_sketch_join": _OP2,
+        "op4_jump_shards": _OP4,
+        "op8_itq_near_vectors": _OP8,
+        "op9_dual_tree_top_k": _OP9,
+    }
