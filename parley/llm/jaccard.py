@@ -43,7 +43,7 @@ _MIX, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 SKETCH_BITS = 1024
 #: Members that one verification group holds next to its hub.
-GROUP = 1000
+GROUP = 128
 #: Bits of the filter that keeps unpaired texts out of the shuffle.
 FILTER_BITS = 1 << 24
 #: Members of a bucket that are compared across with as many others in one group.
