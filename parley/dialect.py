@@ -26,7 +26,8 @@ class Dialect:
 
 
 # The first product has threads and nested records, the second flat records only.
-# Subtypes and markup patterns of the two products.
+# Subtypes and markup patterns of the two products. A tag ends at its bracket or
+# with its line; the class says so, as the dot stops at other characters in Java.
 THREADED = Dialect(
     name="threaded",
     activity_subtypes=(None, "thread_broadcast"),

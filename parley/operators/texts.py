@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.words import (
@@ -70,15 +70,20 @@ def thank_you_posts(
     irregular: Mapping[str, str] = IRREGULAR,
 ) -> DataFrame:
     """Add ``lemmas``: the lower-case verb lemmas of a post that says thanks, else null."""
-    words = without_stop_words(tokens(text))
-    # Lower case first: inside the lemma the word is used many times.
-    lemmas = F.transform(F.transform(words, F.lower), lambda w: verb_lemma(w, verbs, irregular))
     # Every form of these words contains the word, or is a listed exception: a text without
-    # any of them is settled by one scan.
+    # any of them is settled by one scan, and in the others only words with a sign can say so.
     signs = [*THANKS, *[form for form, verb in irregular.items() if verb in THANKS]]
-    small = F.lower(F.col(text))
-    possible = reduce(lambda a, b: a | b, [small.contains(sign) for sign in signs])
-    says_thanks = F.arrays_overlap(F.col("lemmas"), F.array(*[F.lit(t) for t in THANKS]))
-    return df.withColumn("lemmas", F.when(possible, lemmas)).withColumn(
-        "lemmas", F.when(says_thanks, F.col("lemmas"))
-    )
+
+    def has_sign(value: Column) -> Column:
+        return reduce(lambda a, b: a | b, [value.contains(sign) for sign in signs])
+
+    def lemma(word: Column) -> Column:
+        return verb_lemma(word, verbs, irregular)
+
+    possible = has_sign(F.lower(F.col(text)))
+    words = F.transform(without_stop_words(tokens(text)), F.lower)
+    thanks = F.array(*[F.lit(t) for t in THANKS])
+    with_words = df.withColumn("_words", F.when(possible, words))
+    says_thanks = F.arrays_overlap(F.transform(F.filter("_words", has_sign), lemma), thanks)
+    lemmas = F.when(says_thanks, F.transform("_words", lemma))
+    return with_words.withColumn("lemmas", lemmas).drop("_words")

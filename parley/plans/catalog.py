@@ -527,6 +527,14 @@ def word_forms(t: Tables) -> DataFrame:
     return texts.word_forms(t.gratitude())
 
 
+@_query
+def word_stems(t: Tables) -> DataFrame:
+    """The vocabulary with stems out of a table, which knows the tokens that end in s."""
+    words = texts.word_counts(t.gratitude())
+    table = words.where(F.col("token").endswith("s")).select("token", F.regexp_replace("token", "s$", "").alias("stem"))
+    return texts.forms_from_table(words, table, "stem")
+
+
 @_query
 def thank_you_posts(t: Tables) -> DataFrame:
     thanks = texts.thank_you_posts(t.gratitude())

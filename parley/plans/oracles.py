@@ -512,6 +512,11 @@ SELECT event_id, (epoch_us(ts) // 1000 - 1420070400000) * 4194304 + event_id % 4
             ["gratitude"],
             f"SELECT token, count(*) AS n, {_lemma('token')} AS lemma FROM words GROUP BY 1",
         ).replace("\nSELECT token", f",{_tokens('gratitude', 'doc_id')}\nSELECT token"),
+        "word_stems": _sql(
+            ["gratitude"],
+            "SELECT token, count(*) AS n, CASE WHEN token LIKE '%s' THEN left(token, length(token) - 1) ELSE token END AS stem"
+            " FROM words GROUP BY 1",
+        ).replace("\nSELECT token", f",{_tokens('gratitude', 'doc_id')}\nSELECT token"),
         "thank_you_posts": _sql(
             ["gratitude"],
             f"""SELECT g.doc_id, coalesce(l.lemmas, '') AS lemmas FROM gratitude g LEFT JOIN (

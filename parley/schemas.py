@@ -1,4 +1,7 @@
-"""Schemas of the decoded pages, the entity tables and the metric tables."""
+"""Schemas of the decoded pages, the entity tables and the metric tables.
+
+Fixed values: names, order and types of the columns, and the keys of the pages.
+"""
 
 from __future__ import annotations
 
@@ -99,5 +102,3 @@ NODE_COLUMNS = [
 ]
 
 EDGE_COLUMNS = ["channel", "source", "target", "time", "relate"]
-
-TAG_COLUMNS = ["channel", "ts", "tag", "nice_tag", "type"]
