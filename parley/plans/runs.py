@@ -101,7 +101,10 @@ def build_tables(
     """
     pages = {kind: _pages(ws, batch, kind) for kind in PAGE_PREFIXES}
     if ws.dialect.threads:
-        history, answers = pages["messages"], pages["threads"]
+        # Parsed once; several tables read different fields of these pages.
+        for kind in ("messages", "threads"):
+            _write(page_tables.typed_pages(pages[kind]), ws.typed_path(batch, kind))
+        history, answers = (ws.spark.read.parquet(ws.typed_path(batch, kind)) for kind in ("messages", "threads"))
         tables = {
             "user_data": page_tables.users_from_pages(pages["users"], batch),
             "channel_data": page_tables.channels_from_pages(pages["channels"]),

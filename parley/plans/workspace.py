@@ -2,6 +2,7 @@
 
     <home>/<batch>/api        raw pages
     <home>/<batch>/json       decoded pages, a partition per kind of page
+    <home>/<batch>/typed      pages of posts and replies, parsed
     <home>/<batch>/given      entity tables as CSV, used instead of those from pages
     <home>/<batch>/tables     entity tables of the batch
     <home>/<batch>/metrics    metrics of the batch
@@ -65,6 +66,9 @@ class Workspace:
     def pages_path(self, batch: str) -> str:
         return f"{self.home}/{batch}/json"
 
+    def typed_path(self, batch: str, kind: str) -> str:
+        return f"{self.home}/{batch}/typed/{kind}"
+
     def table_path(self, batch: str, name: str) -> str:
         return f"{self.home}/{batch}/tables/{name}"
 

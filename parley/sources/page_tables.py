@@ -29,9 +29,18 @@ _WHITESPACE = " \t\n\r\x0b\x0c"
 
 
 def _parsed(pages: DataFrame, schema: str) -> DataFrame:
+    """Pages with the struct ``page``; pages which have one already are taken as they are."""
+    if "page" in pages.columns:
+        return pages
     return pages.withColumn("page", F.from_json("json", schema))
 
 
+def typed_pages(pages: DataFrame) -> DataFrame:
+    """History or reply pages (file_name, page) with all fields that any table reads. Once they
+    are stored, each table reads only its own fields of them."""
+    return _parsed(pages, schemas.MESSAGES_PAGE).select("file_name", "page")
+
+
 def users_from_pages(
     pages: DataFrame, batch: Column | str, place: bool = False
 ) -> DataFrame:
@@ -126,17 +135,18 @@ def _answered(history: DataFrame) -> DataFrame:
     )
 
 
-def _visited_replies(history: DataFrame, replies: DataFrame) -> DataFrame:
-    """Reply pages whose parent announces replies; filtered while a page is still one row."""
-    keyed = replies.withColumns({"channel": page_channel(), "parent_ts": page_parent()})
-    visited = keyed.join(_answered(history), ["channel", "parent_ts"], "left_semi")
-    return visited.drop("channel", "parent_ts")
+def _visited_replies(history: DataFrame, replies: DataFrame, schema: str) -> DataFrame:
+    """The messages of reply pages whose parent announces replies. They are parsed before the
+    join, so that only the fields in use are shuffled and no page; a semi join would be moved
+    below the parsing."""
+    answered = _answered(history).distinct()
+    return page_messages(replies, schema).join(answered, ["channel", "parent_ts"])
 
 
 def threads_from_pages(history: DataFrame, replies: DataFrame, zone: str = "UTC") -> DataFrame:
     columns = _post_columns(zone)
     del columns["reply_count"]
-    rows = page_messages(_visited_replies(history, replies), schemas.POSTS_IN_PAGE)
+    rows = _visited_replies(history, replies, schemas.POSTS_IN_PAGE)
     return rows.select(*[c.alias(n) for n, c in columns.items()])
 
 
@@ -161,7 +171,7 @@ def reactions_from_messages(history: DataFrame, replies: DataFrame) -> DataFrame
     """
     fields = schemas.REACTIONS_IN_PAGE
     own = page_messages(history, fields).where(~has_replies(_reply_count()))
-    answered = page_messages(_visited_replies(history, replies), fields)
+    answered = _visited_replies(history, replies, fields).where(F.size("m.reactions") > 0)
     return reactions_of(own).unionByName(reactions_of(answered)).distinct()
 
 

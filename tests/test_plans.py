@@ -66,3 +66,34 @@ def test_unknown_authors_do_not_meet_as_nulls(spark):
     plan = conversations(t.message(), None, t.user(), t.zone(), t.country())
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"Join LeftOuter, \(_author#\d+ = _id#\d+\)", text)
+
+
+@pytest.mark.parametrize("name", ["threads_from_pages", "reactions_from_messages"])
+def test_no_page_is_shuffled_for_replies(spark, name):
+    """Beyond the binding, which groups rows to pages, exchanges carry fields of messages only."""
+    from parley.sources import page_tables
+
+    rows = spark.createDataFrame([("conversation_history-C1-1588327872000000.json", "{}")], "file_name string, json string")
+    replies = spark.createDataFrame([("conversation_replies-C1_1.2-1588327872000000.json", "{}")], "file_name string, json string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = getattr(page_tables, name)(rows, replies)
+        text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanges = re.findall(r"\) Exchange\s+Input \[\d+\]: \[(.*?)\]\n", text)
+    assert exchanges and not any(re.search(r"\b(json|page|value)#", e) for e in exchanges)
+
+
+def test_a_run_parses_posts_once(spark, tmp_path):
+    """Tables read the fields they need of the typed pages, and no JSON."""
+    from parley.sources import page_tables
+
+    rows = spark.createDataFrame([("conversation_history-C1-1588327872000000.json", '{"messages": [{"ts": "1.2"}]}')], "file_name string, json string")
+    page_tables.typed_pages(rows).write.parquet(str(tmp_path / "typed"))
+    typed = spark.read.parquet(str(tmp_path / "typed"))
+    plan = page_tables.reactions_from_messages(typed, typed)._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan
+    schemas = re.findall(r"ReadSchema: (\S+)", plan)
+    assert schemas and not any("text" in s or "blocks" in s for s in schemas)
