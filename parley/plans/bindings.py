@@ -217,7 +217,10 @@ class Tables:
         text = F.to_json(body, {"ignoreNullFields": "false"})
         for token, literal in (("null", "None"), ("true", "True"), ("false", "False")):
             text = F.regexp_replace(text, f'":{token}([,}}])', f'":{literal}$1')
-        return grouped.select("file_name", text.alias("value"))
+        # Printed pages have single quotes, unless a string holds one itself.
+        plain = ~text.contains("'") & ~text.contains("\\")
+        value = F.when(plain, F.translate(text, '"', "'")).otherwise(text)
+        return grouped.select("file_name", value.alias("value"))
 
     def _posts_in_pages(self) -> DataFrame:
         name = F.col("event_type")
