@@ -7,7 +7,10 @@ one table per substring, and there are as many tables as find a pair at the thre
 wanted recall. Pairs that share a substring and whose codes are close are reranked with the
 original vectors in double precision, so none below the threshold is linked.
 
-Equal vectors are one class with a count, so groups of exact copies make no pairs.
+Groups make no lists of pairs. Equal vectors are one class with a count. In each bucket the most
+central class is a hub, and whoever lies within half the angle of the threshold of its hub
+joins the hub's ball: any two of a ball are within the whole angle, so they link without a
+look at the pair, and only pairs that are not of one ball are compared.
 
 Nulls and edges: vectors that are null, empty, zero, or hold null or non-finite components, and
 those of another length than most, link with nothing; equal vectors link; rows that share a
@@ -22,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.llm.common import prepare_workers, stored
@@ -36,7 +39,7 @@ RECALL = 0.97
 CHECK_WORDS = 2
 
 
-def usable(column: str = "embedding"):
+def usable(column: str = "embedding") -> Column:
     """Not null, no null or non-finite component, not zero."""
     finite = F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return F.coalesce(finite, F.lit(False)) & F.coalesce(F.exists(column, lambda x: x != 0), F.lit(False))
@@ -112,13 +115,41 @@ def _table_rows(classes: DataFrame, codes: Codes) -> DataFrame:
     return classes.select("rep", "vector").mapInArrow(rows, "bucket bigint, rep bigint, w0 bigint, w1 bigint")
 
 
-def candidates(classes: DataFrame, codes: Codes, threshold: float) -> DataFrame:
-    """Distinct pairs a > b that share a bucket and whose codes are close."""
-    rows = _table_rows(classes, codes)
-    other = rows.select("bucket", F.col("rep").alias("b"), F.col("w0").alias("v0"), F.col("w1").alias("v1"))
-    differing = F.bit_count(F.col("w0").bitwiseXOR(F.col("v0"))) + F.bit_count(F.col("w1").bitwiseXOR(F.col("v1")))
-    close = (F.col("rep") > F.col("b")) & (differing <= code_distance(threshold))
-    return rows.join(other, "bucket").where(close).select(F.col("rep").alias("a"), "b").distinct()
+def _close(columns: list[str], others: list[str], threshold: float) -> Column:
+    differing = [F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(columns, others, strict=True)]
+    return sum(differing[1:], differing[0]) <= code_distance(threshold)
+
+
+def balls(buckets: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """(rep, ball): each class at most once, in the ball of the heaviest hub that it is near.
+
+    The hub of a bucket is the class that meets the most others over all its buckets; a hub
+    that holds others is in its own ball.
+    """
+    shared = buckets.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).where("size > 1")
+    weights = shared.groupBy("rep").agg(F.sum("size").alias("weight"))
+    weighted = shared.select("bucket", "rep", "w0", "w1").join(weights, "rep")
+    heaviest = F.max(F.struct("weight", "rep", "w0", "w1")).over(Window.partitionBy("bucket"))
+    with_hub = weighted.withColumn("hub", heaviest).where(F.col("rep") != F.col("hub.rep"))
+    with_hub = with_hub.select("rep", F.col("hub.rep").alias("b"), "w0", "w1", F.col("hub.w0").alias("v0"), F.col("hub.w1").alias("v1"), F.col("hub.weight").alias("weight"))
+    near = with_hub.where(_close(["w0", "w1"], ["v0", "v1"], threshold)).groupBy(F.col("rep").alias("a"), "b").agg(F.max("weight").alias("weight"))
+    # a little closer than half the angle, against rounding
+    half = math.cos(math.acos(threshold) / 2) + 1e-9
+    inside = stored(near.join(rerank(near.select("a", "b"), classes, half), ["a", "b"]))
+    chosen = inside.groupBy(F.col("a").alias("rep")).agg(F.max_by("b", F.struct("weight", "b")).alias("ball"))
+    hubs = chosen.select(F.col("ball").alias("rep")).distinct()
+    others = chosen.join(hubs, "rep", "left_anti")
+    # a hub may have gone to another hub, which leaves its ball without it
+    return stored(others.union(hubs.select("rep", F.col("rep").alias("ball"))))
+
+
+def candidates(buckets: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs a > b that share a bucket, are not of one ball, and whose codes are close."""
+    rows = buckets.join(members, "rep", "left").withColumn("ball", F.coalesce("ball", -1 - F.col("rep")))
+    other = rows.select("bucket", F.col("rep").alias("b"), F.col("w0").alias("v0"), F.col("w1").alias("v1"), F.col("ball").alias("ball2"))
+    apart = (F.col("rep") > F.col("b")) & (F.col("ball") != F.col("ball2"))
+    pairs = rows.join(other, "bucket").where(apart & _close(["w0", "w1"], ["v0", "v1"], threshold))
+    return pairs.select(F.col("rep").alias("a"), "b").distinct()
 
 
 def rerank(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -153,13 +184,21 @@ def near_vectors(rows: DataFrame, threshold: float = 0.9) -> DataFrame:
         units = np.array([r["vector"] for r in sorted(sample)])
         units /= np.linalg.norm(units, axis=1)[:, None]
         codes = Codes(units, *plan_tables(count, threshold))
-        links = stored(rerank(stored(candidates(classes, codes, threshold)), classes, threshold))
+        buckets = stored(_table_rows(classes, codes))
+        members = balls(buckets, classes, threshold)
+        links = stored(rerank(stored(candidates(buckets, members, threshold)), classes, threshold))
     else:
+        members = classes.select("rep", F.col("rep").alias("ball"))
         links = stored(classes.select(F.col("rep").alias("a"), F.col("rep").alias("b")))
-    joined = components(links)
+    joined = components(links.union(members.select("rep", "ball")))
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     sizes = classes.groupBy("rep").agg(F.sum("copies").alias("copies"))
-    others = both.join(sizes.withColumnRenamed("rep", "b"), "b").groupBy("a").agg(F.sum("copies").alias("linked"))
+    # a class links with all of its ball but itself, and with those found one by one
+    inside = members.join(sizes, "rep")
+    whole = inside.groupBy("ball").agg(F.sum("copies").alias("all"))
+    of_ball = inside.join(whole, "ball").select(F.col("rep").alias("a"), (F.col("all") - F.col("copies")).alias("copies"))
+    of_pairs = both.join(sizes.withColumnRenamed("rep", "b"), "b").select("a", "copies")
+    others = of_pairs.union(of_ball).groupBy("a").agg(F.sum("copies").alias("linked"))
     named = classes.select("vector", "rep", "copies").join(others, F.col("rep") == F.col("a"), "left").drop("a")
     named = named.join(joined, F.col("rep") == F.col("node"), "left")
     per_class = named.select(
