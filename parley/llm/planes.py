@@ -151,9 +151,15 @@ def write_ids(docs: DataFrame, folder: str, path: str, end_id: int | None = None
     frame.write.option("compression", "uncompressed").parquet(folder)
 
 
+def _segments_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The segments of a batch, whose bytes Spark bounds, unpacked one at a time."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _segments_of(batch):
             wide = b"".join([block.astype("<u4").tobytes() for block in read_blocks(row)])
             ends = np.cumsum([0, *row["lengths"]])
             view = memoryview(wide)
@@ -183,7 +189,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     ``ids_crc32`` is over the ids as little-endian 32-bit integers. Planes are decoded where
     they are read; only rows of a few numbers are joined with the starts of the segments.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    prepare_workers(spark)
     file = spark.read.schema(SEGMENT).parquet(folder)
     rows = file.mapInArrow(_documents, "part int, segment int, place int, doc_id bigint, before bigint, n_tokens bigint, ids_crc32 bigint")
     starts = _segment_starts(file.select("part", "segment", "n_ids"))
@@ -196,9 +202,10 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _segments_of(batch):
                 ids, ends = np.concatenate([np.empty(0, "<u4"), *read_blocks(row)]).astype("i8"), np.cumsum(row["lengths"])
                 values = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), values], ["doc_id", "ids"])
 
+    prepare_workers(spark)
     return spark.read.schema(SEGMENT).parquet(folder).mapInArrow(decode, "doc_id bigint, ids array<bigint>")
