@@ -13,8 +13,8 @@ Stages:
 - ``packing``: sequences of at most 2048 tokens.
 
 Nulls and edges: a null or empty text has no letter and goes in the first stage; a null
-``doc_id`` can be matched with no decision and goes there too; rows with one ``doc_id`` go or
-stay together, except that the third stage keeps one row of them; an empty table gives no rows;
+``doc_id`` can be matched with no decision and goes there too; rows that share a ``doc_id`` go
+together if any of them is to go, and the third stage keeps one row of them; an empty table gives no rows;
 further columns pass through, whatever their names.
 """
 
@@ -26,33 +26,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.llm import jaccard, langid, packing, quality
-from parley.llm.common import stored
+from parley.llm.common import id_filter, stored
 from parley.llm.queries import fold, tokenizer_file
 
 #: A text goes if the chance of label 1 is lower; short clean texts score lower than long ones.
 LEAST_QUALITY = 0.3
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose ``doc_id`` is in ``ids(_id)``, with the columns they came with."""
-    return docs.join(ids, docs["doc_id"] == ids["_id"], "left_semi")
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose ``doc_id`` is not in ``ids(doc_id)``, with the columns they came with.
+
+    Most rows are surely not among them. Of the others, nearly all are, so only the ids of the
+    few exceptions are looked up, and of the texts only theirs are shuffled.
+    """
+    perhaps, surely_not = id_filter(docs, ids)
+    stay = stored(perhaps.select("doc_id").distinct().join(ids.select("doc_id").distinct(), "doc_id", "left_anti"))
+    found = id_filter(docs, stay)[0]
+    kept = stay.withColumnRenamed("doc_id", "_kept")
+    return surely_not.union(found.join(kept, found["doc_id"] == kept["_kept"], "left_semi"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.identify(docs, fold(3) != 1)
-    return _keep(docs, found.where("NOT rejected").select(F.col("doc_id").alias("_id")))
+    known = docs.where("doc_id IS NOT NULL")
+    found = langid.identify(known, fold(3) != 1)
+    return _without(known, stored(found.where("rejected").select("doc_id")))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = quality.score(docs, labels, fold(4) != 2, fold(4) == 3, LEAST_QUALITY)
-    return _keep(docs, scored.where("predicted = 1").select(F.col("doc_id").alias("_id")))
+    return _without(docs, stored(scored.where("predicted = 0").select("doc_id")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.near_duplicates(docs, words=5, part=80, whole=100)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id"))
-    return _keep(docs, first).dropDuplicates(["doc_id"])
+    found = stored(jaccard.near_duplicates(docs, words=5, part=80, whole=100))
+    others = found.where("doc_id <> component_id").select("doc_id").distinct()
+    # rows that share an id are one document, of which one row stays
+    again = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated, single = id_filter(docs, stored(again))
+    return _without(single.union(repeated.dropDuplicates(["doc_id"])), stored(others))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,6 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Sequence
-from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,6 +15,10 @@ from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch. Texts are long, and a batch is held in memory.
 BATCH_ROWS = 1000
+#: Bits of the map by which rows are set apart before a join by id.
+FILTER_BITS = 1 << 24
+#: Applications whose executors have this package.
+_SHIPPED: set[str] = set()
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,9 +45,11 @@ def stored(df: DataFrame, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-@lru_cache(maxsize=8)
-def _ship_package(application: str) -> None:
-    """Send this package to the executors of an application, whose paths may lack it."""
+def _ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of the application, whose paths may lack it."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
     root = Path(__file__).resolve().parents[1]
     # executors fetch it from the driver whenever they start, so it stays until the driver ends
     folder = tempfile.mkdtemp(prefix="parley-package-")
@@ -53,7 +58,8 @@ def _ship_package(application: str) -> None:
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as file:
         for source in sorted(root.rglob("*.py")):
             file.write(source, source.relative_to(root.parent))
-    SparkSession.getActiveSession().sparkContext.addPyFile(str(archive))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(application)
 
 
 def prepare_workers(spark: SparkSession) -> None:
@@ -61,7 +67,7 @@ def prepare_workers(spark: SparkSession) -> None:
 
     A smaller batch size of the caller stays.
     """
-    _ship_package(spark.sparkContext.applicationId)
+    _ship_package(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > BATCH_ROWS or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(BATCH_ROWS))
@@ -72,6 +78,26 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def id_filter(rows: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows in two parts: those whose ``doc_id`` may be among ``ids``, and those surely not.
+
+    A bit map of ``FILTER_BITS`` hashed ids, kept as a table of at most ``FILTER_BITS / 64`` rows,
+    is broadcast; its size does not depend on the input. So only the first part needs an exact
+    join, and the second is not shuffled. With very many ids all rows come to the first.
+    """
+
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(column).cast("bigint")), F.lit(FILTER_BITS))
+
+    def bit(column: str) -> Column:
+        return F.expr(f"shiftleft(1L, cast(pmod(xxhash64(cast({column} AS bigint)), 64L) AS int))")
+
+    words = ids.groupBy((place("doc_id") / 64).cast("int").alias("__filter_word")).agg(F.bit_or(bit("doc_id")).alias("__filter_bits"))
+    joined = rows.join(F.broadcast(stored(words)), (place("doc_id") / 64).cast("int") == F.col("__filter_word"), "left")
+    hit = F.coalesce(F.col("__filter_bits").bitwiseAND(bit("doc_id")) != 0, F.lit(False))
+    return joined.where(hit).select(rows["*"]), joined.where(~hit).select(rows["*"])
+
+
 def numbered(
     df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Column], name: str
 ) -> DataFrame:

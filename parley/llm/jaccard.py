@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parley.llm.common import Memo, prepare_workers, stored
+from parley.llm.common import Memo, id_filter, prepare_workers, stored
 from parley.llm.components import components
 
 #: Odd factors of the hashes, one per word of a shingle and for mixing.
@@ -44,8 +44,6 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 SKETCH_BITS = 1024
 #: Members that one verification group holds next to its hub.
 GROUP = 128
-#: Bits of the filter that keeps unpaired texts out of the shuffle.
-FILTER_BITS = 1 << 24
 #: Members of a bucket that are compared across with as many others in one group.
 CHUNK = 2048
 #: Sets remembered in a task, of which only the first copy sends its blocks.
@@ -207,25 +205,6 @@ def _plausible(pairs: DataFrame, classes: DataFrame, part: int, whole: int) -> D
     return both.where(sizes & close).select("a", "b")
 
 
-def _prefiltered(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Texts without most of those that are not wanted, so these need not be shuffled.
-
-    A bit map of ``FILTER_BITS`` hashed ids, as a table of at most ``FILTER_BITS / 64`` rows,
-    whose size is bounded and which is broadcast. It lets through all that is wanted and some
-    more; with very many wanted ids it lets through everything.
-    """
-
-    def place(column: str) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-
-    def bit(column: str) -> Column:
-        return F.expr(f"shiftleft(1L, cast(pmod(xxhash64({column}), 64L) AS int))")
-
-    words = wanted.groupBy((place("doc_id") / 64).cast("int").alias("_word")).agg(F.bit_or(bit("doc_id")).alias("_bits"))
-    near = texts.withColumn("_word", (place("doc_id") / 64).cast("int")).join(F.broadcast(words), "_word")
-    return near.where(F.col("_bits").bitwiseAND(bit("doc_id")) != 0).select("doc_id", "text")
-
-
 def verify(pairs: DataFrame, docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
     """The pairs (a, b) that link, decided on the whole sets.
 
@@ -238,7 +217,7 @@ def verify(pairs: DataFrame, docs: DataFrame, words: int, part: int, whole: int)
     hubs = counts.select(F.col("b").alias("doc_id"), F.col("b").alias("_hub"), F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("_group"), F.lit(0).alias("_role"))
     wanted = stored(members.union(hubs))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text IS NOT NULL")
-    sent = _prefiltered(texts, wanted).join(wanted, "doc_id")
+    sent = id_filter(texts, wanted)[0].join(wanted, "doc_id")
     ordered = sent.repartition("_hub", "_group").sortWithinPartitions("_hub", "_group", "_role", "doc_id")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -269,11 +248,16 @@ def verify(pairs: DataFrame, docs: DataFrame, words: int, part: int, whole: int)
 def _buckets(rows: DataFrame) -> DataFrame:
     """(doc_id, keys, weight): the buckets of each document that others share, one row each.
 
-    ``weight`` is the number of members of all of them together.
+    Near copies share most of their buckets with the same others. A bucket is therefore named
+    by its members, so those with equal members are one; should two names meet, their members
+    are compared in vain and nothing is lost. ``weight`` is the number of members of all
+    buckets together.
     """
     keyed = rows.select(F.explode("keys").alias("key"), "doc_id")
-    sized = keyed.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("size > 1")
-    return sized.groupBy("doc_id").agg(F.collect_set("key").alias("keys"), F.sum("size").alias("weight"))
+    same = Window.partitionBy("key")
+    members = F.xxhash64(F.bit_xor(F.xxhash64("doc_id")).over(same), F.col("size"))
+    sized = keyed.withColumn("size", F.count(F.lit(1)).over(same)).withColumn("members", members).where("size > 1")
+    return sized.groupBy("doc_id").agg(F.collect_set("members").alias("keys"), F.sum("size").alias("weight"))
 
 
 def _stars(buckets: DataFrame) -> DataFrame:
