@@ -35,10 +35,13 @@ FAMILIES = [
     ("apache", "apache", r"apache(?: software| public)*(?: license)?", ["1.0", "1.1", "2.0"]),
     ("mit", " mit licen", r"mit licen[cs]e", []),
     ("mit", " mit x11", r"mit x11(?: licen[cs]e)?", []),
+    ("mit", " mit public licen", r"mit public licen[cs]e", []),
     ("mit", "identifier mit ", r"mit", []),
     ("isc", " isc licen", r"isc licen[cs]e", []),
+    ("isc", " isc public licen", r"isc public licen[cs]e", []),
     ("isc", "identifier isc ", r"isc", []),
-    ("bsd-2-clause", " bsd ", r"(?:bsd 2 clause|simplified bsd|2 clause bsd|freebsd)", []),
+    ("bsd-2-clause", " bsd ", r"(?:bsd 2 clause|simplified bsd|2 clause bsd)", []),
+    ("bsd-2-clause", "freebsd", r"freebsd", []),
     ("bsd-3-clause", " bsd ", r"(?:bsd 3 clause|new bsd|modified bsd|revised bsd|3 clause bsd)", []),
     ("bsd-4-clause", " bsd ", r"(?:bsd 4 clause|original bsd|4 clause bsd)", []),
     ("bsd", " bsd ", r"bsd", []),
@@ -139,7 +142,8 @@ def rules() -> list[Rule]:
             found.append((f"{label}-{version}", keyword, then, 1))
         found.append((label, keyword, _TAG + name, 1))
         if keyword.startswith("identifier"):
-            # a word of everyday texts, which is a name only behind the tag
+            # a word of everyday texts, which is a name only behind the tag or a grant
+            found.append((label, " under ", _GRANT + name, 1))
             continue
         found.append((label, keyword, _GRANT + name, 1))
         found.append((label, keyword, name, 3))

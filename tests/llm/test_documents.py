@@ -94,7 +94,7 @@ def _scan(text, rules):
                 places.append(i)
                 base.add(label)
     line = " " + " ".join(words) + " " if words else " "
-    found = [(m.start(), m.end(), r.priority, r.order, r.label) for r in rules if r.keyword in line for m in r.pattern_.finditer(line)]
+    found = [(m.start(), m.end(), r.priority, r.order, r.label) for r in rules for m in r.pattern_.finditer(line)]
     kept = [
         d for d in found
         if not any(
@@ -149,6 +149,20 @@ def test_labels_of_the_examples(compiled):
     assert "apache-2.0" in _scan(TEXTS[11], compiled)[5]
 
 
+def test_bare_names_behind_a_grant(spark, compiled):
+    """Everyday words are names behind a grant, and a name needs no keyword that it lacks."""
+    texts = {
+        "Licensed under MIT.": "mit", "Released under the MIT": "mit", "available under the terms of the MIT, too": "mit",
+        "Distributed under the terms of the ISC": "isc", "Published under ISC or later": "isc", "the MIT Public License": "mit",
+        "ISC public licence": "isc", "Runs on FreeBSD": "bsd-2-clause", "Licensed under FreeBSD": "bsd-2-clause",
+        "under the bridge mit dem ISC": "", "mit under mit": "",
+    }
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in licenses.scan(frame).collect()}
+    assert [got[i][5] for i in sorted(got)] == list(texts.values())
+    assert got == {i: _scan(t, compiled) for i, t in enumerate(texts)}
+
+
 def test_op5_query_and_edges(spark, folder, edge_docs, no_docs, compiled):
     docs = _read(spark, folder, "documents").select("doc_id", "text").collect()
     got = {r.doc_id: tuple(r)[1:] for r in catalog()["op5_license_rules"](spark, folder).collect()}
