@@ -1,8 +1,9 @@
 """Near-duplicate vectors by iterative quantisation and multi-index Hamming tables.
 
 Rotations are learned on a bounded sample: principal axes first, then turns that bring the
-signs of the rotated vectors closest to the vectors themselves, which balances the bits. Every
-row is coded. The code is cut into substrings of as many bits as the number of rows asks for,
+signs of the rotated vectors closest to the vectors themselves. Every row is coded by the signs
+of the vector itself, not of what it differs from the mean, so bits differ with the angle of a
+pair also where all vectors share a direction; buckets are fuller there. The code is cut into substrings of as many bits as the number of rows asks for,
 one table per substring, and there are as many tables as find a pair at the threshold with the
 wanted recall. Pairs that share a substring and whose codes are close are reranked with the
 original vectors in double precision, so none below the threshold is linked.
@@ -59,20 +60,23 @@ def learn_rotation(sample: np.ndarray, bits: int, rng: np.random.Generator) -> n
 
 
 class Codes:
-    """Mean and rotations; gives substrings for the tables and words for the comparison."""
+    """Rotations; gives substrings for the tables and words for the comparison.
+
+    A rotation keeps all dimensions, as a pair's angle is another one on fewer axes.
+    """
 
     def __init__(self, sample: np.ndarray, width: int, tables: int):
         rng = np.random.default_rng(SEED)
-        self.mean, self.width, self.tables = sample.mean(axis=0), width, tables
-        centred = sample - self.mean
-        bits = min(sample.shape[1], 64)
+        self.width, self.tables = width, tables
+        centred = sample - sample.mean(axis=0)
+        bits = sample.shape[1]
         needed = max(width * tables, 64 * CHECK_WORDS)
         self.rotations = [learn_rotation(centred, bits, rng) for _ in range(-(-needed // bits))]
 
     def of(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rows x tables) substrings, (rows x CHECK_WORDS) words."""
-        centred = vectors / np.linalg.norm(vectors, axis=1)[:, None] - self.mean
-        bits = np.concatenate([centred @ r >= 0 for r in self.rotations], axis=1)
+        units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+        bits = np.concatenate([units @ r >= 0 for r in self.rotations], axis=1)
         parts = bits[:, : self.width * self.tables].reshape(len(bits), self.tables, self.width)
         keys = parts @ (1 << np.arange(self.width, dtype=np.int64))
         words = np.packbits(bits[:, : 64 * CHECK_WORDS], axis=1).view(np.int64)

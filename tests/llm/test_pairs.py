@@ -176,6 +176,25 @@ def test_near_vectors_recall_and_precision(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in found.values())
 
 
+@pytest.mark.parametrize("dimension", [64, 100])
+def test_near_vectors_with_a_common_mean(spark, dimension):
+    """Pairs just above the threshold among vectors that share most of their direction."""
+    rng = np.random.default_rng(5)
+    mean = np.sqrt(0.7) * np.linalg.qr(rng.normal(size=(dimension, 1)))[0][:, 0]
+    ones = mean + rng.normal(size=(250, dimension)) * np.sqrt(0.3 / dimension)
+    ones /= np.linalg.norm(ones, axis=1)[:, None]
+    aside = rng.normal(size=ones.shape)
+    aside -= (aside * ones).sum(axis=1)[:, None] * ones
+    others = 0.905 * ones + np.sqrt(1 - 0.905**2) * aside / np.linalg.norm(aside, axis=1)[:, None]
+    data = np.concatenate([ones, others])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    links = {r.vec_id: r.n_links for r in vectors.near_vectors(frame).collect()}
+    true = (data @ data.T >= 0.9).sum(axis=1) - 1
+    assert true.sum() >= 500
+    assert all(links[i] <= n for i, n in enumerate(true))
+    assert sum(links.values()) >= 0.9 * true.sum()
+
+
 def test_near_vectors_of_edges(spark):
     one = [1.0, 2.0, 3.0, 4.0]
     rows = [
