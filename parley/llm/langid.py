@@ -3,7 +3,8 @@
 One model per language over the letters of single words, padded at both ends. Counts come from
 all training rows: each task counts its words, turns them into n-grams, and sends one row per
 language and n-gram, so what is shuffled follows the alphabet and not the text. The models
-are sorted arrays of n-gram hashes with a column per language. A text goes to the language
+of all n-grams are made by aggregates and joins and lie in the shared folder; a worker reads
+them as sorted arrays of hashes. A text goes to the language
 of the lowest cross-entropy per symbol.
 
 Rejection is calibrated on the training rows: a text is rejected if its cross-entropy lies
@@ -22,17 +23,18 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.dataset
+import pyarrow.fs
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import prepare_workers, stored
+from parley.llm.common import prepare_workers, shared_folder, stored
 
 ORDER = 4
-#: Bounds of the broadcast model: n-grams of the highest order by language, and languages.
-MOST_GRAMS, MOST_LANGUAGES = 200_000, 64
 #: Words counted or remembered in a task before they are summed up or dropped.
 MOST_WORDS = 300_000
 DEVIATIONS = 8.0
@@ -111,15 +113,58 @@ def gram_counts(train: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+@dataclass
+class Table:
+    """Sorted hashes; the values of each are those from its start on, with the place of a language."""
+
+    codes: np.ndarray
+    starts: np.ndarray
+    places: np.ndarray
+    values: np.ndarray
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of ``keys``, place, value) of everything under the keys."""
+        at = np.searchsorted(self.codes, keys)
+        rows = np.flatnonzero(np.append(self.codes, np.uint64(0))[at] == keys)
+        rows = rows[at[rows] < len(self.codes)]
+        first, many = self.starts[at[rows]], np.diff(self.starts)[at[rows]]
+        index = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return np.repeat(rows, many), self.places[index], self.values[index]
+
+
+#: Tables of the folder that this process read last.
+_LOADED: dict[str, dict[int, Table]] = {}
+
+
+def _load(folder: str) -> dict[int, Table]:
+    """The tables in the shared folder by kind; a process reads them once."""
+    if folder not in _LOADED:
+        local = re.sub("^file:/+", "/", folder)
+        source, path = (None, local) if local.startswith("/") else pa.fs.FileSystem.from_uri(local)
+        read = pa.dataset.dataset(path, filesystem=source, format="parquet").to_table()
+        kinds, codes, places, values = (read.column(i).to_numpy() for i in range(4))
+        del read
+        tables = {}
+        for kind in range(2 * ORDER):
+            chosen = np.flatnonzero(kinds == kind)
+            chosen = chosen[np.argsort(codes[chosen].view(np.uint64), kind="stable")]
+            unique, starts = np.unique(codes[chosen].view(np.uint64), return_index=True)
+            tables[kind] = Table(unique, np.append(starts, len(chosen)), places[chosen], values[chosen])
+        _LOADED.clear()
+        _LOADED[folder] = tables
+    return _LOADED[folder]
+
+
 @dataclass
 class Models:
-    """Per order: sorted hashes of n-grams with a column per language; the same for contexts."""
+    """The languages, the distinct symbols of all, and the folder with the tables.
+
+    Of order ``o``, table ``2 o - 2`` has the chances of n-grams, ``2 o - 1`` the weights of contexts.
+    """
 
     languages: list[str]
-    grams: list[np.ndarray]
-    chances: list[np.ndarray]
-    contexts: list[np.ndarray]
-    weights: list[np.ndarray]
+    symbols: int
+    folder: str
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Negative log2 likelihood of each word by language, and its symbols at the end."""
@@ -129,81 +174,75 @@ class Models:
         unique, which = np.unique(hashes[ORDER - 1][ends], return_inverse=True)
         sample = np.empty(len(unique), np.int64)
         sample[which] = ends
-        logs = -np.log2(self._chance(ORDER, sample, hashes))
+        logs = -np.log2(self._chances(sample, hashes))
         sizes = np.array([len(w) + 1 for w in words])
         starts = np.cumsum(sizes) - sizes
         return np.column_stack([np.add.reduceat(logs[which], starts, axis=0), sizes])
 
-    def _chance(self, order: int, ends: np.ndarray, hashes: list[np.ndarray]) -> np.ndarray:
+    def _chances(self, ends: np.ndarray, hashes: list[np.ndarray]) -> np.ndarray:
         """Known n-grams hold their interpolated chance; others take the shorter one's share."""
-        if not order:
-            return np.full((len(ends), len(self.languages)), 1e-6)
-        keys, table = hashes[order - 1][ends], self.grams[order - 1]
-        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-        known = table[at] == keys
-        out = self.chances[order - 1][at]
-        if not known.all():
-            rest = ends[~known]
-            share = self._weight(order, rest, hashes)
-            out[~known] = share * self._chance(order - 1, rest, hashes)
+        tables = _load(self.folder)
+        out = np.full((len(ends), len(self.languages)), 1e-6)
+        out[tables[0].find(hashes[0][ends])[0]] = 1 / (self.symbols + 1)
+        for order in range(1, ORDER + 1):
+            contexts = hashes[order - 2][ends - 1] if order > 1 else np.zeros(len(ends), np.uint64)
+            rows, places, weights = tables[2 * order - 1].find(contexts)
+            out[rows, places] *= weights
+            rows, places, chances = tables[2 * order - 2].find(hashes[order - 1][ends])
+            out[rows, places] = chances
         return out
 
-    def _weight(self, order: int, ends: np.ndarray, hashes: list[np.ndarray]) -> np.ndarray:
-        table = self.contexts[order - 1]
-        keys = hashes[order - 2][ends - 1] if order > 1 else np.zeros(len(ends), np.uint64)
-        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-        return np.where((table[at] == keys)[:, None], self.weights[order - 1][at], 1.0)
-
 
-def kneser_ney(rows: list[tuple[str, str, int]]) -> Models:
-    """Models from (language, n-gram, count).
+def kneser_ney(counts: DataFrame) -> Models:
+    """Models from (lang, gram, n), all of them, by aggregates and joins.
 
     Shorter n-grams count the letters seen before them. Each order is discounted by
     n1 / (n1 + 2 n2) and interpolated with the next shorter one, the last one with an even
     share for each symbol of any language.
     """
-    languages = sorted({lang for lang, _, _ in rows})
-    if not rows:
-        return Models([], [], [], [], [])
-    place = {lang: i for i, lang in enumerate(languages)}
-    counts: list[dict[str, np.ndarray]] = [{} for _ in range(ORDER)]
-
-    def add(order: int, gram: str, language: int, n: int) -> None:
-        counts[order - 1].setdefault(gram, np.zeros(len(languages)))[language] += n
-
-    for lang, gram, n in rows:
-        add(ORDER, gram, place[lang], n)
-    for order in range(ORDER - 1, 0, -1):
-        for gram, by_language in counts[order].items():
-            shorter = gram[1:]
-            counts[order - 1].setdefault(shorter, np.zeros(len(languages)))
-            counts[order - 1][shorter] += by_language > 0
-    models = Models(languages, [], [], [], [])
-    chances: dict[str, np.ndarray] = {"": np.full(len(languages), 1 / (len(counts[0]) + 1))}
-    for order in range(1, ORDER + 1):
-        table = counts[order - 1]
-        matrix = np.array(list(table.values())).reshape(-1, len(languages))
-        once, twice = (matrix == 1).sum(axis=0), (matrix == 2).sum(axis=0)
+    tables = [counts]
+    for _ in range(ORDER - 1):
+        shorter = tables[0].groupBy("lang", F.expr("substring(gram, 2)").alias("gram"))
+        tables.insert(0, stored(shorter.agg(F.count(F.lit(1)).alias("n"))))
+    languages = sorted(r["lang"] for r in tables[0].select("lang").distinct().collect())
+    symbols = tables[0].select("gram").distinct().count()
+    if not languages:
+        return Models([], 0, "")
+    parts = []
+    chances = None
+    for order, table in enumerate(tables, 1):
+        once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
         # without such counts the usual 0.75
-        discount = np.where(once > 0, once / np.maximum(once + 2 * twice, 1), 0.75)
-        totals: dict[str, np.ndarray] = {}
-        for gram, n in table.items():
-            total = totals.setdefault(gram[:-1], np.zeros((2, len(languages))))
-            total[0] += n
-            total[1] += n > 0
-        weights = {c: np.where(t[0] > 0, np.minimum(discount * t[1] / np.maximum(t[0], 1), 1), 1.0) for c, t in totals.items()}
-        now = {}
-        for gram, n in table.items():
-            context = gram[:-1]
-            own = np.maximum(n - discount, 0) / np.maximum(totals[context][0], 1)
-            now[gram] = own + weights[context] * chances[gram[1:]]
-        chances = now
-        for names, values, keys, out in ((now, now, models.grams, models.chances), (weights, weights, models.contexts, models.weights)):
-            codes = np.array([_hash(g) for g in names], np.uint64)
-            by = np.argsort(codes)
-            keys.append(codes[by])
-            out.append(np.array(list(values.values()))[by])
-    return models
+        discount = F.when(once > 0, once / (once + 2 * twice)).otherwise(0.75).alias("discount")
+        table = table.withColumn("context", F.substring("gram", 1, order - 1))
+        totals = table.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("many"))
+        totals = totals.join(table.groupBy("lang").agg(discount), "lang")
+        weight = F.least(F.col("discount") * F.col("many") / F.col("total"), F.lit(1.0)).alias("weight")
+        weights = stored(totals.select("lang", "context", "total", "discount", weight))
+        both = table.join(weights, ["lang", "context"])
+        if chances is None:
+            both = both.withColumn("below", F.lit(1 / (symbols + 1)))
+        else:
+            below = chances.select("lang", F.col("gram").alias("shorter"), F.col("chance").alias("below"))
+            both = both.withColumn("shorter", F.expr("substring(gram, 2)")).join(below, ["lang", "shorter"])
+        own = F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total")
+        chances = stored(both.select("lang", "gram", (own + F.col("weight") * F.col("below")).alias("chance")))
+        parts.append(chances.select(F.lit(2 * order - 2).alias("kind"), "lang", "gram", F.col("chance").alias("value")))
+        parts.append(weights.select(F.lit(2 * order - 1).alias("kind"), "lang", F.col("context").alias("gram"), F.col("weight").alias("value")))
+    place = {lang: i for i, lang in enumerate(languages)}
+    schema = pa.schema([("kind", pa.int32()), ("code", pa.int64()), ("place", pa.int32()), ("value", pa.float64())])
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = np.array([_hash(g) for g in batch.column(2).to_pylist()], np.uint64).view(np.int64)
+            places = [place[lang] for lang in batch.column(1).to_pylist()]
+            columns = [batch.column(0), pa.array(codes, pa.int64()), pa.array(places, pa.int32()), batch.column(3)]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    folder = shared_folder(counts.sparkSession)
+    rows = reduce(DataFrame.union, parts).mapInArrow(coded, "kind int, code bigint, place int, value double")
+    rows.write.option("compression", "zstd").parquet(folder)
+    return Models(languages, symbols, folder)
 
 
 def _hash(gram: str) -> int:
@@ -290,13 +329,8 @@ def entropies(docs: DataFrame, models: Models) -> DataFrame:
 
 
 def learn(train: DataFrame) -> Models:
-    """The models of (lang, text) rows; what reaches the driver is bounded."""
-    counts = stored(gram_counts(train.where("lang IS NOT NULL AND text IS NOT NULL")))
-    sizes = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    languages = [r["lang"] for r in sizes.collect()]
-    common = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    kept = counts.where(F.col("lang").isin(languages)).withColumn("_rank", F.row_number().over(common)).where(F.col("_rank") <= MOST_GRAMS)
-    return kneser_ney([(r["lang"], r["gram"], r["n"]) for r in kept.select("lang", "gram", "n").orderBy("lang", "gram").collect()])
+    """The models of (lang, text) rows; only names of languages reach the driver."""
+    return kneser_ney(stored(gram_counts(train.where("lang IS NOT NULL AND text IS NOT NULL"))))
 
 
 def identify(docs: DataFrame, train: Column, deviations: float = DEVIATIONS) -> DataFrame:
@@ -316,8 +350,8 @@ def identify(docs: DataFrame, train: Column, deviations: float = DEVIATIONS) ->
         F.avg("symbols").alias("_symbols"),
         (F.avg("following") + F.stddev_pop("following")).alias("_foreign"),
     )
-    # as many rows as languages, which are bounded
-    limits = F.broadcast(spread.limit(MOST_LANGUAGES))
+    # as many rows as languages
+    limits = F.broadcast(spread)
     deviation = F.sqrt(F.col("_between") * (1 + F.col("_symbols") / F.greatest("symbols", F.lit(1))))
     beyond = F.col("entropy") > F.greatest(F.col("_mean") + deviations * deviation, F.col("_foreign"))
     found = scored.join(limits, F.col("best") == F.col("_lang"), "left")

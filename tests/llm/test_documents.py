@@ -2,7 +2,7 @@
 
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -225,6 +225,33 @@ def test_models_follow_the_textbook(spark):
         assert sums[0] / sums[-1] == pytest.approx(_plain_kneser_ney(words, text.split(), len(set("banandbcellobellob")) + 1), rel=1e-6)
 
 
+def test_models_hold_all_languages_and_grams(spark):
+    """More languages than 64, and one with more than 200,000 n-grams."""
+    rng = np.random.default_rng(3)
+    large = ["".join(map(chr, w)) for w in rng.integers(0x4E00, 0x9000, (60_000, 4))]
+    rows = [("large", " ".join(large))]
+    rows += [(f"l{i:02}", " ".join(chr(0x1200 + 4 * i + d) * n for d in range(4) for n in (1, 2, 3))) for i in range(70)]
+    train = spark.createDataFrame(rows, "lang string, text string")
+    models = langid.learn(train)
+    assert models.languages == sorted(r[0] for r in rows)
+    words = Counter(large)
+    grams, counts = langid.count_grams(words)
+    assert len(grams) > 200_000
+    n1, n2 = (counts == 1).sum(), (counts == 2).sum()
+    discount = n1 / (n1 + 2 * n2)
+    # a context seen once keeps the rest of the discount for what was not seen
+    held = langid._load(models.folder)
+    place = models.languages.index("large")
+    context = large[0][:3]
+    follow = [int(n) for g, n in zip(grams, counts, strict=True) if g[:3] == context]
+    _, places, weights = held[2 * langid.ORDER - 1].find(np.array([langid._hash(context)], np.uint64))
+    assert places.tolist() == [place]
+    assert weights[0] == pytest.approx(min(discount * len(follow) / sum(follow), 1))
+    assert (held[2 * langid.ORDER - 2].places == place).sum() == len(grams)
+    best = models.word_scores([r[1].split()[2] for r in rows[1:]])[:, :-1].argmin(axis=1)
+    assert [models.languages[i] for i in best] == [r[0] for r in rows[1:]]
+
+
 def test_op3_on_held_out_documents(spark):
     rows = catalog()["op3_kneser_ney_languages"](spark, ENOUGH).collect()
     docs = {r.doc_id: r for r in _read(spark, ENOUGH, "documents").collect()}
