@@ -7,8 +7,7 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
 from parley.session import local_session  # noqa: E402
-
-DATA = "/root/testdata/sf0.001"
+from tables import DATA  # noqa: E402
 
 
 @pytest.fixture(scope="session")

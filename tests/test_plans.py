@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import DATA
+from tables import DATA
 
 from parley.plans.bindings import Tables
 from parley.plans.catalog import catalog

@@ -1,7 +1,7 @@
 """Laws which hold between the metrics, on the bound test tables."""
 
 import pytest
-from conftest import DATA
+from tables import DATA
 from pyspark.sql import functions as F
 
 from parley.dialect import FLAT

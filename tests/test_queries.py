@@ -4,7 +4,7 @@ import math
 
 import duckdb
 import pytest
-from conftest import DATA
+from tables import DATA
 
 from parley.plans.catalog import catalog
 from parley.plans.oracles import oracles
