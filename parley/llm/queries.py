@@ -1,4 +1,4 @@
-"""The queries op1 to op10: each applies its operator to its whole table."""
+"""The queries op1 to op13: each applies its operator to its whole table."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, covertree, jaccard, langid, licenses, packing, planes, quality, shards, vectors
+from parley.llm import bpe, covertree, jaccard, langid, licenses, packing, pieces, planes, quality, shards, vectors
 from parley.llm.common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,15 @@ def op9_dual_tree_top_k(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op5_license_rules(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
+
+
+@_query
+def op13_piece_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    found = pieces.encode(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"), decoded=True)
+    digits = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(digits, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
