@@ -100,10 +100,61 @@ QUALIFY rank <= 10
 """
 
 
+# Runs by lag: a run has at least five equal words in a row at its period, so only pairs of
+# places whose next five words are equal are joined; unbroken rows of them are the stretches.
+_OP12 = """
+WITH RECURSIVE crc(t) AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+    list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END))
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(doc_id::VARCHAR)) AS h,
+    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), hashed AS (
+  SELECT r, doc_id, w, len(w) AS n, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(range(length(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::BIGINT)),
+    lambda c, x: xor(crc.t[(xor(c, x) & 255) + 1], c >> 8)))::BIGINT AS h
+  FROM docs, crc
+), seeds AS (
+  SELECT *, (h // 10) % n AS a, 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) AS p FROM hashed
+), words AS (
+  SELECT r, i, CASE WHEN h % 10 = 0 AND i >= a THEN w[1 + a + (i - a) % p] ELSE w[1 + i] END AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM seeds)
+), grams AS (
+  SELECT r, i, word, CASE WHEN count(*) OVER ahead = 5 THEN list(word) OVER ahead END AS gram
+  FROM words WINDOW ahead AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)
+), pairs AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.r = y.r AND x.gram = y.gram AND x.i < y.i
+), stretches AS (
+  SELECT r, q, min(i) AS start, max(i) - min(i) + 5 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs) GROUP BY r, q, island
+), runs AS (
+  SELECT r, start, length, min(q) AS period FROM stretches WHERE length >= greatest(6, 4 * q) GROUP BY r, start, length
+), marks AS (
+  SELECT r, i, sum(d) AS d FROM (
+    SELECT r, start + period AS i, 1 AS d FROM runs UNION ALL SELECT r, start + length, -1 FROM runs) GROUP BY r, i
+), kept AS (
+  SELECT r, i, word, coalesce(sum(d) OVER (PARTITION BY r ORDER BY i), 0) AS inside
+  FROM words LEFT JOIN marks USING (r, i)
+), texts AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS t FROM kept WHERE inside = 0 GROUP BY r
+), listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t,
+    first({'s': start, 'l': length, 'p': period} ORDER BY length DESC, start, period) AS b
+  FROM runs GROUP BY r
+)
+SELECT d.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.s AS start, b.l AS length, b.p AS period,
+  1000 * b.l // b.p AS exponent_milli, sha256(coalesce(l.t, '')) AS runs_sha256, sha256(coalesce(t.t, '')) AS collapsed_sha256
+FROM docs d LEFT JOIN listed l USING (r) LEFT JOIN texts t USING (r)
+"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op2_parity_sketch_join": _OP2,
         "op4_jump_shards": _OP4,
         "op8_itq_near_vectors": _OP8,
         "op9_dual_tree_top_k": _OP9,
+        "op12_scale_minimizers": _OP12,
     }

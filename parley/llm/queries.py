@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, covertree, jaccard, langid, licenses, packing, pieces, planes, quality, shards, vectors
+from parley.llm import bpe, covertree, jaccard, langid, licenses, packing, periods, pieces, planes, quality, shards, vectors
 from parley.llm.common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,43 @@ def op5_license_rules(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The texts, of which those whose hash of the id ends in 0 repeat a stretch from a word on."""
+    planted = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    seed = F.floor(planted / 10)
+
+    def repeated(words: Column) -> Column:
+        start = seed % F.size(words)
+        rest = F.size(words) - start
+        period = F.lit(1) + F.floor(rest / (F.lit(3) + seed % 8))
+        stretch = F.slice(words, (start + 1).cast("int"), period.cast("int"))
+        tail = F.slice(F.flatten(F.array_repeat(stretch, F.ceil(rest / period).cast("int"))), F.lit(1), rest.cast("int"))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), start.cast("int")), tail), " ")
+
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    # a list of one, so that the words are made once
+    text = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(F.lit("")))[0]
+    return docs.select("doc_id", F.when((planted % 10 == 0) & F.col("text").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+@_query
+def op12_scale_minimizers(spark: SparkSession, folder: str) -> DataFrame:
+    found = periods.runs_of(with_planted_runs(table(spark, folder, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @_query
 def op13_piece_rounds(spark: SparkSession, folder: str) -> DataFrame:
     found = pieces.encode(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"), decoded=True)
