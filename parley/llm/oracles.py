@@ -100,6 +100,34 @@ QUALIFY rank <= 10
 """
 
 
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERMS = f"unnest(regexp_extract_all(translate(text, {_LETTERS}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t"
+
+_OP11 = f"""
+WITH queried AS (
+  SELECT item_id, t, count(*) AS q FROM (SELECT item_id, {_TERMS} FROM benchmark) GROUP BY 1, 2
+), counted AS (
+  SELECT r, doc_id, t, count(*) AS tf
+  FROM (SELECT r, doc_id, {_TERMS} FROM (SELECT row_number() OVER () AS r, * FROM documents)) GROUP BY 1, 2, 3
+), lengths AS (
+  SELECT r, sum(tf)::BIGINT AS n FROM counted GROUP BY 1
+), whole AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths
+), weights AS (
+  SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted, whole WHERE t IN (SELECT t FROM queried) GROUP BY t, docs
+), scored AS (
+  SELECT q.item_id, c.r, c.doc_id,
+    sum(q.q * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * (25 + (75 * l.n * docs) // total))))::BIGINT AS score
+  FROM queried q JOIN weights w USING (t) JOIN counted c USING (t) JOIN lengths l USING (r), whole
+  GROUP BY 1, 2, 3
+)
+SELECT item_id, (row_number() OVER best)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 AND item_id IS NOT NULL AND doc_id IS NOT NULL
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY rank <= 10
+"""
+
 # Runs by lag: a run has at least five equal words in a row at its period, so only pairs of
 # places whose next five words are equal are joined; unbroken rows of them are the stretches.
 _OP12 = """
@@ -156,5 +184,6 @@ def oracles() -> dict[str, str]:
         "op4_jump_shards": _OP4,
         "op8_itq_near_vectors": _OP8,
         "op9_dual_tree_top_k": _OP9,
+        "op11_dual_tree_lexical": _OP11,
         "op12_scale_minimizers": _OP12,
     }

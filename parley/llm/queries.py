@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, covertree, jaccard, langid, licenses, packing, periods, pieces, planes, quality, shards, vectors
+from parley.llm import bpe, covertree, jaccard, langid, lexical, licenses, packing, periods, pieces, planes, quality, shards, vectors
 from parley.llm.common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,11 @@ def op5_license_rules(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+@_query
+def op11_dual_tree_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """The texts, of which those whose hash of the id ends in 0 repeat a stretch from a word on."""
     planted = F.crc32(F.col("doc_id").cast("string").cast("binary"))
