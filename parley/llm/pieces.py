@@ -35,8 +35,8 @@ from parley.llm.common import prepare_workers
 
 #: Rounds before single merges take over.
 ROUNDS = 256
-#: Words remembered in a worker, and the longest of them.
-MEMO, LONGEST = 600_000, 64
+#: Words in each of the two generations which a worker remembers, and the longest of them.
+MEMO, LONGEST = 300_000, 64
 _SPACE = "▁"
 #: No rank, and a key behind all others.
 _NONE, _END = np.int64(1 << 40), np.int64(1 << 62)
@@ -91,6 +91,7 @@ class PieceModel:
                 if left is not None and right is not None:
                     pairs[left * self.size + right] = (order[library.get_score(number)], number)
         self.keys = np.array([*sorted(pairs), _END], np.int64)
+        self._scatter()
         self.ranks = np.array([*(pairs[k][0] for k in sorted(pairs)), _NONE], np.int64)
         self.merged = np.array([*(pairs[k][1] for k in sorted(pairs)), -1], np.int64)
         near = {symbols[a] * self.size + symbols[b] for name in vocabulary for a, b in zip(name, name[1:])}
@@ -98,6 +99,7 @@ class PieceModel:
         inner = any(a != _SPACE and b == _SPACE for name in vocabulary for a, b in zip(name, name[1:]))
         self.words = re.compile("(?s).+" if inner else f"{_SPACE}*[^{_SPACE}]+|{_SPACE}+")
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _surfaces(self, names: list[str], special: set[int], library, unknown: str) -> None:
         surface = [name.replace(_SPACE, " ").encode() for name in names]
@@ -114,10 +116,12 @@ class PieceModel:
         """The ids of each text."""
         cut = [self.words.findall(self.prefix + t.replace(" ", _SPACE)) if t else [] for t in texts]
         if len(self.memo) > MEMO:
-            self.memo = {}
-        new = list(set().union(*cut) - self.memo.keys())
-        made = dict(zip(new, self._encode_words(new), strict=True))
-        self.memo.update(made)
+            self.memo, self.older = {}, self.memo
+        new = set().union(*cut) - self.memo.keys()
+        for word in new & self.older.keys():
+            self.memo[word] = self.older[word]
+        made = list(new - self.older.keys())
+        self.memo.update(zip(made, self._encode_words(made), strict=True))
         found = [np.frombuffer(b"".join(map(self.memo.__getitem__, words)), "<i4") for words in cut]
         for word in made:
             if len(word) > LONGEST:
@@ -155,11 +159,31 @@ class PieceModel:
             out[at : at + len(letters)] = [self.byte_ids[b] for b in letters]
         return out, ends[bounds]
 
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.width)).astype(np.int64)
+
+    def _scatter(self) -> None:
+        """Places of the keys by hash; a taken slot leads to the next one."""
+        none = len(self.keys) - 1
+        self.width = max(4, (16 * len(self.keys)).bit_length())
+        self.slots = np.full((1 << self.width) + len(self.keys), none, np.int32)
+        for place, slot in enumerate(self._slot(self.keys[:-1]).tolist()):
+            while self.slots[slot] != none:
+                slot += 1
+            self.slots[slot] = place
+
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Places of pairs in the table; the last one where there is none."""
+        none = len(self.keys) - 1
         keys = np.where((left < 0) | (right < 0), -1, left * self.size + right)
-        at = np.searchsorted(self.keys, keys)
-        return np.where(self.keys[at] == keys, at, len(self.keys) - 1)
+        slot = self._slot(keys)
+        at = self.slots[slot]
+        other = np.flatnonzero((at != none) & (self.keys[at] != keys))
+        while len(other):
+            slot[other] += 1
+            at[other] = self.slots[slot[other]]
+            other = other[(at[other] != none) & (self.keys[at[other]] != keys[other])]
+        return at
 
     def _merge(self, symbols: np.ndarray, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The symbols after all merges, and the places where they start."""
