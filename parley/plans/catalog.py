@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from parley.dialect import FLAT
 from parley.functions import times
-from parley.operators import counts, graph, members, merge, ordered, posts, replies, tags, texts
+from parley.operators import counts, feed, graph, members, merge, ordered, posts, replies, tags, texts
 from parley.operators.filters import activity, threaded
 from parley.plans.bindings import Tables, snowflake
 from parley.sinks import jdbc
@@ -289,27 +289,55 @@ def merge_counts(t: Tables) -> DataFrame:
     return merge.merge_counts(merge.changes(*t.order_batches(), _BY_ORDER))
 
 
+_BY_CUSTOMER = merge.EntitySpec("orders", ("o_custkey",), ("o_custkey", "o_orderkey", "o_orderstatus"))
+
+
+def _order_years(t: Tables) -> DataFrame:
+    """Orders whose year is the batch; the key, a customer, is a group."""
+    return t.read("orders").withColumn("batch_id", F.year("o_orderdate"))
+
+
 @_query
 def replay(t: Tables) -> DataFrame:
-    """Orders of the last year of each customer: the year is the batch, the key a group."""
-    batches = t.read("orders").withColumn("batch_id", F.year("o_orderdate"))
-    spec = merge.EntitySpec("orders", ("o_custkey",), ("o_custkey", "o_orderkey", "o_orderstatus"))
-    return merge.replay(batches, spec)
+    """Orders of the last year of each customer."""
+    return merge.replay(_order_years(t), _BY_CUSTOMER)
 
 
-@_query
-def replay_first_seen(t: Tables) -> DataFrame:
-    """One row per order out of its line items: the last state, the first part seen."""
-    batches = (
+_LINES = merge.EntitySpec(
+    "lines", ("l_orderkey",), ("l_orderkey", "state", "part", "first_part"), keep_first=("first_part",)
+)
+
+
+def _line_batches(t: Tables) -> DataFrame:
+    return (
         t.read("lineitem")
         .groupBy("l_orderkey", F.col("l_linenumber").alias("batch_id"))
         .agg(F.max("l_linestatus").alias("state"), F.max("l_partkey").alias("part"))
         .withColumn("first_part", F.col("part"))
     )
-    spec = merge.EntitySpec(
-        "lines", ("l_orderkey",), ("l_orderkey", "state", "part", "first_part"), keep_first=("first_part",)
-    )
-    return merge.replay(batches, spec)
+
+
+@_query
+def replay_first_seen(t: Tables) -> DataFrame:
+    """One row per order out of its line items: the last state, the first part seen."""
+    return merge.replay(_line_batches(t), _LINES)
+
+
+@_query
+def change_feed(t: Tables) -> DataFrame:
+    """What each year of orders inserted and updated."""
+    return feed.change_feed(_order_years(t), _BY_CUSTOMER)
+
+
+@_query
+def change_feed_first_seen(t: Tables) -> DataFrame:
+    """What each line item of an order changed; an update carries the first part."""
+    return feed.change_feed(_line_batches(t), _LINES)
+
+
+@_query
+def feed_counts(t: Tables) -> DataFrame:
+    return feed.feed_counts(feed.change_feed(_order_years(t), _BY_CUSTOMER))
 
 
 @_query

@@ -255,6 +255,12 @@ SELECT channel, type, subtype, ts, thread_ts, ts::DOUBLE AS ts_int, {ISO} AS tim
   real_name, name, text, city, country, iso"""
 
 
+_FEED = """
+SELECT DISTINCT year(o_orderdate) AS batch_id,
+  CASE WHEN min(year(o_orderdate)) OVER (PARTITION BY o_custkey) < year(o_orderdate) THEN 'update' ELSE 'insert' END AS change,
+  o_custkey, o_orderkey, o_orderstatus FROM orders"""
+
+
 def oracles() -> dict[str, str]:
     members = [*_POSTS, "reaction", "users"]
     b = ["base", "message_b"]
@@ -390,6 +396,16 @@ WHERE x.user_id IN (SELECT arg_max(user_id, ts::DECIMAL(38,6)) FROM message_b
 SELECT o_custkey, o_orderkey, o_orderstatus FROM (
   SELECT *, max(year(o_orderdate)) OVER (PARTITION BY o_custkey) AS last FROM orders)
 WHERE year(o_orderdate) = last""",
+        "change_feed": _FEED,
+        "feed_counts": f"""
+SELECT batch_id, count(*) FILTER (change = 'insert') AS inserted, count(*) FILTER (change = 'update') AS updated
+FROM ({_FEED}) GROUP BY 1""",
+        "change_feed_first_seen": """
+WITH b AS (SELECT l_orderkey, l_linenumber AS batch_id, max(l_linestatus) AS state, max(l_partkey) AS part
+  FROM lineitem GROUP BY 1, 2)
+SELECT batch_id, CASE WHEN min(batch_id) OVER o < batch_id THEN 'update' ELSE 'insert' END AS change,
+  l_orderkey, state, part, arg_min(part, batch_id) OVER o AS first_part
+FROM b WINDOW o AS (PARTITION BY l_orderkey)""",
         "user_hash": _sql(_POSTS, "SELECT user_id, count(*) AS rows, count(DISTINCT user_id) AS users FROM posts GROUP BY 1"),
         "master_of_batches": f"""
 SELECT o_orderpriority AS channel, o_custkey::VARCHAR AS ts, '' AS thread_ts, o_orderkey::VARCHAR AS user_id,
