@@ -42,7 +42,9 @@ def parser() -> argparse.ArgumentParser:
     watch.add_argument("checkpoint", help="folder for the progress of the stream")
     watch.add_argument("--once", action="store_true", help="stop when nothing new is left")
     loading(watch)
-    command("compact", "write the master over all merged batches as a base for readers")
+    compact = command("compact", "make a base of all merged batches for readers")
+    compact.add_argument("--whole", action="store_true", help="write all buckets, not only those with late keys")
+    command("changes", "what each batch inserted into the master and updated there, as CSV")
     load = command("load", "the master and its metrics into a database")
     load.add_argument("properties", help="file with database.url, driver, user and password")
     load.add_argument("section", help="section of that file")
@@ -65,7 +67,9 @@ def main(arguments: Sequence[str] | None = None) -> list[str]:
             done += exports.export_deltas(ws, args.batch)
         return done
     if args.command == "compact":
-        return [runs.compact(ws) or ""]
+        return [runs.compact(ws, args.whole) or ""]
+    if args.command == "changes":
+        return exports.export_changes(ws)
     if args.command == "newest":
         return runs.run_batch_then_master(ws, None, args.poll_channel, args.redact)
     if args.command == "replay":

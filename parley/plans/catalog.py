@@ -5,6 +5,7 @@ Arrays and typed times are turned to text at the end, so that any engine can com
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -15,7 +16,9 @@ from parley.dialect import FLAT
 from parley.functions import times
 from parley.operators import counts, feed, graph, members, merge, ordered, posts, replies, tags, texts
 from parley.operators.filters import activity, threaded
+from parley.plans import base
 from parley.plans.bindings import Tables, snowflake
+from parley.session import require_checkpoint_dir
 from parley.sinks import jdbc
 from parley.sources import page_tables
 from parley.sources.pages import decode_literal, normalize_pages_to_json, page_faults, page_keys, process_pages
@@ -340,18 +343,32 @@ def feed_counts(t: Tables) -> DataFrame:
     return feed.feed_counts(feed.change_feed(_order_years(t), _BY_CUSTOMER))
 
 
-@_query
-def master_of_batches(t: Tables) -> DataFrame:
-    """Three batches of orders as reactions to a post (a group per customer): the first and the
-    third are compacted to a base, and the second comes late."""
+def _orders_as_reactions(t: Tables) -> DataFrame:
+    """Three batches of orders as reactions to a post: a group for each customer."""
     year = F.year("o_orderdate")
     batch_id = F.when(year < 1994, 1).when(year < 1996, 2).otherwise(3)
-    rows = t.read("orders").select(
+    return t.read("orders").select(
         F.col("o_orderpriority").alias("channel"), F.col("o_custkey").cast("string").alias("ts"),
         F.lit("").alias("thread_ts"), F.col("o_orderkey").cast("string").alias("user_id"),
         F.col("o_orderstatus").alias("reaction"), batch_id.alias("batch_id"), batch_id.alias("first_id"),
     )
-    return _late_batch(rows, merge.SPECS["reaction_data"])
+
+
+@_query
+def master_of_batches(t: Tables) -> DataFrame:
+    """The first and the third batch are compacted to a base, and the second comes late."""
+    return _late_batch(_orders_as_reactions(t), merge.SPECS["reaction_data"])
+
+
+@_query
+def master_from_base(t: Tables) -> DataFrame:
+    """The same with a stored base in buckets, to which the third batch is compacted."""
+    spec, rows = merge.SPECS["reaction_data"], _orders_as_reactions(t)
+    home = f"{require_checkpoint_dir(t.spark)}/base-{uuid.uuid4().hex}"
+    state = merge.replay(rows.where("batch_id = 1"), spec, first="first_id", state=True)
+    table = base.write_base(t.spark, home, spec, state, 1, buckets=int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    table = base.update_base(t.spark, table, rows.where("batch_id = 3").drop("first_id"), spec, 2)
+    return base.joined(t.spark, table, rows.where("batch_id = 2").drop("first_id"), spec).select(*spec.columns)
 
 
 @_query

@@ -255,6 +255,11 @@ SELECT channel, type, subtype, ts, thread_ts, ts::DOUBLE AS ts_int, {ISO} AS tim
   real_name, name, text, city, country, iso"""
 
 
+_MASTER = f"""
+SELECT o_orderpriority AS channel, o_custkey::VARCHAR AS ts, '' AS thread_ts, o_orderkey::VARCHAR AS user_id,
+  o_orderstatus AS reaction
+FROM (SELECT *, {_BATCH} AS b, max({_BATCH}) OVER (PARTITION BY o_custkey) AS last FROM orders) WHERE b = last"""
+
 _FEED = """
 SELECT DISTINCT year(o_orderdate) AS batch_id,
   CASE WHEN min(year(o_orderdate)) OVER (PARTITION BY o_custkey) < year(o_orderdate) THEN 'update' ELSE 'insert' END AS change,
@@ -407,10 +412,8 @@ SELECT batch_id, CASE WHEN min(batch_id) OVER o < batch_id THEN 'update' ELSE 'i
   l_orderkey, state, part, arg_min(part, batch_id) OVER o AS first_part
 FROM b WINDOW o AS (PARTITION BY l_orderkey)""",
         "user_hash": _sql(_POSTS, "SELECT user_id, count(*) AS rows, count(DISTINCT user_id) AS users FROM posts GROUP BY 1"),
-        "master_of_batches": f"""
-SELECT o_orderpriority AS channel, o_custkey::VARCHAR AS ts, '' AS thread_ts, o_orderkey::VARCHAR AS user_id,
-  o_orderstatus AS reaction
-FROM (SELECT *, {_BATCH} AS b, max({_BATCH}) OVER (PARTITION BY o_custkey) AS last FROM orders) WHERE b = last""",
+        "master_of_batches": _MASTER,
+        "master_from_base": _MASTER,
         "master_of_users": f"""
 SELECT o_custkey::VARCHAR AS id, arg_max(o_orderkey, ({_BATCH}, o_orderkey))::VARCHAR AS name, '' AS real_name,
   '' AS tz, '' AS email, min({_BATCH})::VARCHAR AS batch FROM orders GROUP BY o_custkey""",

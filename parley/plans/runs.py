@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 
 from parley.operators import counts, graph, members, posts, replies, tags
 from parley.operators.merge import SPECS, replay
-from parley.plans.workspace import MASTER, Workspace
+from parley.plans.base import BaseTable, Version, update_base, version_name, write_base, write_version
+from parley.plans.manifest import LOADED, LOADING, MERGED, record
+from parley.plans.workspace import MASTER, View, Workspace
 from parley.schemas import ENTITIES
 from parley.sinks.files import write_batch_metadata
 from parley.sources import page_tables
-from parley.sources.files import exists, glob_names, list_batches, remove
+from parley.sources.files import exists, list_batches, remove
 from parley.sources.pages import (
     LIST_FIELDS,
     PAGE_PREFIXES,
@@ -131,54 +133,79 @@ def build_tables(
         if exists(ws.spark, f"{ws.home}/{batch}/given/{name}.csv"):
             tables[name] = read_entity(ws.spark, ws.home, f"{batch}/given", name)
     # Without its stamp a batch is not merged, and a base that holds it no longer counts.
-    remove(ws.spark, ws.stamp_path(batch))
+    record(ws.spark, ws.manifest_path, LOADING, [batch])
     for name, df in tables.items():
         _write(df.select(*ENTITIES[name].names), ws.table_path(batch, name))
     write_batch_metadata(ws.spark, ws.home, batch)
-    _mark(ws, ws.stamp_path(batch), uuid.uuid4().hex)
+    record(ws.spark, ws.manifest_path, LOADED, [batch], uuid.uuid4().hex, list(tables))
     return list(tables)
 
 
-def _mark(ws: Workspace, path: str, text: str) -> None:
-    marked = ws.spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite")
-    marked.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").text(path)
-
-
 # -- stage 2 ----------------------------------------------------------------------------------
 
 
 def merge_batch(ws: Workspace, batch: str) -> list[str]:
     """Make a loaded batch part of the master. No row is copied; an empty table changes nothing."""
-    if ws.stamp(batch) is None:
-        raise RuntimeError(f"batch {batch} is not loaded completely: load it again")
-    _mark(ws, ws.merged_path(batch), batch)
-    return [name for name in ws.entities if ws.is_written(ws.table_path(batch, name))]
+    return merge_batches(ws, [batch])
+
+
+def merge_batches(ws: Workspace, batches: list[str]) -> list[str]:
+    """Make loaded batches part of the master; names of the tables which they have."""
+    manifest = ws.manifest()
+    missing = [b for b in batches if manifest.state(b).stamp is None]
+    if missing:
+        raise RuntimeError(f"batches {missing} are not loaded completely: load them again")
+    record(ws.spark, ws.manifest_path, MERGED, [b for b in batches if not manifest.state(b).merged])
+    return [name for name in ws.entities if any(name in manifest.state(b).tables for b in batches)]
 
 
 def merge_all(ws: Workspace) -> list[str]:
     """Merge every loaded batch."""
-    merged = [merge_batch(ws, batch) for batch in list_batches(ws.spark, ws.home) if ws.stamp(batch)]
-    return [name for name in ws.entities if any(name in names for names in merged)]
+    manifest = ws.manifest()
+    return merge_batches(ws, sorted(b for b, state in manifest.batches.items() if state.stamp))
+
 
+def compact(ws: Workspace, whole: bool = False) -> str | None:
+    """Make a base of all merged batches, so that readers need not go through them again.
 
-def compact(ws: Workspace) -> str | None:
-    """Write the replay of all merged batches as a base, so that readers need not go through
-    them again. Older bases stay until they are removed by hand; None without batches."""
-    batches = ws.merged()
+    Where there is a base of some of them, only those of its buckets are written which hold keys
+    of the others; ``whole`` writes all anew, which also finds new keys with very many rows. None
+    without batches. Files of older versions stay until they are removed by hand.
+    """
+    view = ws.view()
+    batches = view.manifest.merged()
     if not batches:
         return None
-    stamps = [(b, ws.stamp(b)) for b in batches]
-    missing = [b for b, stamp in stamps if stamp is None]
+    missing = [b for b in batches if view.manifest.state(b).stamp is None]
     if missing:
         raise RuntimeError(f"batches {missing} are not loaded completely: load them again")
-    number = max([int(v.removeprefix("v-")) for v in glob_names(ws.spark, f"{ws.home}/{MASTER}/base/v-*")], default=0) + 1
-    version = f"v-{number:08d}"
-    for name in ws.entities:
-        rows = ws.history(name, batches)
-        if rows is not None:
-            _write(replay(rows, SPECS[name], first="first_id", state=True), ws.base_path(version, name))
-    _write(ws.spark.createDataFrame(stamps, "batch string, stamp string").coalesce(1), ws.base_path(version, "stamps"))
-    return version
+    old = None if whole else view.base_of(batches)
+    number = max((v.number for v in view.versions), default=0) + 1
+    late = [b for b in batches if not old or b not in old.stamps]
+    if old and not late:
+        return version_name(old.number)
+    made = [_compacted(view, name, late, old.tables.get(name) if old else None, number) for name in ws.entities]
+    stamps = {b: view.manifest.state(b).stamp for b in batches}
+    write_version(ws.spark, ws.base_path, Version(number, stamps, {t.name: t for t in made if t}))
+    return version_name(number)
+
+
+def _compacted(view: View, name: str, late: list[str], base: BaseTable | None, number: int) -> BaseTable | None:
+    """A table of a new base version; None where no batch has the table."""
+    ws, spec = view.ws, SPECS[name]
+    rows = view.rows(name, late)
+    if rows is None:
+        return base
+    if base:
+        return update_base(ws.spark, base, rows, spec, number)
+    # Stored, as it is read twice.
+    place = f"{ws.base_path}/{name}/state-{number:08d}"
+    _write(replay(rows.withColumn("first_id", F.col("batch_id")), spec, first="first_id", state=True), place)
+    buckets = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        return write_base(ws.spark, ws.base_path, spec, ws.spark.read.parquet(place), number, buckets)
+    finally:
+        remove(ws.spark, place)
 
 
 # -- stages 3 and 4 -----------------------------------------------------------------------------
@@ -193,14 +220,14 @@ def derive_metrics(ws: Workspace, scope: str) -> list[str]:
         written.append(name)
         return ws.metric(scope, name)
 
-    users, channels = ws.table(scope, "user_data"), ws.table(scope, "channel_data")
-    reactions = ws.table(scope, "reaction_data")
-    threads = ws.table(scope, "thread_data") if dialect.threads else None
+    table = ws.tables(scope)
+    users, channels, reactions = table("user_data"), table("channel_data"), table("reaction_data")
+    threads = table("thread_data") if dialect.threads else None
     zone, country = (ws.reference("zone"), ws.reference("country")) if dialect.geo else (None, None)
 
     conversation = put(
         "conversation_data",
-        posts.conversations(ws.table(scope, "message_data"), threads, users, zone, country, dialect),
+        posts.conversations(table("message_data"), threads, users, zone, country, dialect),
     )
     put("useractive_data", members.user_activity(users, conversation, reactions, dialect))
     bounds = replies.post_bounds(conversation)
@@ -222,7 +249,8 @@ def derive_counts(ws: Workspace, scope: str) -> list[str]:
     if not ws.dialect.counts:
         return []
     conversation = ws.metric(scope, "conversation_data")
-    users, channels = ws.table(scope, "user_data"), ws.table(scope, "channel_data")
+    table = ws.tables(scope)
+    users, channels = table("user_data"), table("channel_data")
     frames: dict[str, Callable[[], DataFrame]] = {
         "aggr_by_channel": lambda: counts.count_by_channel(conversation),
         "aggr_by_channel_user": lambda: counts.count_by_channel_user(conversation),

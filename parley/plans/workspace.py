@@ -6,9 +6,8 @@
     <home>/<batch>/given      entity tables as CSV, used instead of those from pages
     <home>/<batch>/tables     entity tables of the batch
     <home>/<batch>/metrics    metrics of the batch
-    <home>/<batch>/loaded     stamp of the load, written after the last table
-    <home>/master/merged/<batch>   says that the batch belongs to the master
-    <home>/master/base/v-<n>  the master over some batches, and the stamps of their loads
+    <home>/master/manifest    what happened to the batches: loaded, merged (see ``manifest``)
+    <home>/master/base        the master over some batches, in buckets (see ``base``)
     <home>/metrics            metrics of the master
     <home>/references         zone, country and channel_ref files
 
@@ -18,35 +17,30 @@ to it, and a reader replays the tables of the batches. So a merge copies no row,
 lost, and a batch counts with all its tables or not at all. A base holds the replay of some
 batches with the first and last batch of each row, so batches of any age can follow; it counts
 only as long as those batches have not been loaded again.
+
+What a reader needs to know of all batches is in the manifest and the log of the base, which
+``Workspace.view`` reads by one job each; all tables can be planned from one view.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from parley.dialect import THREADED, Dialect
-from parley.operators.merge import (
-    FLAT_ENTITIES,
-    INSERT,
-    SPECS,
-    THREADED_ENTITIES,
-    UPDATE,
-    insert_delta,
-    replay,
-    update_delta,
-)
+from parley.operators.feed import change_feed
+from parley.operators.merge import FLAT_ENTITIES, SPECS, THREADED_ENTITIES, replay
+from parley.plans.base import Version, joined, read_base, read_versions, version_name
+from parley.plans.manifest import Manifest, read_manifest
 from parley.schemas import ENTITIES, REFERENCES
-from parley.sources.files import exists, glob_names
+from parley.sources.files import exists
 from parley.sources.tables import read_reference
 
 MASTER = "master"
-# The table of a base which names its batches; it is written last.
-_STAMPS = "stamps"
 
 
 @dataclass(frozen=True)
@@ -76,14 +70,13 @@ class Workspace:
         folder = self.home if scope == MASTER else f"{self.home}/{scope}"
         return f"{folder}/metrics/{name}"
 
-    def stamp_path(self, batch: str) -> str:
-        return f"{self.home}/{batch}/loaded"
-
-    def merged_path(self, batch: str) -> str:
-        return f"{self.home}/{MASTER}/merged/{batch}"
+    @property
+    def manifest_path(self) -> str:
+        return f"{self.home}/{MASTER}/manifest"
 
-    def base_path(self, version: str, name: str) -> str:
-        return f"{self.home}/{MASTER}/base/{version}/{name}"
+    @property
+    def base_path(self) -> str:
+        return f"{self.home}/{MASTER}/base"
 
     # -- reading ------------------------------------------------------------------------------
 
@@ -100,63 +93,44 @@ class Workspace:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
+    def manifest(self) -> Manifest:
+        return read_manifest(self.spark, self.manifest_path)
+
+    def view(self) -> View:
+        """The master as it is now. Two jobs; planning its tables then starts none."""
+        return View(self, self.manifest(), tuple(read_versions(self.spark, self.base_path)))
+
     def merged(self) -> list[str]:
         """The batches of the master, oldest first."""
-        found = glob_names(self.spark, f"{self.home}/{MASTER}/merged/*")
-        return [b for b in found if exists(self.spark, f"{self.merged_path(b)}/_SUCCESS")]
+        return self.manifest().merged()
 
     def stamp(self, batch: str) -> str | None:
-        """The stamp of the last complete load of a batch."""
-        path = self.stamp_path(batch)
-        if not exists(self.spark, f"{path}/_SUCCESS"):
-            return None
-        return self.spark.read.text(path).first()["value"]
-
-    def bases(self) -> list[str]:
-        """Versions of the base which are complete, newest first."""
-        found = glob_names(self.spark, f"{self.home}/{MASTER}/base/v-*")
-        return [v for v in reversed(found) if exists(self.spark, f"{self.base_path(v, _STAMPS)}/_SUCCESS")]
+        """The stamp of the last load of a batch, if it is complete."""
+        return self.manifest().state(batch).stamp
 
     def base_of(self, batches: list[str]) -> tuple[str | None, list[str]]:
         """The newest base made of some of these batches as they are now, and those batches."""
-        for version in self.bases():
-            rows = self.spark.read.schema("batch string, stamp string").parquet(self.base_path(version, _STAMPS))
-            stamps = {r["batch"]: r["stamp"] for r in rows.collect()}
-            if set(stamps) <= set(batches) and all(self.stamp(b) == s for b, s in stamps.items()):
-                return version, sorted(stamps)
-        return None, []
-
-    def history(self, name: str, batches: list[str]) -> DataFrame | None:
-        """The rows of a table over batches with ``batch_id`` and ``first_id``, from a base
-        as far as there is one; nothing where no batch has the table."""
-        schema = StructType([*ENTITIES[name].fields]).add("batch_id", "long").add("first_id", "long")
-        version, held = self.base_of(batches)
-        parts = []
-        if version and self.is_written(self.base_path(version, name)):
-            parts.append(self.spark.read.schema(schema).parquet(self.base_path(version, name)))
-        ready = [b for b in batches if b not in held and self.is_written(self.table_path(b, name))]
-        if ready:
-            rows = self.spark.read.schema(ENTITIES[name]).parquet(*[self.table_path(b, name) for b in ready])
-            batch = F.regexp_extract("_metadata.file_path", r"/(\d{14})/tables/", 1).cast("bigint")
-            parts.append(rows.withColumn("batch_id", batch).withColumn("first_id", F.col("batch_id")))
-        return reduce(DataFrame.unionByName, parts) if parts else None
+        version = self.view().base_of(batches)
+        return (version_name(version.number), sorted(version.stamps)) if version else (None, [])
 
     def master(self, name: str, before: str | None = None) -> DataFrame:
         """A table of the master, or of the master over the batches before one."""
-        rows = self.history(name, [b for b in self.merged() if before is None or b < before])
-        if rows is None:
-            return self.spark.createDataFrame([], ENTITIES[name])
-        return replay(rows, SPECS[name], first="first_id")
+        return self.view().table(name, before)
 
     def delta(self, name: str, batch: str, change: str) -> DataFrame:
         """Rows which a batch inserts into, or updates in, the master over the batches before."""
-        pick = {INSERT: insert_delta, UPDATE: update_delta}[change]
-        return pick(self.master(name, before=batch), self.table(batch, name), SPECS[name])
+        feed = self.view().feed(name, [batch])
+        return feed.where(F.col("change") == change).drop("batch_id", "change")
 
     def table(self, scope: str, name: str) -> DataFrame:
         """An entity table of a batch, or of the master."""
-        if scope == MASTER:
-            return self.master(name)
+        return self.tables(scope)(name)
+
+    def tables(self, scope: str) -> Callable[[str], DataFrame]:
+        """The entity tables of a batch, or of the master as it is now, by name."""
+        return self.view().table if scope == MASTER else lambda name: self._table_of(scope, name)
+
+    def _table_of(self, scope: str, name: str) -> DataFrame:
         return self._read(self.table_path(scope, name), ENTITIES[name])
 
     def metric(self, scope: str, name: str) -> DataFrame:
@@ -166,3 +140,51 @@ class Workspace:
 
     def reference(self, name: str) -> DataFrame:
         return read_reference(self.spark, self.home, name, REFERENCES[name])
+
+
+@dataclass(frozen=True)
+class View:
+    """The master of a workspace at a moment."""
+
+    ws: Workspace
+    manifest: Manifest
+    versions: tuple[Version, ...]
+
+    def base_of(self, batches: list[str]) -> Version | None:
+        """The newest base made of some of these batches as they are now."""
+        for version in self.versions:
+            if set(version.stamps) <= set(batches) and all(self.manifest.state(b).stamp == s for b, s in version.stamps.items()):
+                return version
+        return None
+
+    def rows(self, name: str, batches: list[str]) -> DataFrame | None:
+        """The rows of a table over batches, with ``batch_id``; None where no batch has it."""
+        ready = [b for b in batches if name in self.manifest.state(b).tables]
+        if not ready:
+            return None
+        rows = self.ws.spark.read.schema(ENTITIES[name]).parquet(*[self.ws.table_path(b, name) for b in ready])
+        batch = F.regexp_extract("_metadata.file_path", r"/(\d{14})/tables/", 1).cast("bigint")
+        return rows.withColumn("batch_id", batch)
+
+    def table(self, name: str, before: str | None = None) -> DataFrame:
+        """A table of the master, or of the master over the batches before one."""
+        spec, spark = SPECS[name], self.ws.spark
+        batches = [b for b in self.manifest.merged() if before is None or b < before]
+        version = self.base_of(batches)
+        base = version.tables.get(name) if version else None
+        late = self.rows(name, [b for b in batches if not base or b not in version.stamps])
+        if late is None:
+            rows = read_base(spark, base) if base else spark.createDataFrame([], ENTITIES[name])
+        elif base is None:
+            return replay(late, spec)
+        else:
+            rows = joined(spark, base, late, spec)
+        return rows.select(*spec.columns)
+
+    def feed(self, name: str, of: list[str] | None = None) -> DataFrame:
+        """(batch_id, change, columns): what all batches of the master, or some, changed in a
+        table. Those asked for need not be merged; of others only keys are read."""
+        rows = self.rows(name, sorted({*self.manifest.merged(), *(of or [])}))
+        if rows is None:
+            rows = self.ws.spark.createDataFrame([], StructType([*ENTITIES[name].fields]).add("batch_id", "long"))
+        return change_feed(rows, SPECS[name], of=None if of is None else [int(b) for b in of])

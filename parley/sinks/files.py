@@ -20,9 +20,7 @@ def write_entity(
 ) -> None:
     """Overwrite a CSV table; times become ISO text. ``index`` numbers the sorted rows; the
     files then follow the order only inside, as the number says the place."""
-    for name, kind in df.dtypes:
-        if kind.startswith("timestamp"):
-            df = df.withColumn(name, iso_text(name))
+    df = _with_iso_times(df)
     sorted_rows = f"{path}-sorted"
     if index:
         numbered = row_index(df, [*sort] or df.columns, folder=sorted_rows)
@@ -33,6 +31,18 @@ def write_entity(
     remove(df.sparkSession, sorted_rows)
 
 
+def _with_iso_times(df: DataFrame) -> DataFrame:
+    times = [name for name, kind in df.dtypes if kind.startswith("timestamp")]
+    return df.withColumns({name: iso_text(name) for name in times})
+
+
+def write_partitions(df: DataFrame, path: str, by: Sequence[str], sort: Sequence[str]) -> None:
+    """Overwrite a CSV table in folders by the values of some columns, each sorted over its files;
+    a large folder is cut into several."""
+    ordered = _with_iso_times(df).repartitionByRange(*by, *sort).sortWithinPartitions(*by, *sort)
+    ordered.write.mode("overwrite").partitionBy(*by).options(**_CSV).csv(path)
+
+
 def metric_names(df: DataFrame, dialect: Dialect) -> DataFrame:
     """Column names as the product's exports have them."""
     if not dialect.upper_case:

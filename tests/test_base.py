@@ -1,0 +1,182 @@
+"""The bucketed base of the master, the manifest, and the feed of a workspace."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from parley.operators.merge import SPECS, replay
+from parley.plans import base, exports, runs
+from parley.plans.base import joined, read_base, update_base, write_base
+from parley.plans.manifest import LOADED, LOADING, MERGED, fold, record
+from parley.plans.workspace import Workspace
+from parley.schemas import ENTITIES
+
+BATCHES = [f"2020010{i}000000" for i in range(1, 7)]
+
+
+@pytest.fixture
+def plain_joins(spark):
+    limits = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {key: spark.conf.get(key, None) for key in limits}
+    for key in limits:
+        spark.conf.set(key, "-1")
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def _reactions(spark, seed, rows=150):
+    """Rows of several batches, most of one post, some with null keys."""
+    dice = random.Random(seed)
+    made = [
+        ("C", "hot" if dice.random() < 0.6 else dice.choice([None, *"abcdefgh"]), "", f"U{dice.randrange(40)}", "up", dice.randrange(1, 7))
+        for _ in range(rows)
+    ]
+    return spark.createDataFrame(made, "channel string, ts string, thread_ts string, user_id string, reaction string, batch_id long")
+
+
+def _users(spark, seed):
+    dice = random.Random(seed)
+    pairs = {(dice.choice([None, *"abcdefghijkl"]), dice.randrange(1, 7)) for _ in range(40)}
+    return spark.createDataFrame([(i, f"{i}{b}", "r", None, "", str(b), b) for i, b in pairs], "id string, name string, real_name string, tz string, email string, batch string, batch_id long")
+
+
+def _state(rows, spec):
+    return replay(rows.withColumn("first_id", F.col("batch_id")), spec, first="first_id", state=True)
+
+
+@pytest.mark.parametrize(("name", "make"), [("reaction_data", _reactions), ("user_data", _users)])
+@pytest.mark.parametrize("held", [(1, 3), (2, 5, 6), (4,)])
+def test_base_and_late_batches_equal_the_replay_of_all(spark, tmp_path, rows, monkeypatch, name, make, held):
+    monkeypatch.setattr(base, "HOT_ROWS", 5)
+    spec, everything = SPECS[name], make(spark, len(held))
+    home = str(tmp_path / "base")
+    table = write_base(spark, home, spec, _state(everything.where(F.col("batch_id").isin(*held)), spec), 1, 4)
+    assert bool(table.hot) == (name == "reaction_data")
+    late = everything.where(~F.col("batch_id").isin(*held))
+    want = rows(_state(everything, spec), *spec.columns, "batch_id", "first_id")
+    assert rows(joined(spark, table, late, spec), *spec.columns, "batch_id", "first_id") == want
+    # in two steps, the younger batches first
+    young, old = late.where("batch_id > 3"), late.where("batch_id <= 3")
+    table = update_base(spark, table, young, spec, 2)
+    assert rows(joined(spark, table, old, spec), *spec.columns, "batch_id", "first_id") == want
+    table = update_base(spark, table, old, spec, 3)
+    assert rows(read_base(spark, table), *spec.columns, "batch_id", "first_id") == want
+
+
+def test_compaction_leaves_untouched_buckets_as_they_are(spark, tmp_path, rows):
+    spec = SPECS["user_data"]
+    users = spark.range(200).selectExpr("cast(id AS string) AS id", "'n' AS name", "'r' AS real_name", "'' AS tz", "'' AS email", "'1' AS batch", "1L AS batch_id")
+    home = tmp_path / "base"
+    table = write_base(spark, str(home), spec, _state(users, spec), 1, 16)
+    before = {f: (f.stat().st_mtime_ns, f.read_bytes()) for f in home.rglob("*.parquet")}
+    assert len(before) == 16
+    late = users.where("id IN ('7', '150')").selectExpr("id", "'new' AS name", "real_name", "tz", "email", "'2' AS batch", "2L AS batch_id")
+    changed = update_base(spark, table, late, spec, 2)
+    after = {f: (f.stat().st_mtime_ns, f.read_bytes()) for f in home.rglob("*.parquet")}
+    assert before.items() <= after.items(), "no file of the base is written again"
+    assert len(after) - len(before) == sum(g == 2 for g in changed.generations) <= 2
+    assert rows(read_base(spark, changed).where("name = 'new'"), "id", "batch", "batch_id") == [("150", "1", 2), ("7", "1", 2)]
+    assert read_base(spark, changed).count() == 200
+    assert update_base(spark, changed, late.where("false"), spec, 3) is changed
+
+
+def _nodes(plan):
+    found, left = [], [plan.initialPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan]
+    while left:
+        node = left.pop()
+        found.append(node)
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_the_base_is_not_shuffled_for_late_batches(spark, tmp_path, plain_joins):
+    spec = SPECS["reaction_data"]
+    everything = _reactions(spark, 3)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = write_base(spark, str(tmp_path / "base"), spec, _state(everything.where("batch_id < 5"), spec), 1, buckets)
+    late = str(tmp_path / "late")
+    everything.where("batch_id >= 5").write.parquet(late)
+    plan = joined(spark, table, spark.read.parquet(late), spec)._jdf.queryExecution().executedPlan()
+    # whole rows of the base hold the reaction; what moves are keys that late batches touch
+    moved = [n for n in _nodes(plan) if n.nodeName() == "Exchange" and "reaction#" in n.output().mkString(",")]
+    over_base = [n for n in moved if any("parley_base" in m.simpleString(1000) for m in _nodes(n))]
+    assert moved
+    scans = [n.simpleString(10_000) for n in _nodes(plan) if "parley_base" in n.simpleString(10_000)]
+    assert scans and all("Bucketed: true" in s for s in scans), scans
+    assert not over_base
+
+
+def _load(ws, batch, names):
+    """A batch of users and reactions, without pages."""
+    spark = ws.spark
+    record(spark, ws.manifest_path, LOADING, [batch])
+    users = [(n, f"{n} {batch}", "r", None, "", batch[:8]) for n in names]
+    runs._write(spark.createDataFrame(users, ENTITIES["user_data"]), ws.table_path(batch, "user_data"))
+    reactions = [("C", n, "", u, "up") for n in names for u in "xy"]
+    runs._write(spark.createDataFrame(reactions, ENTITIES["reaction_data"]), ws.table_path(batch, "reaction_data"))
+    record(spark, ws.manifest_path, LOADED, [batch], f"stamp {batch} {len(names)}", ["user_data", "reaction_data"])
+
+
+def _jobs(spark, action):
+    group = f"count-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        action()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_planning_the_master_starts_as_many_jobs_for_any_number_of_batches(spark, tmp_path):
+    ws = Workspace(spark, str(tmp_path))
+    counted = []
+    for i, batch in enumerate(BATCHES):
+        _load(ws, batch, "abc"[: 1 + i % 3])
+        runs.merge_batch(ws, batch)
+        if i == 1:
+            assert runs.compact(ws) == "v-00000001"
+        if i >= 2:
+            view = []
+            counted.append(_jobs(spark, lambda: view.append([ws.view()] and [t for t in map(ws.view().table, ws.entities)])))
+    assert len(set(counted)) == 1 and counted[0] <= 4, counted
+    one = _jobs(spark, lambda: list(map(ws.view().table, ws.entities)))
+    assert one <= 2
+
+
+def test_manifest(spark, tmp_path):
+    path = str(tmp_path / "manifest")
+    record(spark, path, LOADING, ["1", "2"])
+    record(spark, path, LOADED, ["1"], "s1", ["user_data"])
+    record(spark, path, MERGED, ["1"])
+    ws_state = fold(spark.read.json(path).collect())
+    assert ws_state.merged() == ["1"] and ws_state.state("1").stamp == "s1" and ws_state.state("2").stamp is None
+    record(spark, path, LOADING, ["1"])
+    events = spark.read.json(path).collect()
+    assert fold(events).state("1").stamp is None and fold(events).state("1").merged
+    assert fold(list(reversed(events))) == fold(events), "the number decides, not the order of files"
+    assert fold([]).state("9").tables == frozenset()
+
+
+def test_feed_of_a_workspace_equals_its_deltas(spark, tmp_path, rows):
+    ws = Workspace(spark, str(tmp_path))
+    for batch, names in zip(BATCHES, ("ab", "bc", "acd")):
+        _load(ws, batch, names)
+        runs.merge_batch(ws, batch)
+    runs.compact(ws)
+    view = ws.view()
+    for name in ("user_data", "reaction_data"):
+        whole = view.feed(name)
+        for batch in BATCHES[:3]:
+            for change in ("insert", "update"):
+                part = whole.where((F.col("batch_id") == int(batch)) & (F.col("change") == change)).drop("batch_id", "change")
+                assert rows(part) == rows(ws.delta(name, batch, change))
+    assert rows(ws.delta("user_data", BATCHES[2], "update"), "id", "batch") == [("a", BATCHES[0][:8]), ("c", BATCHES[1][:8])]
+    # a batch which is not merged yet, against the master
+    _load(ws, BATCHES[3], "az")
+    assert rows(ws.delta("user_data", BATCHES[3], "insert"), "id") == [("z",)]
+    assert rows(ws.delta("user_data", BATCHES[0], "update"), "id") == []
+    assert exports.export_changes(ws) == list(ws.entities)
+    written = spark.read.option("header", True).csv(str(tmp_path / "master" / "changes" / "user_data"))
+    assert rows(written, "batch_id", "change", "id") == rows(view.feed("user_data"), "batch_id", "change", "id")
