@@ -1,7 +1,8 @@
 """Entity tables out of decoded pages ``(file_name, json)``: parse by schema, then unnest.
 
 Everything stays inside one page row until it is exploded, so none of these operators moves
-a page to another task; only the reply routing joins by message key.
+a page to another task; only the reply routing joins by message key. Pages of several batches
+carry ``batch_id``, which their rows keep, and which is part of every key then.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ POLL_SUFFIX_LENGTH = 15
 _WHITESPACE = " \t\n\r\x0b\x0c"
 
 
+def _batch(pages: DataFrame) -> list[str]:
+    return [c for c in ("batch_id",) if c in pages.columns]
+
+
 def _parsed(pages: DataFrame, schema: str) -> DataFrame:
     """Pages with the struct ``page``; pages which have one already are taken as they are."""
     if "page" in pages.columns:
@@ -38,7 +43,7 @@ def _parsed(pages: DataFrame, schema: str) -> DataFrame:
 def typed_pages(pages: DataFrame) -> DataFrame:
     """History or reply pages (file_name, page) with all fields that any table reads. Once they
     are stored, each table reads only its own fields of them."""
-    return _parsed(pages, schemas.MESSAGES_PAGE).select("file_name", "page")
+    return _parsed(pages, schemas.MESSAGES_PAGE).select("file_name", "page", *_batch(pages))
 
 
 def users_from_pages(
@@ -49,18 +54,20 @@ def users_from_pages(
     rows = _parsed(pages, schemas.MEMBERS_PAGE).select(
         page_clock().alias("page_clock"),
         invite_epoch(batch).alias("batch"),
+        *_batch(pages),
         F.posexplode("page.members").alias("position", "m"),
     )
     columns = [
         "m.id", "m.name", "m.real_name", "m.tz",
         F.coalesce("m.profile.email", F.lit("")).alias("email"), "batch",
     ]
-    return rows.select(*columns, *(["page_clock", "position"] if place else []))
+    return rows.select(*columns, *_batch(pages), *(["page_clock", "position"] if place else []))
 
 
 def channels_from_pages(pages: DataFrame, place: bool = False) -> DataFrame:
     rows = _parsed(pages, schemas.CHANNELS_PAGE).select(
         page_clock().alias("page_clock"),
+        *_batch(pages),
         F.posexplode("page.channels").alias("position", "c"),
     )
     kind = (
@@ -78,7 +85,7 @@ def channels_from_pages(pages: DataFrame, place: bool = False) -> DataFrame:
         # A channel without the flag counts as private here although its class is public.
         F.coalesce(_flag("c.is_private"), F.lit("True")).alias("is_private"),
     ]
-    return rows.select(*columns, *(["page_clock", "position"] if place else []))
+    return rows.select(*columns, *_batch(pages), *(["page_clock", "position"] if place else []))
 
 
 def _flag(column: str) -> Column:
@@ -98,6 +105,7 @@ def page_messages(pages: DataFrame, schema: str = schemas.MESSAGES_PAGE) -> Data
     return _parsed(pages, schema).select(
         page_channel().alias("channel"),
         page_parent().alias("parent_ts"),
+        *_batch(pages),
         F.explode("page.messages").alias("m"),
     )
 
@@ -123,7 +131,8 @@ def _post_columns(zone: str) -> dict[str, Column]:
 
 def messages_from_pages(history: DataFrame, zone: str = "UTC") -> DataFrame:
     columns = _post_columns(zone)
-    return page_messages(history, schemas.POSTS_IN_PAGE).select(*[c.alias(n) for n, c in columns.items()])
+    rows = page_messages(history, schemas.POSTS_IN_PAGE)
+    return rows.select(*[c.alias(n) for n, c in columns.items()], *_batch(history))
 
 
 def _answered(history: DataFrame) -> DataFrame:
@@ -131,23 +140,29 @@ def _answered(history: DataFrame) -> DataFrame:
     return (
         page_messages(history, schemas.REPLIES_IN_PAGE)
         .where(has_replies(_reply_count()))
-        .select("channel", F.col("m.ts").alias("parent_ts"))
+        .select("channel", F.col("m.ts").alias("parent_ts"), *_batch(history))
+        .distinct()
     )
 
 
-def _visited_replies(history: DataFrame, replies: DataFrame, schema: str) -> DataFrame:
+def _visited_replies(history: DataFrame, replies: DataFrame, schema: str, known: DataFrame | None = None) -> DataFrame:
     """The messages of reply pages whose parent announces replies. They are parsed before the
     join, so that only the fields in use are shuffled and no page; a semi join would be moved
-    below the parsing."""
-    answered = _answered(history).distinct()
-    return page_messages(replies, schema).join(answered, ["channel", "parent_ts"])
+    below the parsing. Announcements of the pages ``known`` do not count."""
+    answered = _answered(history)
+    keys = ["channel", "parent_ts", *_batch(history)]
+    if known is not None:
+        answered = answered.join(_answered(known), keys, "left_anti")
+    return page_messages(replies, schema).join(answered, keys)
 
 
-def threads_from_pages(history: DataFrame, replies: DataFrame, zone: str = "UTC") -> DataFrame:
+def threads_from_pages(
+    history: DataFrame, replies: DataFrame, zone: str = "UTC", known: DataFrame | None = None
+) -> DataFrame:
     columns = _post_columns(zone)
     del columns["reply_count"]
-    rows = _visited_replies(history, replies, schemas.POSTS_IN_PAGE)
-    return rows.select(*[c.alias(n) for n, c in columns.items()])
+    rows = _visited_replies(history, replies, schemas.POSTS_IN_PAGE, known)
+    return rows.select(*[c.alias(n) for n, c in columns.items()], *_batch(history))
 
 
 def reactions_of(messages: DataFrame) -> DataFrame:
@@ -156,11 +171,12 @@ def reactions_of(messages: DataFrame) -> DataFrame:
         "channel",
         F.col("m.ts").alias("ts"),
         F.coalesce("m.thread_ts", F.lit("")).alias("thread_ts"),
+        *_batch(messages),
         F.explode("m.reactions").alias("r"),
     )
     return by_reaction.select(
         "channel", "ts", "thread_ts",
-        F.explode("r.users").alias("user_id"), F.col("r.name").alias("reaction"),
+        F.explode("r.users").alias("user_id"), F.col("r.name").alias("reaction"), *_batch(messages),
     )
 
 
@@ -171,16 +187,21 @@ def reactions_from_messages(history: DataFrame, replies: DataFrame) -> DataFrame
     """
     fields = schemas.REACTIONS_IN_PAGE
     own = page_messages(history, fields).where(~has_replies(_reply_count()))
-    answered = _visited_replies(history, replies, fields).where(F.size("m.reactions") > 0)
-    return reactions_of(own).unionByName(reactions_of(answered)).distinct()
+    return reactions_of(own).unionByName(reactions_of_replies(history, replies)).distinct()
+
+
+def reactions_of_replies(history: DataFrame, replies: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """The reactions to messages of reply pages whose parent announces replies."""
+    answered = _visited_replies(history, replies, schemas.REACTIONS_IN_PAGE, known)
+    return reactions_of(answered.where(F.size("m.reactions") > 0))
 
 
 def files_from_pages(pages: DataFrame, zone: str = "UTC") -> DataFrame:
     """One row per file and channel; a file shared nowhere gives none."""
-    rows = _parsed(pages, schemas.FILES_PAGE).select(F.explode("page.files").alias("f"))
-    return rows.select("f", F.explode("f.channels").alias("channel")).select(
+    rows = _parsed(pages, schemas.FILES_PAGE).select(F.explode("page.files").alias("f"), *_batch(pages))
+    return rows.select("f", F.explode("f.channels").alias("channel"), *_batch(pages)).select(
         "f.id", "channel", "f.name",
-        wall_clock("f.timestamp", zone).alias("time"), F.col("f.user").alias("user_id"),
+        wall_clock("f.timestamp", zone).alias("time"), F.col("f.user").alias("user_id"), *_batch(pages),
     )
 
 
@@ -190,8 +211,8 @@ def polls_from_pages(
     """Votes of poll messages. A menu block names the poll; the votes after it in the page,
     also in later messages, belong to it.
 
-    The page is one row and its size is fixed by the API, so the last menu before a vote is
-    looked up inside the row and nothing is shuffled.
+    The page is one row, and nothing is shuffled. Its blocks are cut at the menus, each of which
+    takes the votes up to the next one, so the work follows the size of the page.
     """
     if channel is not None:
         history = history.where(page_channel() == channel)
@@ -214,6 +235,7 @@ def polls_from_pages(
         "page", F.struct(with_blocks.alias("messages"))
     )
     numbered = pages.select(
+        *_batch(history),
         F.transform(
             blocks,
             lambda b, i: F.struct(
@@ -225,12 +247,28 @@ def polls_from_pages(
             ),
         ).alias("blocks")
     )
-    split = numbered.select(
-        F.filter("blocks", lambda b: b["is_menu"]).alias("menus"),
-        F.explode(F.filter("blocks", lambda b: ~b["is_menu"])).alias("vote"),
+    menus = F.transform(
+        F.filter("blocks", lambda b: b["is_menu"]),
+        lambda b: F.struct(b["position"].alias("position"), b["block_id"].alias("block_id"), b["text"].alias("text")),
+    )
+    none = F.lit(None).cast("string")
+    # Votes before any menu belong to none.
+    before = F.array(F.struct(F.lit(-1).alias("position"), none.alias("block_id"), none.alias("text")))
+    opened = numbered.select(*_batch(history), "blocks", F.concat(before, menus).alias("menus"))
+    taken = F.transform(
+        "menus",
+        lambda m, k: F.struct(
+            m.alias("menu"),
+            F.slice(
+                F.col("blocks"),
+                m["position"] + 2,
+                F.coalesce(F.get("menus", k + 1)["position"], F.size("blocks")) - m["position"] - 1,
+            ).alias("votes"),
+        ),
     )
-    current = F.filter("menus", lambda b: b["position"] < F.col("vote.position"))
-    menu = F.try_element_at(current, F.lit(-1))
+    polls = opened.select(*_batch(history), F.explode(taken).alias("poll"))
+    split = polls.select(*_batch(history), "poll.menu", F.explode("poll.votes").alias("vote"))
+    menu = F.col("menu")
     parts = F.split(F.col("vote.text"), "`", -1)
     id_length = F.greatest(F.length(menu["block_id"]) - POLL_SUFFIX_LENGTH, F.lit(0))
     # One part means no vote yet; a count that is no number spoils only its own row.
@@ -242,6 +280,7 @@ def polls_from_pages(
         menu["text"].alias("text"),
         F.btrim(F.get(parts, F.lit(0)), F.lit(_WHITESPACE)).alias("vote_item"),
         F.when(F.size(parts) > 1, count).otherwise(F.lit(0)).alias("vote_count"),
+        *_batch(history),
     )
 
 
@@ -249,17 +288,18 @@ def polls_from_pages(
 
 
 def _flat(pages: DataFrame, schema: str) -> DataFrame:
-    return pages.select(F.explode(F.from_json("json", schema)).alias("r"))
+    return pages.select(F.explode(F.from_json("json", schema)).alias("r"), *_batch(pages))
 
 
 def flat_users(pages: DataFrame) -> DataFrame:
-    return _flat(pages, schemas.FLAT_USERS).select("r.*")
+    return _flat(pages, schemas.FLAT_USERS).select("r.*", *_batch(pages))
 
 
 def flat_channels(pages: DataFrame) -> DataFrame:
     return _flat(pages, schemas.FLAT_CHANNELS).select(
         "r.id", "r.name", "r.type", "r.class",
         _flag("r.is_archived").alias("is_archived"), _flag("r.is_private").alias("is_private"),
+        *_batch(pages),
     )
 
 
@@ -270,14 +310,14 @@ def flat_messages(pages: DataFrame) -> DataFrame:
         empty_to_null("thread_ts").alias("thread_ts"),
         parse_iso("r.time").alias("time"),
         F.col("r.reply_count").try_cast("int").alias("reply_count"),
-        F.col("r.user").alias("user_id"), "r.text",
+        F.col("r.user").alias("user_id"), "r.text", *_batch(pages),
     )
 
 
 def flat_files(pages: DataFrame) -> DataFrame:
     return _flat(pages, schemas.FLAT_FILES).select(
         "r.id", "r.channel", "r.name", parse_iso("r.time").alias("time"),
-        F.col("r.user").alias("user_id"),
+        F.col("r.user").alias("user_id"), *_batch(pages),
     )
 
 
@@ -300,9 +340,10 @@ def read_chat_b(spark: SparkSession, home: str, batch: str) -> dict[str, DataFra
 
 def private_channels(pages: DataFrame) -> DataFrame:
     """Ids of direct, group and private channels, from channel list pages."""
-    channel = _parsed(pages, schemas.CHANNELS_PAGE).select(F.explode("page.channels").alias("c"))
+    channel = _parsed(pages, schemas.CHANNELS_PAGE).select(F.explode("page.channels").alias("c"), *_batch(pages))
     flags = [F.coalesce(f"c.{f}", F.lit(False)) for f in ("is_mpim", "is_im", "is_private")]
-    return channel.where(flags[0] | flags[1] | flags[2]).select(F.col("c.id").alias("channel")).distinct()
+    private = channel.where(flags[0] | flags[1] | flags[2])
+    return private.select(F.col("c.id").alias("channel"), *_batch(pages)).distinct()
 
 
 def redact_private(messages: DataFrame, private: DataFrame) -> DataFrame:
@@ -310,10 +351,14 @@ def redact_private(messages: DataFrame, private: DataFrame) -> DataFrame:
 
     ``private`` holds the ids of such channels in ``channel``.
     """
-    listed = private.select(F.col("channel").alias("_private")).distinct()
+    batch = _batch(messages) if "batch_id" in private.columns else []
+    listed = private.select(F.col("channel").alias("_private"), *[F.col(b).alias(f"_{b}") for b in batch]).distinct()
     # By null-safe equality the join shuffles both sides itself instead of taking over the
     # partitions of the distinct, and only such a join lets AQE split a large channel.
-    out = messages.join(listed, F.col("channel").eqNullSafe(F.col("_private")), "left")
+    same = F.col("channel").eqNullSafe(F.col("_private"))
+    for name in batch:
+        same = same & (F.col(name) == F.col(f"_{name}"))
+    out = messages.join(listed, same, "left")
     hide = F.col("_private").isNotNull()
     if "text" in messages.columns:
         hidden = F.when(hide & F.col("text").isNotNull(), F.lit("")).otherwise(F.col("text"))
@@ -327,10 +372,9 @@ def redact_private(messages: DataFrame, private: DataFrame) -> DataFrame:
 
 def pages_of_others(history: DataFrame, private: DataFrame) -> DataFrame:
     """History pages of channels which are not in ``private``."""
-    hidden = private.select(F.col("channel").alias("_private"))
+    hidden = private.withColumnRenamed("channel", "_channel")
     keyed = history.withColumn("_channel", page_channel())
-    kept = keyed.join(hidden, F.col("_channel") == F.col("_private"), "left_anti")
-    return kept.select(*history.columns)
+    return keyed.join(hidden, ["_channel", *_batch(hidden)], "left_anti").select(*history.columns)
 
 
 def channel_class_b(overwrites: DataFrame) -> DataFrame:

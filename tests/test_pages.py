@@ -285,3 +285,21 @@ def test_other_literals_and_no_literals(spark, rows):
         "(1, 'a')": [1, "a"], "{1: 'x'}": {"1": "x"}, "['a' 'b']": ["ab"], "[0x10, 1_0, +1]": [16, 10, 1],
         "[1,]": [1], " {'a': 1}": {"a": 1}, "['\\x41']": ["A"],
     }
+
+
+def test_votes_and_menus_of_a_large_page_take_linear_time(spark):
+    import time
+
+    def page(size):
+        blocks = []
+        for i in range(size // 2):
+            blocks += [(f"poll-p{i}-0123456789menu", f"Poll {i}"), (f"poll-v{i}", f"Item `{i}`")]
+        made = [{"ts": "1588000000.000100", "blocks": [{"block_id": b, "text": {"text": t}} for b, t in blocks]}]
+        return spark.createDataFrame([("conversation_history-C1-1588327872000000.json", json.dumps({"messages": made}))], "file_name string, json string")
+
+    page_tables.polls_from_pages(page(10)).collect()
+    begin = time.monotonic()
+    votes = page_tables.polls_from_pages(page(40_000)).collect()
+    assert time.monotonic() - begin < 20
+    assert len(votes) == 20_000
+    assert all(v["text"].split()[1] == str(v["vote_count"]) for v in votes)
