@@ -3,8 +3,9 @@
 Events are only ever added, so a failure in between loses nothing. They are read by one job,
 whatever the number of batches, and folded by their number:
 
-- ``loading``: the tables of a batch are being written, it has no complete load now;
-- ``loaded``: they are complete, under a new stamp, with the names of the tables;
+- ``loading``: a step of a batch is being written; what was loaded before still counts;
+- ``loaded``: it is complete, under a new stamp, with the names of the tables, the steps whose
+  pages the batch consists of, and the steps whose rows its tables show;
 - ``merged``: the batch belongs to the master.
 
 One run at a time writes to a workspace.
@@ -12,7 +13,7 @@ One run at a time writes to a workspace.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Row, SparkSession
@@ -20,15 +21,20 @@ from pyspark.sql import Row, SparkSession
 from parley.sources.files import exists
 
 LOADING, LOADED, MERGED = "loading", "loaded", "merged"
-_EVENTS = "number bigint, event string, batch string, stamp string, tables array<string>"
+_EVENTS = """number bigint, event string, batch string, stamp string, tables array<string>,
+    steps array<string>, shown array<string>"""
 
 
 @dataclass(frozen=True)
 class BatchState:
-    #: Of the last complete load; None where a later one has not ended.
+    #: Of the last complete load.
     stamp: str | None = None
     merged: bool = False
     tables: frozenset[str] = frozenset()
+    steps: frozenset[str] = frozenset()
+    shown: frozenset[str] = frozenset()
+    #: A step was begun after the last complete load.
+    pending: bool = False
 
 
 @dataclass(frozen=True)
@@ -51,9 +57,10 @@ def fold(events: Sequence[Row]) -> Manifest:
     for row in sorted(events, key=lambda e: e["number"]):
         state = batches.get(row["batch"], BatchState())
         if row["event"] == LOADING:
-            state = replace(state, stamp=None)
+            state = replace(state, pending=True)
         elif row["event"] == LOADED:
-            state = replace(state, stamp=row["stamp"], tables=frozenset(row["tables"] or ()))
+            lists = {name: frozenset(row[name] or ()) for name in ("tables", "steps", "shown")}
+            state = replace(state, stamp=row["stamp"], pending=False, **lists)
         elif row["event"] == MERGED:
             state = replace(state, merged=True)
         batches[row["batch"]] = state
@@ -75,8 +82,19 @@ def read_manifest(spark: SparkSession, path: str) -> Manifest:
     return fold(read_log(spark, path, _EVENTS))
 
 
-def record(spark: SparkSession, path: str, event: str, batches: Sequence[str], stamp: str | None = None, tables: Sequence[str] = ()) -> None:
+def record(
+    spark: SparkSession,
+    path: str,
+    event: str,
+    batches: Sequence[str],
+    stamp: str | None = None,
+    tables: Sequence[str] = (),
+    steps: Mapping[str, Iterable[str]] | None = None,
+    shown: Mapping[str, Iterable[str]] | None = None,
+) -> None:
     """Add an event for each of the batches."""
     number = read_manifest(spark, path).last
-    rows = [(number + i, event, batch, stamp, sorted(tables)) for i, batch in enumerate(batches, 1)]
-    append(spark, path, rows, _EVENTS)
+    lists = [(sorted(tables), sorted((steps or {}).get(b, ())), sorted((shown or {}).get(b, ()))) for b in batches]
+    rows = [(number + i, event, batch, stamp, *of) for i, (batch, of) in enumerate(zip(batches, lists), 1)]
+    if rows:
+        append(spark, path, rows, _EVENTS)

@@ -8,7 +8,6 @@ back, which also cuts the lineage at a stored table.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -17,129 +16,12 @@ from pyspark.sql import functions as F
 from parley.operators import counts, graph, members, posts, replies, tags
 from parley.operators.merge import SPECS, replay
 from parley.plans.base import BaseTable, Version, update_base, version_name, write_base, write_version
-from parley.plans.manifest import LOADED, LOADING, MERGED, record
+from parley.plans.loading import load_batch, unreadable, write_table
+from parley.plans.manifest import MERGED, record
 from parley.plans.workspace import MASTER, View, Workspace
-from parley.schemas import ENTITIES
-from parley.sinks.files import write_batch_metadata
-from parley.sources import page_tables
-from parley.sources.files import exists, list_batches, remove
-from parley.sources.pages import (
-    LIST_FIELDS,
-    PAGE_PREFIXES,
-    normalize_pages_to_json,
-    page_faults,
-    page_kind,
-    read_pages,
-)
-from parley.sources.tables import read_entity
-
-_DECODED = "file_name string, json string"
-_PARTS = "step string, kind string"
-
-
-def _write(df: DataFrame, path: str, *by: str) -> None:
-    # Readers take a table for complete by its success marker.
-    marked = df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-    marked.mode("overwrite").partitionBy(*by).parquet(path)
-
-
-def _pages(ws: Workspace, batch: str, kind: str) -> DataFrame:
-    pages = ws.spark.read.schema(f"{_DECODED}, {_PARTS}").parquet(ws.pages_path(batch))
-    return pages.where(F.col("kind") == kind).drop("step", "kind")
-
-
-# -- stage 1 ----------------------------------------------------------------------------------
-
-
-def decode_batch(ws: Workspace, batch: str) -> None:
-    """Raw pages to JSON, once per page and in one job: every table of the batch is made
-    from these, and each reads the partition of its kind only."""
-    _write_pages(ws, batch, read_pages(ws.spark, ws.home, batch), "all")
-
-
-def decode_arrived(ws: Workspace, batch: str, arrived: DataFrame, step: int) -> None:
-    """Decode those of the pages (file_name, value) which are not decoded yet, next to the
-    others. A step which is repeated overwrites its own pages only.
-    """
-    root = ws.pages_path(batch)
-    if exists(ws.spark, root):
-        others = ws.spark.read.schema(f"file_name string, {_PARTS}").parquet(root).where(F.col("step") != f"s{step}")
-        arrived = arrived.join(others.select("file_name"), "file_name", "left_anti")
-    _write_pages(ws, batch, arrived, f"s{step}")
-
-
-def _write_pages(ws: Workspace, batch: str, pages: DataFrame, step: str) -> None:
-    """Pages by kind; a full decode replaces all steps, an arriving step only itself."""
-    known = normalize_pages_to_json(pages).withColumn("kind", page_kind()).where(F.col("kind").isNotNull())
-    root = ws.pages_path(batch)
-    if step == "all":
-        _write(known.withColumn("step", F.lit(step)), root, "step", "kind")
-    else:
-        _write(known, f"{root}/step={step}", "kind")
-
-
-def unreadable(ws: Workspace, batch: str) -> DataFrame:
-    """(file_name, reason) of the pages of a batch which give no rows of their kind: those
-    that could not be decoded, and those without the list that their kind holds."""
-    pages = ws.spark.read.schema(f"{_DECODED}, {_PARTS}").parquet(ws.pages_path(batch))
-    return page_faults(pages, LIST_FIELDS if ws.dialect.threads else {})
-
-
-def load_batch(
-    ws: Workspace, batch: str, poll_channel: str | None = None, redact: bool = False
-) -> list[str]:
-    """Entity tables of a batch. ``redact`` empties what was said in private channels."""
-    decode_batch(ws, batch)
-    return build_tables(ws, batch, poll_channel, redact)
-
-
-def build_tables(
-    ws: Workspace, batch: str, poll_channel: str | None = None, redact: bool = False
-) -> list[str]:
-    """Entity tables of a batch from its decoded pages, and the stamp that they are complete.
-
-    A table given as CSV under ``given`` of the batch takes the place of the one from pages;
-    tables which no page holds come in this way only.
-    """
-    pages = {kind: _pages(ws, batch, kind) for kind in PAGE_PREFIXES}
-    if ws.dialect.threads:
-        # Parsed once; several tables read different fields of these pages.
-        for kind in ("messages", "threads"):
-            _write(page_tables.typed_pages(pages[kind]), ws.typed_path(batch, kind))
-        history, answers = (ws.spark.read.parquet(ws.typed_path(batch, kind)) for kind in ("messages", "threads"))
-        tables = {
-            "user_data": page_tables.users_from_pages(pages["users"], batch),
-            "channel_data": page_tables.channels_from_pages(pages["channels"]),
-            "message_data": page_tables.messages_from_pages(history, ws.zone),
-            "thread_data": page_tables.threads_from_pages(history, answers, ws.zone),
-            "reaction_data": page_tables.reactions_from_messages(history, answers),
-            "file_data": page_tables.files_from_pages(pages["files"], ws.zone),
-            "poll_data": page_tables.polls_from_pages(history, poll_channel, ws.zone),
-        }
-        if redact:
-            private = page_tables.private_channels(pages["channels"])
-            for name in ("message_data", "thread_data"):
-                tables[name] = page_tables.redact_private(tables[name], private)
-            told = page_tables.pages_of_others(history, private)
-            tables["poll_data"] = page_tables.polls_from_pages(told, poll_channel, ws.zone)
-    else:
-        tables = {
-            "user_data": page_tables.flat_users(pages["users"]),
-            "channel_data": page_tables.flat_channels(pages["channels"]),
-            "message_data": page_tables.flat_messages(pages["flat_messages"]),
-            "file_data": page_tables.flat_files(pages["files"]),
-        }
-    for name in ws.entities:
-        if exists(ws.spark, f"{ws.home}/{batch}/given/{name}.csv"):
-            tables[name] = read_entity(ws.spark, ws.home, f"{batch}/given", name)
-    # Without its stamp a batch is not merged, and a base that holds it no longer counts.
-    record(ws.spark, ws.manifest_path, LOADING, [batch])
-    for name, df in tables.items():
-        _write(df.select(*ENTITIES[name].names), ws.table_path(batch, name))
-    write_batch_metadata(ws.spark, ws.home, batch)
-    record(ws.spark, ws.manifest_path, LOADED, [batch], uuid.uuid4().hex, list(tables))
-    return list(tables)
+from parley.sources.files import list_batches, remove
 
+__all__ = ["compact", "load_batch", "merge_all", "merge_batch", "merge_batches", "replay_all", "run", "run_batch_then_master", "unreadable"]
 
 # -- stage 2 ----------------------------------------------------------------------------------
 
@@ -200,7 +82,7 @@ def _compacted(view: View, name: str, late: list[str], base: BaseTable | None, n
         return update_base(ws.spark, base, rows, spec, number)
     # Stored, as it is read twice.
     place = f"{ws.base_path}/{name}/state-{number:08d}"
-    _write(replay(rows.withColumn("first_id", F.col("batch_id")), spec, first="first_id", state=True), place)
+    write_table(replay(rows.withColumn("first_id", F.col("batch_id")), spec, first="first_id", state=True), place)
     buckets = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
     try:
         return write_base(ws.spark, ws.base_path, spec, ws.spark.read.parquet(place), number, buckets)
@@ -216,7 +98,7 @@ def derive_metrics(ws: Workspace, scope: str) -> list[str]:
     written: list[str] = []
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        _write(df, ws.metric_path(scope, name))
+        write_table(df, ws.metric_path(scope, name))
         written.append(name)
         return ws.metric(scope, name)
 
@@ -260,7 +142,7 @@ def derive_counts(ws: Workspace, scope: str) -> list[str]:
         "aggr_by_thread_user": lambda: counts.count_by_thread_user(conversation),
     }
     for name, frame in frames.items():
-        _write(frame(), ws.metric_path(scope, name))
+        write_table(frame(), ws.metric_path(scope, name))
     return list(frames)
 
 

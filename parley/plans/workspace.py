@@ -1,11 +1,11 @@
 """Where the tables of a workspace lie.
 
     <home>/<batch>/api        raw pages
-    <home>/<batch>/json       decoded pages, a partition per kind of page
-    <home>/<batch>/typed      pages of posts and replies, parsed
     <home>/<batch>/given      entity tables as CSV, used instead of those from pages
-    <home>/<batch>/tables     entity tables of the batch
     <home>/<batch>/metrics    metrics of the batch
+    <home>/pages              decoded pages, a partition for each batch, step and kind of page
+    <home>/typed/<kind>       pages of posts and replies, parsed, by batch and step
+    <home>/tables/<table>     rows of the entity tables, by batch and step
     <home>/master/manifest    what happened to the batches: loaded, merged (see ``manifest``)
     <home>/master/base        the master over some batches, in buckets (see ``base``)
     <home>/metrics            metrics of the master
@@ -24,10 +24,10 @@ What a reader needs to know of all batches is in the manifest and the log of the
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -43,6 +43,12 @@ from parley.sources.tables import read_reference
 MASTER = "master"
 
 
+def chosen_steps(steps: Mapping[str, Iterable[str]]) -> Column:
+    """The partitions of some steps of some batches."""
+    pairs = [f"{batch}/{step}" for batch, of in steps.items() for step in of]
+    return F.concat_ws("/", "batch_id", "step").isin(pairs)
+
+
 @dataclass(frozen=True)
 class Workspace:
     spark: SparkSession
@@ -57,14 +63,18 @@ class Workspace:
 
     # -- paths --------------------------------------------------------------------------------
 
+    @property
+    def pages_root(self) -> str:
+        return f"{self.home}/pages"
+
     def pages_path(self, batch: str) -> str:
-        return f"{self.home}/{batch}/json"
+        return f"{self.pages_root}/batch_id={batch}"
 
-    def typed_path(self, batch: str, kind: str) -> str:
-        return f"{self.home}/{batch}/typed/{kind}"
+    def typed_root(self, kind: str) -> str:
+        return f"{self.home}/typed/{kind}"
 
-    def table_path(self, batch: str, name: str) -> str:
-        return f"{self.home}/{batch}/tables/{name}"
+    def table_root(self, name: str) -> str:
+        return f"{self.home}/tables/{name}"
 
     def metric_path(self, scope: str, name: str) -> str:
         folder = self.home if scope == MASTER else f"{self.home}/{scope}"
@@ -88,11 +98,6 @@ class Workspace:
             raise RuntimeError(f"{path} is incomplete: run its batch again")
         return False
 
-    def _read(self, path: str, schema: StructType) -> DataFrame:
-        if not self.is_written(path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
-
     def manifest(self) -> Manifest:
         return read_manifest(self.spark, self.manifest_path)
 
@@ -128,10 +133,8 @@ class Workspace:
 
     def tables(self, scope: str) -> Callable[[str], DataFrame]:
         """The entity tables of a batch, or of the master as it is now, by name."""
-        return self.view().table if scope == MASTER else lambda name: self._table_of(scope, name)
-
-    def _table_of(self, scope: str, name: str) -> DataFrame:
-        return self._read(self.table_path(scope, name), ENTITIES[name])
+        view = self.view()
+        return view.table if scope == MASTER else lambda name: view.batch_table(name, scope)
 
     def metric(self, scope: str, name: str) -> DataFrame:
         if not self.is_written(self.metric_path(scope, name)):
@@ -159,12 +162,23 @@ class View:
 
     def rows(self, name: str, batches: list[str]) -> DataFrame | None:
         """The rows of a table over batches, with ``batch_id``; None where no batch has it."""
-        ready = [b for b in batches if name in self.manifest.state(b).tables]
-        if not ready:
+        shown = {b: self.manifest.state(b).shown for b in batches if name in self.manifest.state(b).tables}
+        if not any(shown.values()) or not exists(self.ws.spark, self.ws.table_root(name)):
             return None
-        rows = self.ws.spark.read.schema(ENTITIES[name]).parquet(*[self.ws.table_path(b, name) for b in ready])
-        batch = F.regexp_extract("_metadata.file_path", r"/(\d{14})/tables/", 1).cast("bigint")
-        return rows.withColumn("batch_id", batch)
+        schema = StructType([*ENTITIES[name].fields]).add("batch_id", "string").add("step", "string")
+        rows = self.ws.spark.read.schema(schema).parquet(self.ws.table_root(name)).where(chosen_steps(shown))
+        return rows.withColumn("batch_id", F.col("batch_id").cast("bigint")).drop("step")
+
+    def batch_table(self, name: str, batch: str) -> DataFrame:
+        """A table of one batch."""
+        state, rows = self.manifest.state(batch), self.rows(name, [batch])
+        if rows is None:
+            if state.pending and state.stamp is None:
+                raise RuntimeError(f"batch {batch} is incomplete: load it again")
+            return self.ws.spark.createDataFrame([], ENTITIES[name])
+        rows = rows.drop("batch_id")
+        # Steps may bring the same reaction by pages of both kinds.
+        return rows.distinct() if name == "reaction_data" and len(state.shown) > 1 else rows
 
     def table(self, name: str, before: str | None = None) -> DataFrame:
         """A table of the master, or of the master over the batches before one."""

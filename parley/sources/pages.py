@@ -174,8 +174,10 @@ def page_faults(decoded: DataFrame, fields: dict[str, str] | None = None) -> Dat
 
 
 def normalize_pages_to_json(pages: DataFrame) -> DataFrame:
-    """Each page as JSON text under its own file name, for one distributed write."""
-    return decode_literal(pages).select("file_name", "json")
+    """Each page as JSON text under its own file name, for one distributed write. Pages of
+    several batches keep their ``batch_id``."""
+    batch = [c for c in ("batch_id",) if c in pages.columns]
+    return decode_literal(pages).select("file_name", "json", *batch)
 
 
 def process_pages(

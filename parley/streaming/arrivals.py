@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from parley.plans.runs import build_tables, decode_arrived, merge_batch
+from parley.plans.loading import add_step
+from parley.plans.runs import merge_batches
 from parley.plans.workspace import Workspace
 
 
@@ -32,19 +35,25 @@ def ingest_stream(
     redact: bool = False,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Load and merge every batch which got new pages.
+    """Load and merge the batches which got new pages.
 
-    Only new pages are decoded; the tables of a touched batch are made again from its decoded
-    pages, as pages of one batch belong together. The master orders batches by id, so late
+    Each arrival is one step for all its batches: new pages are read, decoded and parsed once,
+    and only the rows which they bring are added. The master orders batches by id, so late
     batches, late pages and steps which are repeated after a failure all give the same one.
     """
 
-    def merge(new: DataFrame, step: int) -> None:
+    def merge(new: DataFrame, number: int) -> None:
+        # Without the content: only the paths are listed.
         touched = sorted(r["batch_id"] for r in new.select("batch_id").distinct().collect())
-        for batch in touched:
-            decode_arrived(ws, batch, new.where(F.col("batch_id") == batch).drop("batch_id"), step)
-            build_tables(ws, batch, poll_channel, redact)
-            merge_batch(ws, batch)
+        if touched:
+            add_step(ws, new, f"{_query_id(ws, checkpoint)}-{number}", touched, poll_channel, redact)
+            merge_batches(ws, touched)
 
     writer = arrivals(ws).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def _query_id(ws: Workspace, checkpoint: str) -> str:
+    """The id of the query that a checkpoint belongs to: a new checkpoint counts from 0 again, and
+    its steps must not take the place of earlier ones."""
+    return json.loads(ws.spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]

@@ -1,11 +1,13 @@
 """Whole runs over raw page files, by batch, by replay and as a stream."""
 
 import itertools
+import shutil
 
 import pytest
 
 from parley.dialect import FLAT
-from parley.plans import runs
+from parley.plans import loading, runs
+from parley.plans.manifest import LOADING, record
 from parley.plans.workspace import MASTER, Workspace
 from parley.schemas import ENTITIES
 from parley.streaming.arrivals import ingest_stream
@@ -237,7 +239,7 @@ def test_redacted_load(spark, tmp_path, rows):
 def test_a_failed_write_is_no_empty_table(spark, tmp_path):
     ws = Workspace(spark, str(tmp_path))
     assert ws.table(FIRST, "user_data").count() == 0
-    (tmp_path / FIRST / "tables" / "user_data").mkdir(parents=True)
+    record(spark, ws.manifest_path, LOADING, [FIRST])
     with pytest.raises(RuntimeError, match="incomplete"):
         ws.table(FIRST, "user_data")
     (tmp_path / "metrics" / "tag_data").mkdir(parents=True)
@@ -249,20 +251,36 @@ def _texts(ws, rows):
     return [text for (text,) in rows(ws.master("message_data"), "text")]
 
 
-@pytest.fixture
-def three(tmp_path):
+def _three(home):
     """Three batches with a post of each and one which all of them change."""
     for i, batch in enumerate((FIRST, SECOND, THIRD)):
         posts = [_message("1588000000.000100", "U1", f"said in {i}"), _message(f"158800000{i + 1}.000100", "U1", f"only {i}")]
-        _export(tmp_path, batch, [("U1", f"ann {i}")], posts)
-    return tmp_path
+        _export(home, batch, [("U1", f"ann {i}")], posts)
+    return home
 
 
-@pytest.mark.parametrize("order", list(itertools.permutations((FIRST, SECOND, THIRD))))
-def test_any_order_of_merging_gives_one_master(spark, three, rows, order):
-    ws = Workspace(spark, str(three))
+@pytest.fixture
+def three(tmp_path):
+    return _three(tmp_path)
+
+
+@pytest.fixture(scope="module")
+def three_loaded(spark, tmp_path_factory):
+    home = _three(tmp_path_factory.mktemp("loaded"))
     for batch in (FIRST, SECOND, THIRD):
-        runs.load_batch(ws, batch)
+        runs.load_batch(Workspace(spark, str(home)), batch)
+    return home
+
+
+@pytest.fixture
+def loaded(three_loaded, tmp_path):
+    """A copy of the workspace with the three batches loaded."""
+    return shutil.copytree(three_loaded, tmp_path / "home")
+
+
+@pytest.mark.parametrize("order", list(itertools.permutations((FIRST, SECOND, THIRD))))
+def test_any_order_of_merging_gives_one_master(spark, loaded, rows, order):
+    ws = Workspace(spark, str(loaded))
     for i, batch in enumerate(order):
         runs.merge_batch(ws, batch)
         assert len(_texts(ws, rows)) == i + 2, "no batch is lost"
@@ -275,14 +293,14 @@ def test_any_order_of_merging_gives_one_master(spark, three, rows, order):
 def test_a_batch_counts_with_all_its_tables_or_not_at_all(spark, three, rows, monkeypatch):
     ws = Workspace(spark, str(three))
     runs.run(ws, FIRST, 1)
-    write = runs._write
+    write = loading.write_table
 
     def failing(df, path, *by):
         if path.endswith("/message_data"):
             raise OSError("lost")
         write(df, path, *by)
 
-    monkeypatch.setattr(runs, "_write", failing)
+    monkeypatch.setattr(loading, "write_table", failing)
     with pytest.raises(OSError, match="lost"):
         runs.load_batch(ws, SECOND)
     with pytest.raises(RuntimeError, match="not loaded completely"):
@@ -295,10 +313,9 @@ def test_a_batch_counts_with_all_its_tables_or_not_at_all(spark, three, rows, mo
     assert _texts(ws, rows) == ["only 0", "only 1", "said in 1"]
 
 
-def test_a_base_with_a_batch_that_changed_does_not_count(spark, three, rows):
-    ws = Workspace(spark, str(three))
+def test_a_base_with_a_batch_that_changed_does_not_count(spark, loaded, rows):
+    three, ws = loaded, Workspace(spark, str(loaded))
     for batch in (FIRST, THIRD):
-        runs.load_batch(ws, batch)
         runs.merge_batch(ws, batch)
     assert runs.compact(ws) == "v-00000001"
     assert ws.base_of(ws.merged())[0] == "v-00000001"
@@ -311,12 +328,35 @@ def test_a_base_with_a_batch_that_changed_does_not_count(spark, three, rows):
     assert _texts(ws, rows) == ["more", "only 0", "only 2", "said in 2"]
 
 
-def test_a_merge_copies_no_row(spark, three):
-    ws = Workspace(spark, str(three))
+def test_a_merge_copies_no_row(spark, loaded):
+    ws = Workspace(spark, str(loaded))
     for batch in (FIRST, SECOND):
-        runs.load_batch(ws, batch)
         runs.merge_batch(ws, batch)
-    assert not list((three / "master").rglob("*.parquet"))
+    assert not list((loaded / "master").rglob("*.parquet"))
+
+
+def test_a_failed_reload_leaves_the_batch_as_it_was(spark, three, rows, monkeypatch):
+    ws = Workspace(spark, str(three))
+    runs.load_batch(ws, FIRST)
+    runs.merge_batch(ws, FIRST)
+    write = loading.write_table
+
+    def failing(df, path, *by):
+        if path.endswith("/thread_data"):
+            raise OSError("lost")
+        write(df, path, *by)
+
+    _write(three, FIRST, "conversation_history", "C1", 1588327872000009, {"messages": [_message("1588000009.000100", "U1", "more")]})
+    monkeypatch.setattr(loading, "write_table", failing)
+    with pytest.raises(OSError, match="lost"):
+        runs.load_batch(ws, FIRST)
+    assert _texts(ws, rows) == ["only 0", "said in 0"]
+    monkeypatch.undo()
+    runs.load_batch(ws, FIRST)
+    assert _texts(ws, rows) == ["more", "only 0", "said in 0"]
+    runs.load_batch(ws, FIRST)
+    steps = list((three / "tables" / "message_data" / f"batch_id={FIRST}").glob("step=*"))
+    assert len(steps) == 2, "what the failure left behind is gone, the load before stays for its readers"
 
 
 def test_late_pages_after_a_late_batch(spark, three, tmp_path_factory, rows):
