@@ -165,7 +165,8 @@ _PRINT = pa.schema(
 def prints(docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
     """One row per row: size and signature of the set, bit sketch, join keys.
 
-    Of equal sets in a task only the first sends keys; the others are found by signature.
+    Of equal sets in a task only the first sends keys; the others are found by signature. A row
+    without id, which links with nothing, sends none.
     """
     prepare_workers(docs.sparkSession)
 
@@ -174,13 +175,14 @@ def prints(docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             rows: tuple[list, ...] = ([], [], [], [], [])
-            for text in batch.column(1):
+            for known, text in zip(batch.column(0).is_valid().to_pylist(), batch.column(1), strict=True):
                 hashes = shingles.of(text.as_py())
                 first, second = _signature(hashes) if len(hashes) else (0, 0)
-                keys = np.empty(0, np.int64) if first in seen else bands.keys(hashes)
+                keys = bands.keys(hashes) if known and first not in seen else np.empty(0, np.int64)
                 if len(seen) >= COPIES:
                     seen.clear()
-                seen.add(first)
+                if known:
+                    seen.add(first)
                 for column, value in zip(rows, (len(hashes), first, second, _bits(hashes), keys), strict=True):
                     column.append(value)
             columns = [batch.column(0)] + [pa.array(c, f.type) for c, f in zip(rows, list(_PRINT)[1:], strict=True)]

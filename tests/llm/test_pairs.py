@@ -262,3 +262,12 @@ def test_top_k_of_edges(spark):
 def test_op9_query(spark, folder):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     assert sorted(map(tuple, catalog()["op9_dual_tree_top_k"](spark, folder).collect())) == _best(rows, 10, 100)
+
+
+def test_a_copy_without_id_hides_no_link(spark):
+    """The text of a row without id comes first in its task; its copy still finds the near copy."""
+    words = [f"w{i}" for i in range(60)]
+    text, near = " ".join(words), " ".join(words[:-1])
+    docs = spark.createDataFrame([(None, text), (1, text), (2, near)], "doc_id long, text string").coalesce(1)
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs, words=4, part=85, whole=100).collect()}
+    assert found == {None: None, 1: 1, 2: 1}
