@@ -32,11 +32,12 @@ _DECODED = f"file_name string, json string, {_PARTS}, kind string"
 Steps = dict[str, frozenset[str]]
 
 
-def write_table(df: DataFrame, path: str, *by: str) -> None:
-    """Overwrite a table, or of a partitioned one the partitions which the rows fall into."""
-    # Readers take a table for complete by its success marker.
+def write_table(df: DataFrame, path: str, *by: str, whole: bool = False) -> None:
+    """Overwrite a table, or of a partitioned one the partitions which the rows fall into; with
+    ``whole`` all of them."""
+    # Readers take a table for complete by its success marker, if no manifest says so.
     marked = df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-    if by:
+    if by and not whole:
         marked = marked.option("partitionOverwriteMode", "dynamic")
     marked.mode("overwrite").partitionBy(*by).parquet(path)
 

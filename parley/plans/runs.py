@@ -18,6 +18,7 @@ from parley.operators.merge import SPECS, replay
 from parley.plans.base import BaseTable, Version, update_base, version_name, write_base, write_version
 from parley.plans.loading import load_batch, unreadable, write_table
 from parley.plans.manifest import MERGED, record
+from parley.plans.metrics import refresh
 from parley.plans.workspace import MASTER, View, Workspace
 from parley.sources.files import list_batches, remove
 
@@ -102,22 +103,29 @@ def derive_metrics(ws: Workspace, scope: str) -> list[str]:
         written.append(name)
         return ws.metric(scope, name)
 
-    table = ws.tables(scope)
+    view = ws.view()
+    table = view.table if scope == MASTER else lambda name: view.batch_table(name, scope)
     users, channels, reactions = table("user_data"), table("channel_data"), table("reaction_data")
-    threads = table("thread_data") if dialect.threads else None
     zone, country = (ws.reference("zone"), ws.reference("country")) if dialect.geo else (None, None)
 
-    conversation = put(
-        "conversation_data",
-        posts.conversations(table("message_data"), threads, users, zone, country, dialect),
-    )
+    if scope == MASTER:
+        # By day; only days which new batches touch are written.
+        refresh(ws, view)
+        written += ["conversation_data", "tag_data"]
+        conversation, tag = ws.metric(scope, "conversation_data"), ws.metric(scope, "tag_data")
+    else:
+        threads = table("thread_data") if dialect.threads else None
+        conversation = put(
+            "conversation_data",
+            posts.conversations(table("message_data"), threads, users, zone, country, dialect),
+        )
+        tag = put("tag_data", tags.extract_tags(conversation, users, dialect))
     put("useractive_data", members.user_activity(users, conversation, reactions, dialect))
     bounds = replies.post_bounds(conversation)
     put("conversation_timediff_data", replies.timediff_conversations(conversation, bounds))
     if dialect.threads:
         put("threads_timediff_data", replies.timediff_threads(conversation, bounds))
     put("users_timediff_data", replies.timediff_users(conversation, bounds, dialect))
-    tag = put("tag_data", tags.extract_tags(conversation, users, dialect))
     put("node_data", graph.nodes(users, channels, zone, country, dialect))
     if dialect.threads:
         put("edge_data", graph.edges(conversation, reactions, tag))

@@ -139,7 +139,8 @@ class Workspace:
     def metric(self, scope: str, name: str) -> DataFrame:
         if not self.is_written(self.metric_path(scope, name)):
             raise RuntimeError(f"{self.metric_path(scope, name)} is not there: derive it first")
-        return self.spark.read.parquet(self.metric_path(scope, name))
+        # Some metrics of the master lie in partitions by day.
+        return self.spark.read.parquet(self.metric_path(scope, name)).drop("day")
 
     def reference(self, name: str) -> DataFrame:
         return read_reference(self.spark, self.home, name, REFERENCES[name])
@@ -160,9 +161,10 @@ class View:
                 return version
         return None
 
-    def rows(self, name: str, batches: list[str]) -> DataFrame | None:
-        """The rows of a table over batches, with ``batch_id``; None where no batch has it."""
-        shown = {b: self.manifest.state(b).shown for b in batches if name in self.manifest.state(b).tables}
+    def rows(self, name: str, batches: list[str], steps: Mapping[str, Iterable[str]] | None = None) -> DataFrame | None:
+        """The rows of a table over batches, with ``batch_id``; None where no batch has it. Of
+        all steps that the tables show, or of those given."""
+        shown = {b: (steps or {}).get(b, self.manifest.state(b).shown) for b in batches if name in self.manifest.state(b).tables}
         if not any(shown.values()) or not exists(self.ws.spark, self.ws.table_root(name)):
             return None
         schema = StructType([*ENTITIES[name].fields]).add("batch_id", "string").add("step", "string")
