@@ -56,6 +56,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Words whose hashes a worker remembers, in each of two generations.
+WORDS = 100_000
+
+
 class Shingles:
     """The sorted distinct hashes of a text's word shingles."""
 
@@ -63,7 +67,7 @@ class Shingles:
         self.words = words
         factors = [_FACTORS[i % 5] + 2 * (i // 5) for i in range(words)]
         self.factors = [np.uint64(f) for f in factors]
-        self.hashes = Memo(xxhash.xxh3_64_intdigest)
+        self.hashes = Memo(xxhash.xxh3_64_intdigest, most=WORDS)
 
     def of(self, text: str | None) -> np.ndarray:
         found = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
@@ -156,17 +160,36 @@ def _bits(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(places.astype(np.uint8)).view(np.int64)
 
 
-PRINT = "doc_id bigint, n bigint, s1 bigint, s2 bigint, bits array<bigint>, keys array<bigint>"
-_PRINT = pa.schema(
-    [("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bits", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))]
-)
+PRINT = "doc_id bigint, n bigint, s1 bigint, s2 bigint, bits array<bigint>"
+_PRINT = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bits", pa.list_(pa.int64()))])
+_KEYS = pa.schema([("doc_id", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
 
-def prints(docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
-    """One row per row: size and signature of the set, bit sketch, join keys.
+def prints(docs: DataFrame, words: int) -> DataFrame:
+    """One row per row: size and signature of the set, bit sketch."""
+    prepare_workers(docs.sparkSession)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(words)
+        for batch in batches:
+            rows: tuple[list, ...] = ([], [], [], [])
+            for text in batch.column(1):
+                hashes = shingles.of(text.as_py())
+                signature = _signature(hashes) if len(hashes) else (0, 0)
+                for column, value in zip(rows, (len(hashes), *signature, _bits(hashes)), strict=True):
+                    column.append(value)
+            columns = [batch.column(0)] + [pa.array(c, f.type) for c, f in zip(rows, list(_PRINT)[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=_PRINT)
+
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(make, PRINT)
+
+
+def join_keys(docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
+    """(doc_id, keys): the join keys of each document's set.
 
     Of equal sets in a task only the first sends keys; the others are found by signature. A row
-    without id, which links with nothing, sends none.
+    without id, which links with nothing, sends none. Keys are many: they are made from the texts
+    in a pass of their own and go into the shuffle as they come, instead of being stored.
     """
     prepare_workers(docs.sparkSession)
 
@@ -174,21 +197,18 @@ def prints(docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
         shingles, bands = Shingles(words), Bands(part, whole)
         seen: set[int] = set()
         for batch in batches:
-            rows: tuple[list, ...] = ([], [], [], [], [])
-            for known, text in zip(batch.column(0).is_valid().to_pylist(), batch.column(1), strict=True):
+            keys = []
+            for text in batch.column(1):
                 hashes = shingles.of(text.as_py())
-                first, second = _signature(hashes) if len(hashes) else (0, 0)
-                keys = bands.keys(hashes) if known and first not in seen else np.empty(0, np.int64)
+                first = _signature(hashes)[0] if len(hashes) else 0
+                keys.append(np.empty(0, np.int64) if first in seen else bands.keys(hashes))
                 if len(seen) >= COPIES:
                     seen.clear()
-                if known:
-                    seen.add(first)
-                for column, value in zip(rows, (len(hashes), first, second, _bits(hashes), keys), strict=True):
-                    column.append(value)
-            columns = [batch.column(0)] + [pa.array(c, f.type) for c, f in zip(rows, list(_PRINT)[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, schema=_PRINT)
+                seen.add(first)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, _KEYS.field(1).type)], schema=_KEYS)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(make, PRINT)
+    known = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint"), "text")
+    return known.mapInArrow(make, "doc_id bigint, keys array<bigint>")
 
 
 def _distance(a: Column, b: Column) -> Column:
@@ -369,7 +389,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, whole: int
 
     Two texts link when whole * |intersection| >= part * |union| of their shingle sets.
     """
-    rows = stored(prints(docs, words, part, whole))
+    rows = stored(prints(docs, words))
     some = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(some.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.min("bits").alias("bits")))
     named = some.select("doc_id", "n", "s1", "s2").join(classes.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"])
@@ -377,7 +397,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, whole: int
     # a document with several texts joins the classes of all of them
     own = named.where(F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     several = named.groupBy("doc_id").agg(F.max("rep").alias("a"), F.min("rep").alias("b")).where(F.col("a") != F.col("b"))
-    buckets = stored(_buckets(some))
+    buckets = stored(_buckets(join_keys(docs, words, part, whole)))
     stars = stored(_plausible(_between_classes(_stars(buckets), named), classes, part, whole))
     links = stored(verify(stars, docs, words, part, whole)).union(several.select("a", "b"))
     joined = stored(components(links))
