@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from parley.dialect import FLAT
 from parley.functions import times
-from parley.operators import counts, feed, graph, members, merge, ordered, posts, replies, tags, texts
+from parley.operators import counts, feed, graph, members, merge, ordered, posts, replies, states, tags, texts
 from parley.operators.filters import activity, threaded
 from parley.plans import base
 from parley.plans.bindings import Tables, snowflake
@@ -66,6 +66,18 @@ def users_per_channel(t: Tables) -> DataFrame:
     return counts.users_per_channel(_posts(t))
 
 
+@_query
+def users_per_channel_merged(t: Tables) -> DataFrame:
+    """The same from the states of two parts of the posts. Users of the second part who are not
+    in the first are numbered on."""
+    rows = _posts(t).withColumn("_late", F.pmod(F.xxhash64("channel", "ts"), F.lit(3)) == 0)
+    early, late = rows.where(~F.col("_late")), rows.where("_late")
+    first = states.number_users(early)
+    numbers = states.number_users(late, first)
+    state = states.merge_states(states.user_states(early, first), states.user_states(late, numbers))
+    return states.users_of_states(state)
+
+
 @_query
 def max_per_channel(t: Tables) -> DataFrame:
     return counts.max_per_channel(_posts(t))

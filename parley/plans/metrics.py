@@ -19,16 +19,18 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from parley.operators import posts, tags
 from parley.plans.loading import write_table
 from parley.plans.manifest import BatchState, Manifest, append, read_log
 from parley.plans.workspace import MASTER, View, Workspace
+from parley.schemas import BY_DAY
 from parley.sources.files import exists, remove
 
 _LOG = """number bigint, places string,
     batches array<struct<batch: string, stamp: string, tables: array<string>, shown: array<string>>>"""
-_TABLES = ("conversation_data", "tag_data")
+_TABLES = tuple(BY_DAY)
 
 
 def day(time: str = "time") -> Column:
@@ -80,8 +82,8 @@ def _conversations(ws: Workspace, table: Callable[[str], DataFrame], days: list[
 
 
 def _stored(ws: Workspace, name: str) -> DataFrame:
-    # Spark takes the names of the partitions for dates, unless one is none.
-    return ws.spark.read.parquet(ws.metric_path(MASTER, name)).withColumn("day", F.col("day").cast("string"))
+    schema = StructType([*BY_DAY[name].fields]).add("day", "string")
+    return ws.spark.read.schema(schema).parquet(ws.metric_path(MASTER, name))
 
 
 def _days(rows: DataFrame) -> set[str]:

@@ -278,6 +278,7 @@ def oracles() -> dict[str, str]:
             " WHERE user_id IS NOT NULL GROUP BY 1, 2",
         ),
         "users_per_channel": _sql(_ACT, "SELECT channel, count(DISTINCT user_id) AS user_id FROM act WHERE user_id IS NOT NULL GROUP BY 1"),
+        "users_per_channel_merged": _sql(_ACT, "SELECT channel, count(DISTINCT user_id) AS user_id FROM act WHERE user_id IS NOT NULL GROUP BY 1"),
         "max_per_channel": _sql(
             _ACT,
             "SELECT channel, max(n) AS ts FROM (SELECT channel, user_id, count(ts) AS n FROM act"

@@ -36,7 +36,7 @@ from parley.operators.feed import change_feed
 from parley.operators.merge import FLAT_ENTITIES, SPECS, THREADED_ENTITIES, replay
 from parley.plans.base import Version, joined, read_base, read_versions, version_name
 from parley.plans.manifest import Manifest, read_manifest
-from parley.schemas import ENTITIES, REFERENCES
+from parley.schemas import BY_DAY, ENTITIES, REFERENCES
 from parley.sources.files import exists
 from parley.sources.tables import read_reference
 
@@ -139,8 +139,9 @@ class Workspace:
     def metric(self, scope: str, name: str) -> DataFrame:
         if not self.is_written(self.metric_path(scope, name)):
             raise RuntimeError(f"{self.metric_path(scope, name)} is not there: derive it first")
-        # Some metrics of the master lie in partitions by day.
-        return self.spark.read.parquet(self.metric_path(scope, name)).drop("day")
+        # A table in partitions may have no file to take its schema from.
+        reader = self.spark.read.schema(BY_DAY[name]) if name in BY_DAY else self.spark.read
+        return reader.parquet(self.metric_path(scope, name)).drop("day")
 
     def reference(self, name: str) -> DataFrame:
         return read_reference(self.spark, self.home, name, REFERENCES[name])

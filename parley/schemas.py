@@ -5,9 +5,9 @@ Fixed values: names, order and types of the columns, and the keys of the pages.
 
 from __future__ import annotations
 
-from pyspark.sql.types import IntegerType, StringType, StructType, TimestampNTZType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructType, TimestampNTZType
 
-_TYPES = {"string": StringType(), "int": IntegerType(), "timestamp_ntz": TimestampNTZType()}
+_TYPES = {"string": StringType(), "int": IntegerType(), "double": DoubleType(), "timestamp_ntz": TimestampNTZType()}
 
 
 def _table(columns: str) -> StructType:
@@ -97,6 +97,16 @@ CONVERSATION_COLUMNS = [
     "real_name", "name", "text", "city", "country", "iso",
 ]
 
+# Metrics of the master which lie in partitions by day.
+BY_DAY = {
+    "conversation_data": _table(
+        "channel string, type string, subtype string, ts string, thread_ts string, ts_int double,"
+        " time timestamp_ntz, user_id string, real_name string, name string, text string,"
+        " city string, country string, iso string"
+    ),
+    "tag_data": _table("channel string, ts string, tag string, nice_tag string, type string"),
+}
+
 NODE_COLUMNS = [
     "id", "label", "type", "name", "iso", "country", "city", "channel_type", "channel_class",
 ]

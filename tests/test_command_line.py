@@ -18,7 +18,7 @@ def calls(spark, monkeypatch):
     for name in ("run", "run_batch_then_master", "replay_all"):
         monkeypatch.setattr(command_line.runs, name, record(name, ["user_data", "tag_data"]))
     monkeypatch.setattr(command_line.runs, "compact", record("compact", "v-00000001"))
-    for name in ("export_tables", "export_metrics", "export_deltas", "load_database"):
+    for name in ("export_tables", "export_metrics", "export_deltas", "export_changes", "load_database"):
         monkeypatch.setattr(command_line.exports, name, record(name, []))
     return seen
 
@@ -52,7 +52,13 @@ def test_numbered_and_deltas(calls):
 
 def test_compact(calls):
     assert command_line.main(["compact", "home"]) == ["v-00000001"]
-    assert calls == [("compact", "home", THREADED)]
+    command_line.main(["compact", "home", "--whole"])
+    assert calls == [("compact", "home", THREADED, False), ("compact", "home", THREADED, True)]
+
+
+def test_changes(calls):
+    command_line.main(["changes", "home", "--flat"])
+    assert calls == [("export_changes", "home", FLAT)]
 
 
 def test_load(calls, tmp_path):
