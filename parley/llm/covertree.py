@@ -8,10 +8,11 @@ merged per query. Scores are whole numbers and exact; only pairs that cannot ent
 left out.
 
 Nulls and edges: vectors that are null, empty, or hold null or non-finite components take no
-part, nor do those with a scaled component of 2 ** 28 or more (their score could exceed 64
-bits) or of another length than most; ties go to the smaller id; rows with the query's own id
-are no candidates; rows with equal ids and vectors are separate candidates; fewer candidates
-than k give shorter lists; other columns are ignored.
+part; vectors of each length are searched among themselves; components of any size count, in
+integers as long as needed, and a score beyond 64 bits is ranked as a double and given as the
+nearest that has 64 (a component whose scaled value is no double takes no part); ties go to the smaller id; rows with the query's own id are no candidates; rows with equal ids
+and vectors are separate candidates; fewer candidates than k give shorter lists; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -23,13 +24,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import prepare_workers
+from parley.llm.common import prepare_workers, stored
 
 #: Candidates and queries in a block.
 BLOCK, QUERIES = 4096, 1024
 #: Nodes of so few points are not divided further.
 LEAF = 24
-_LARGEST = float(1 << 28)
+_WORD = 2.0**63
 
 
 @dataclass
@@ -85,12 +86,14 @@ class Search:
 
     def __init__(self, queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int):
         largest = max(np.abs(queries).max(initial=0), np.abs(data).max(initial=0))
-        # doubles hold the sums exactly below 2 ** 53
-        kind = np.float64 if largest * largest * data.shape[1] < 2.0**53 else np.int64
-        self.queries, self.data = queries.astype(kind), data.astype(kind)
+        # doubles hold the sums exactly below 2 ** 53, words below 2 ** 63
+        most = largest * largest * data.shape[1]
+        kind = np.float64 if most < 2.0**53 else np.int64 if most < _WORD / 2 else object
+        self.queries, self.data = _whole(queries, kind), _whole(data, kind)
+        self.kind = object if kind is object else np.int64
         self.query_ids, self.ids, self.k = query_ids, ids, k
         self.query_norms = np.sqrt((queries**2).sum(axis=1))
-        self.best = [np.empty((0, 2), np.int64)] * len(queries)
+        self.best = [np.empty((0, 2), self.kind)] * len(queries)
         self.worst = np.full(len(queries), -np.inf)
         self.compared = 0
 
@@ -103,12 +106,17 @@ class Search:
         scores = self.queries[queries] @ self.data[points].T
         self.compared += scores.size
         for row, query in zip(scores, queries, strict=True):
-            enters = (row >= self.worst[query]) & (self.ids[points] != self.query_ids[query])
+            # in doubles on both sides: rounding keeps the order
+            enters = (row.astype(float) >= self.worst[query]) & (self.ids[points] != self.query_ids[query])
             if not enters.any():
                 continue
-            new = np.column_stack([row[enters].astype(np.int64), self.ids[points[enters]]])
+            new = np.column_stack([row[enters].astype(self.kind), self.ids[points[enters]]])
             merged = np.concatenate([self.best[query], new])
-            merged = merged[np.lexsort((merged[:, 1], -merged[:, 0]))][: self.k]
+            if self.kind is object:
+                order = sorted(range(len(merged)), key=lambda i: (-merged[i, 0], merged[i, 1]))
+            else:
+                order = np.lexsort((merged[:, 1], -merged[:, 0]))
+            merged = merged[order][: self.k]
             self.best[query] = merged
             if len(merged) == self.k:
                 self.worst[query] = merged[-1, 0]
@@ -137,21 +145,21 @@ class Search:
     def _single(self, group: Node, points: np.ndarray) -> None:
         """A query group against single points, whose radius is zero."""
         members = self._below(group)
-        bounds = self.data[points] @ group.centre + group.radius * np.sqrt((self.data[points].astype(float) ** 2).sum(axis=1))
+        bounds = self.data[points].astype(float) @ group.centre + group.radius * np.sqrt((self.data[points].astype(float) ** 2).sum(axis=1))
         close = bounds * (1 + 1e-9) + 1 >= self.worst[members].min()
         if close.any():
             self._compare(members, points[close])
 
     def _points(self, queries: np.ndarray, node: Node) -> None:
         """Single queries against a node; each is judged by its own list."""
-        bounds = self.queries[queries] @ node.centre + self.query_norms[queries] * node.radius
+        bounds = self.queries[queries].astype(float) @ node.centre + self.query_norms[queries] * node.radius
         queries = queries[bounds * (1 + 1e-9) + 1 >= self.worst[queries]]
         if not len(queries):
             return
         if len(node.points):
             self._compare(queries, node.points)
         if node.children:
-            middle = self.queries[queries].mean(axis=0)
+            middle = self.queries[queries].astype(float).mean(axis=0)
             for child in self._by_bound(middle, node.children):
                 self._points(queries, child)
 
@@ -162,20 +170,26 @@ class Search:
         return sorted(nodes, key=lambda n: -(float(centre @ n.centre) + length * n.radius))
 
 
-def scaled(column: Column, factor: float) -> Column:
-    return F.transform(column, lambda x: F.floor(x.cast("double") * factor))
+def _whole(values: np.ndarray, kind: type) -> np.ndarray:
+    """Whole doubles as numbers of a kind."""
+    if kind is not object:
+        return values.astype(kind)
+    return np.array([[int(x) for x in row] for row in values.tolist()], dtype=object).reshape(values.shape)
 
 
-def _search(key: tuple, queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
+def _search(key: tuple, queries: pd.DataFrame, data: pd.DataFrame, k: int, factor: float) -> pd.DataFrame:
     if not len(queries) or not len(data):
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-    search = Search(
-        np.array(queries["v"].tolist()), queries["vec_id"].to_numpy(), np.array(data["v"].tolist()), data["vec_id"].to_numpy(), k
-    )
+        return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "size": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "int64", "size": float})
+    left, right = (np.floor(np.array(side["v"].tolist(), dtype=float) * factor) for side in (queries, data))
+    search = Search(left, queries["vec_id"].to_numpy(), right, data["vec_id"].to_numpy(), k)
     search.run()
     found = [np.column_stack([np.full(len(b), q), b]) for q, b in zip(search.query_ids, search.best, strict=True)]
-    table = np.concatenate(found) if found else np.empty((0, 3), np.int64)
-    return pd.DataFrame({"query_id": table[:, 0], "vec_id": table[:, 2], "score": table[:, 1]})
+    table = np.concatenate(found)
+    scores = table[:, 1]
+    sizes = scores.astype(float)
+    if search.kind is object:
+        scores = np.array([max(-(2**63), min(2**63 - 1, int(s))) for s in scores], np.int64)
+    return pd.DataFrame({"query_id": table[:, 0].astype(np.int64), "vec_id": table[:, 2].astype(np.int64), "score": scores, "size": sizes})
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 10, factor: float = 1024.0) -> DataFrame:
@@ -184,29 +198,30 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, factor: float = 1024.0
     A condition on ``vec_id`` names the queries; all rows are candidates.
     """
     prepare_workers(rows.sparkSession)
-    # only what can be scaled is; the bound keeps sums within 64 bits
-    fits = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * factor < _LARGEST))
+    limit = F.lit(1.7e308 / max(factor, 1.0))
+    fits = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) <= limit))
     good = rows.where(F.col("vec_id").isNotNull() & F.coalesce(fits, F.lit(False)) & (F.size("embedding") > 0))
-    sizes = good.groupBy(F.size("embedding").alias("n")).agg(F.count(F.lit(1)).alias("rows"), F.count_if(is_query).alias("queries"))
-    found = sizes.orderBy(F.desc("rows"), F.desc("n")).first()
-    dimension, n_rows, n_queries = (found["n"], found["rows"], found["queries"]) if found else (0, 0, 0)
-    blocks, query_blocks = max(1, -(-n_rows // BLOCK)), max(1, -(-n_queries // QUERIES))
-    vectors = good.where(F.size("embedding") == dimension).select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled(F.col("embedding"), factor).alias("v"))
+    vectors = good.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), F.size("embedding").alias("n"))
+    # one row for each length of vectors
+    counted = vectors.groupBy("n").agg(F.count(F.lit(1)).alias("rows"), F.count_if(is_query).alias("wanted")).where("wanted > 0")
+    sizes = counted.select("n", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("wanted") / QUERIES).cast("int").alias("parts"))
+    vectors = vectors.join(F.broadcast(stored(sizes)), "n")
 
-    def spread(part: DataFrame, own: str, own_count: int, other: str, other_count: int, seed: int) -> DataFrame:
+    def spread(part: DataFrame, own: str, own_count: str, other: str, other_count: str, seed: int) -> DataFrame:
         """Rows in blocks of their own, sent to every block of the other side."""
-        block = F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(own_count)).cast("int").alias(own)
-        everywhere = F.explode(F.sequence(F.lit(0), F.lit(other_count - 1))).alias(other)
-        return part.select("vec_id", "v", block, everywhere)
+        block = F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.col(own_count)).cast("int").alias(own)
+        everywhere = F.explode(F.sequence(F.lit(0), F.col(other_count) - 1)).alias(other)
+        # columns of their own, as both sides come from one table
+        return part.select(*[F.col(c).alias(c) for c in ("vec_id", "v", "n")], block, everywhere)
 
-    data = spread(vectors, "block", blocks, "queries", query_blocks, 1)
-    queries = spread(vectors.where(is_query), "queries", query_blocks, "block", blocks, 2)
+    data = spread(vectors, "block", "blocks", "queries", "parts", 1)
+    queries = spread(vectors.where(is_query), "queries", "parts", "block", "blocks", 2)
 
     def search(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _search(key, left, right, k)
+        return _search(key, left, right, k, factor)
 
-    pairs = queries.groupBy("block", "queries").cogroup(data.groupBy("block", "queries"))
-    best = pairs.applyInPandas(search, "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    pairs = queries.groupBy("n", "block", "queries").cogroup(data.groupBy("n", "block", "queries"))
+    best = pairs.applyInPandas(search, "query_id bigint, vec_id bigint, score bigint, size double")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("size"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -13,8 +13,8 @@ central class is a hub, and whoever lies within half the angle of the threshold
 joins the hub's ball: any two of a ball are within the whole angle, so they link without a
 look at the pair, and only pairs that are not of one ball are compared.
 
-Nulls and edges: vectors that are null, empty, zero, or hold null or non-finite components, and
-those of another length than most, link with nothing; equal vectors link; rows that share a
+Nulls and edges: vectors that are null, empty, zero, or hold null or non-finite components link
+with nothing; vectors of each length are compared among themselves; equal vectors link; rows that share a
 ``vec_id`` stay rows and share links; a null ``vec_id`` links with nothing and has a null
 component; an empty table gives no rows; other columns are ignored.
 """
@@ -177,10 +177,20 @@ def near_vectors(rows: DataFrame, threshold: float = 0.9) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row (vec_id, embedding)."""
     prepare_workers(rows.sparkSession)
     everything = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
-    good = everything.where(usable("vector") & F.col("vec_id").isNotNull())
-    lengths = good.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    dimension = lengths["n"] if lengths else 0
-    good = good.where(F.size("vector") == dimension)
+    valid = F.coalesce(usable("vector") & F.col("vec_id").isNotNull(), F.lit(False))
+    good = everything.where(valid)
+    # vectors of each length are compared among themselves
+    lengths = sorted(r["n"] for r in good.select(F.size("vector").alias("n")).distinct().collect())
+    per_class = everything.sparkSession.createDataFrame([], "vector array<double>, n_links bigint, component_id bigint")
+    for length in lengths:
+        per_class = per_class.union(_linked_classes(good.where(F.size("vector") == length), threshold))
+    found = everything.withColumn("vector", F.when(valid, F.col("vector"))).join(per_class, "vector", "left")
+    component = F.coalesce("component_id", "vec_id")
+    return found.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+
+
+def _linked_classes(good: DataFrame, threshold: float) -> DataFrame:
+    """(vector, n_links, component_id) for the distinct vectors of one length."""
     classes = stored(good.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
     count = classes.count()
     if count:
@@ -205,12 +215,8 @@ def near_vectors(rows: DataFrame, threshold: float = 0.9) -> DataFrame:
     others = of_pairs.union(of_ball).groupBy("a").agg(F.sum("copies").alias("linked"))
     named = classes.select("vector", "rep", "copies").join(others, F.col("rep") == F.col("a"), "left").drop("a")
     named = named.join(joined, F.col("rep") == F.col("node"), "left")
-    per_class = named.select(
+    return named.select(
         "vector",
         (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
         F.coalesce("component", "rep").alias("component_id"),
     )
-    valid = F.coalesce(usable("vector") & F.col("vec_id").isNotNull() & (F.size("vector") == dimension), F.lit(False))
-    found = everything.withColumn("vector", F.when(valid, F.col("vector"))).join(per_class, "vector", "left")
-    component = F.coalesce("component_id", "vec_id")
-    return found.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))

@@ -255,10 +255,55 @@ def test_top_k_of_edges(spark):
     frame = spark.createDataFrame([(*r, None, None, None, None) for r in rows], VECTORS)
     found = covertree.top_k(frame, F.col("vec_id") % 100 == 0, 10)
     valid = [(i, v) for i, v in rows if i in (0, 1, 2, 500) and len(v) == 2]
-    assert sorted(map(tuple, found.collect())) == _best(valid, 10, 100)
+    # one component is far beyond 64 bits: its products are given as the nearest long
+    huge = float(np.float32(1e30))
+    lists = {0: [], 500: [], 400: []}
+    for query, own in [(0, [1.0, 2.0]), (500, [0.0, 0.0]), (400, [huge, 1.0])]:
+        scaled = [int(1024 * x) for x in own]
+        for i, v in [*valid, (400, [huge, 1.0])]:
+            if i != query:
+                score = sum(a * int(np.floor(1024 * x)) for a, x in zip(scaled, v))
+                lists[query].append((-score, i))
+    want = [(q, r, i, max(-(2**63), min(2**63 - 1, -s))) for q, of in lists.items() for r, (s, i) in enumerate(sorted(of), 1)]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
     assert covertree.top_k(frame.where("false"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+@pytest.mark.parametrize("size", [1.0, 1e4, 1e6, 1e12])
+def test_top_k_of_large_components_and_several_lengths(spark, monkeypatch, size):
+    """Every length is searched for itself; sums beyond 53 and 63 bits stay exact."""
+    rng = np.random.default_rng(int(size) % 97)
+    monkeypatch.setattr(covertree, "BLOCK", 40)
+    rows = []
+    for length, count in ((3, 90), (5, 30), (8, 12), (1, 1)):
+        # small leading components keep the sums of products within 64 bits
+        scale = np.where(np.arange(length) == 0, min(size, 1e6), 1.0)
+        rows += [(len(rows) + i, (rng.normal(size=length) * scale).tolist()) for i in range(count)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = []
+    for i, v in rows:
+        if i % 5 == 0:
+            left = [int(np.floor(1024 * x)) for x in v]
+            scores = sorted((-sum(a * int(np.floor(1024 * x)) for a, x in zip(left, w)), j) for j, w in rows if j != i and len(w) == len(v))
+            want += [(i, rank, j, -s) for rank, (s, j) in enumerate(scores[:10], 1)]
+    assert all(abs(s) < 2**63 for *_, s in want)
+    assert sorted(map(tuple, covertree.top_k(frame, F.col("vec_id") % 5 == 0).collect())) == sorted(want)
+
+
+def test_near_vectors_of_several_lengths(spark):
+    """A minority of another length keeps its links."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(60)]
+    for i in range(10):
+        base = rng.normal(size=24)
+        rows += [(100 + 2 * i, base.tolist()), (101 + 2 * i, (base * 2).tolist())]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert len(found) == 80
+    for i in range(10):
+        assert found[100 + 2 * i] == found[101 + 2 * i] == (1, 100 + 2 * i)
+    assert all(n == 0 for v, (n, _) in found.items() if v < 60)
+
+
 def test_op9_query(spark, folder):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     assert sorted(map(tuple, catalog()["op9_dual_tree_top_k"](spark, folder).collect())) == _best(rows, 10, 100)
