@@ -153,6 +153,8 @@ def rules() -> list[Rule]:
     return [Rule(i, *values) for i, values in enumerate(framed)]
 
 
+#: Matches that are appended to one list.
+PART = 256
 _SCHEMA = "array<struct<keyword:string,rules:array<struct<order:int,label:string,pattern:string,priority:int>>>>"
 #: ASCII signs outside words, and capitals with their small letters.
 _SIGNS = "".join(chr(c) for c in (*range(1, 48), *range(58, 65), *range(91, 97), *range(123, 128)))
@@ -183,15 +185,29 @@ def _intervals(words: Column, rule: Column) -> Column:
             rule["order"].alias("order"), rule["label"].alias("label"),
         )
 
-    empty = F.array().cast("array<struct<start:int,minus_end:int,priority:int,order:int,label:string>>")
+    interval_type = "array<struct<start:int,minus_end:int,priority:int,order:int,label:string>>"
+    none = F.array().cast(interval_type)
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + pair["gap"]
         found = F.concat(state["found"], F.array(interval(start, pair["own"])))
         return F.struct((start + pair["own"]).alias("at"), found.alias("found"))
 
-    begin = F.struct(F.lit(0).alias("at"), empty.alias("found"))
-    return F.aggregate(pairs, begin, step, lambda state: state["found"])
+    def run(state: Column, part: Column) -> Column:
+        inner = F.aggregate(part, F.struct(state["at"].alias("at"), none.alias("found")), step)
+        # a list of one, so that the part is gone through once
+        both = F.transform(F.array(inner), lambda i: F.struct(i["at"].alias("at"), F.concat(state["found"], F.array(i["found"])).alias("found")))
+        return both[0]
+
+    def whole(all_pairs: Column) -> Column:
+        # appending copies what is there, so matches are appended in parts, and parts to the whole
+        numbers = F.sequence(F.lit(0), F.floor(F.size(all_pairs) / PART).cast("int"))
+        parts = F.transform(numbers, lambda i: F.slice(all_pairs, i * PART + 1, PART))
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{interval_type}>").alias("found"))
+        return F.aggregate(parts, begin, run, lambda state: F.flatten(state["found"]))
+
+    # a list of one again: the pairs are made once
+    return F.transform(F.array(pairs), whole)[0]
 
 
 def _survivors(intervals: Column) -> Column:

@@ -1,6 +1,7 @@
 """Languages, quality, licences, shards and the pipeline: brute force and held-out rows."""
 
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -172,6 +173,16 @@ def test_op5_query_and_edges(spark, folder, edge_docs, no_docs, compiled):
     assert licenses.scan(no_docs).count() == 0
 
 
+def test_a_text_full_of_licences_takes_no_quadratic_time(spark):
+    """The square of 80,000 matches would take minutes."""
+    frame = spark.createDataFrame([(1, "gpl bsd " * 40_000)], "doc_id long, text string")
+    begin = time.monotonic()
+    found = licenses.scan(frame).first()
+    assert found["labels"] == "bsd,gpl" and found["n_words"] == 80_000
+    assert time.monotonic() - begin < 60
+
+
+
 # -- languages ------------------------------------------------------------------------------------
 
 
