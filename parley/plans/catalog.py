@@ -156,34 +156,41 @@ def user_activity_b(t: Tables) -> DataFrame:
 _DIFF = ["channel", "ts", "thread_ts", "user_id", "text", "diff"]
 
 
+def _kept(rows: DataFrame) -> DataFrame:
+    """Rows as a run has them: stored, as the bounds and the measure read them several times."""
+    path = f"{require_checkpoint_dir(rows.sparkSession)}/posts-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 @_query
 def timediff_conversations(t: Tables) -> DataFrame:
-    rows = _posts(t)
+    rows = _kept(_posts(t))
     return replies.timediff_conversations(rows, replies.post_bounds(rows)).select(*_DIFF)
 
 
 @_query
 def timediff_threads(t: Tables) -> DataFrame:
-    rows = _posts(t)
+    rows = _kept(_posts(t))
     return replies.timediff_threads(rows, replies.post_bounds(rows)).select(*_DIFF)
 
 
 @_query
 def timediff_users(t: Tables) -> DataFrame:
-    rows = _posts(t)
+    rows = _kept(_posts(t))
     return replies.timediff_users(rows, replies.post_bounds(rows)).select(*_DIFF)
 
 
 @_query
 def timediff_users_b(t: Tables) -> DataFrame:
-    rows = t.message_b()
+    rows = _kept(t.message_b())
     return replies.timediff_users(rows, replies.post_bounds(rows), FLAT).select(*_DIFF)
 
 
 @_query
 def timediff_sliced(t: Tables) -> DataFrame:
     """The channel measure with its order cut into small slices, as a large channel has it."""
-    rows = _posts(t)
+    rows = _kept(_posts(t))
     bounds = replies.post_bounds(rows, rows_per_slice=2000)
     return replies.timediff_conversations(rows, bounds).select(*_DIFF)
 
