@@ -311,7 +311,7 @@ def merge_counts(t: Tables) -> DataFrame:
     return merge.merge_counts(merge.changes(*t.order_batches(), _BY_ORDER))
 
 
-_BY_CUSTOMER = merge.EntitySpec("orders", ("o_custkey",), ("o_custkey", "o_orderkey", "o_orderstatus"))
+_ORDERS_OF_CUSTOMERS = merge.EntitySpec("orders", ("o_custkey",), ("o_custkey", "o_orderkey", "o_orderstatus"))
 
 
 def _order_years(t: Tables) -> DataFrame:
@@ -322,7 +322,7 @@ def _order_years(t: Tables) -> DataFrame:
 @_query
 def replay(t: Tables) -> DataFrame:
     """Orders of the last year of each customer."""
-    return merge.replay(_order_years(t), _BY_CUSTOMER)
+    return merge.replay(_order_years(t), _ORDERS_OF_CUSTOMERS)
 
 
 _LINES = merge.EntitySpec(
@@ -348,7 +348,7 @@ def replay_first_seen(t: Tables) -> DataFrame:
 @_query
 def change_feed(t: Tables) -> DataFrame:
     """What each year of orders inserted and updated."""
-    return feed.change_feed(_order_years(t), _BY_CUSTOMER)
+    return feed.change_feed(_order_years(t), _ORDERS_OF_CUSTOMERS)
 
 
 @_query
@@ -359,7 +359,7 @@ def change_feed_first_seen(t: Tables) -> DataFrame:
 
 @_query
 def feed_counts(t: Tables) -> DataFrame:
-    return feed.feed_counts(feed.change_feed(_order_years(t), _BY_CUSTOMER))
+    return feed.feed_counts(feed.change_feed(_order_years(t), _ORDERS_OF_CUSTOMERS))
 
 
 def _orders_as_reactions(t: Tables) -> DataFrame:
