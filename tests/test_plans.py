@@ -16,7 +16,7 @@ DECODING = {
     "private_channels",
 }
 # One task sees one row per partition (index), per column set (sizes) or a top list.
-ONE_TASK = {"page_offset_index", "row_index", "size_varchar"}
+ONE_TASK = {"page_offset_index", "row_index", "size_varchar", "users_per_channel_merged"}
 
 
 def _plan(spark, name):
