@@ -27,6 +27,9 @@ PAGE_PREFIXES = {
 
 _PAGES = "file_name string, value string"
 
+#: Bytes in an Arrow batch of pages. A page has any length, and a worker holds several copies of a batch.
+BATCH_BYTES = 4 << 20
+
 
 def read_pages(spark: SparkSession, home: str, batch: str, kind: str | None = None) -> DataFrame:
     """The pages of a batch, or those of one kind, in one listing and one read.
@@ -135,12 +138,22 @@ def literal_json(value: Column | str) -> Column:
     return convert(value)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of pages small, so that the memory of a Python worker does not follow
+    the number of pages in its task. A smaller size of the caller stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if held > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def decode_literal(pages: DataFrame) -> DataFrame:
     """Add the page as JSON text. A page which cannot be parsed gets null (``bad_pages``).
 
     The tokens ``None``, ``True`` and ``False`` are no JSON, and replacing them would change
     message texts too, so this one step needs Python.
     """
+    small_batches(pages.sparkSession)
     return pages.withColumn("json", literal_json("value"))
 
 

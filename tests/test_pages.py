@@ -4,10 +4,12 @@ from datetime import datetime
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from parley.sources import page_tables
 from parley.sources.files import list_batches, newest_batch
 from parley.sources.pages import (
+    BATCH_BYTES,
     bad_pages,
     decode_literal,
     normalize_pages_to_json,
@@ -303,3 +305,29 @@ def test_votes_and_menus_of_a_large_page_take_linear_time(spark):
     assert time.monotonic() - begin < 20
     assert len(votes) == 20_000
     assert all(v["text"].split()[1] == str(v["vote_count"]) for v in votes)
+
+
+def test_batches_of_pages_are_small_whatever_their_number(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def most(limit):
+        """The most bytes of values that a worker was given at once."""
+
+        def sizes(batches):
+            for batch in batches:
+                yield pd.DataFrame({"n": [int(batch["value"].str.len().sum())]})
+
+        spark.conf.set(key, limit)
+        text = F.concat(F.lit("['"), F.repeat(F.lit("x"), 100_000), F.lit("']"))
+        named = spark.range(0, 200, 1, 1).select(F.col("id").cast("string").alias("file_name"), text.alias("value"))
+        found = decode_literal(named).select("value").mapInPandas(sizes, "n bigint").collect()
+        assert sum(r.n for r in found) == 200 * 100_004
+        return max(r.n for r in found)
+
+    before = spark.conf.get(key)
+    try:
+        assert most("64MB") <= BATCH_BYTES + 200_000
+        assert most("1MB") <= 1_300_000
+        assert spark.conf.get(key) == "1MB"
+    finally:
+        spark.conf.set(key, before)
