@@ -201,16 +201,18 @@ def process_pages(
 ) -> DataFrame:
     """Run a user function on every decoded page: ``function(infile, result, **arguments)``.
 
-    ``result`` is the parsed page; the returned frame must have the columns of ``schema``.
+    ``result`` is the parsed page; the returned frame must have the columns of ``schema``. Pages
+    that cannot be parsed are left out here: as a filter of the plan, this would decode all twice.
     """
+    small_batches(pages.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import json
 
         for batch in batches:
             for name, text in zip(batch["file_name"], batch["json"]):
-                yield function(infile=name, result=json.loads(text), **arguments)
+                if text is not None:
+                    yield function(infile=name, result=json.loads(text), **arguments)
 
     decoded = pages if "json" in pages.columns else decode_literal(pages)
-    readable = decoded.where(F.col("json").isNotNull()).select("file_name", "json")
-    return readable.mapInPandas(run, schema)
+    return decoded.select("file_name", "json").mapInPandas(run, schema)

@@ -256,6 +256,16 @@ def test_user_function_sees_every_page(pages, rows):
     assert rows(got, "n") == [(0,), (1,), (2,)]
 
 
+def test_pages_for_a_user_function_are_decoded_once(spark, rows):
+    def sizes(infile, result):
+        return pd.DataFrame({"file": [infile], "n": [len(result)]})
+
+    raw = spark.createDataFrame([("a", "[1, 2]"), ("b", "no literal"), ("c", None), ("d", "[]")], "file_name string, value string")
+    got = process_pages(raw, sizes, "file string, n bigint")
+    assert rows(got) == [("a", 2), ("d", 0)]
+    assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_any_printed_value_comes_back(spark):
     """Nested values with awkward strings, printed and decoded again."""
     dice = random.Random(3)
