@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parley.llm.common import Memo, id_filter, prepare_workers, stored
+from parley.llm.common import id_filter, prepare_workers, stored
 from parley.llm.components import components
 
 #: Odd factors of the hashes, one per word of a shingle and for mixing.
@@ -63,7 +63,6 @@ class Shingles:
         self.words = words
         factors = [_FACTORS[i % 5] + 2 * (i // 5) for i in range(words)]
         self.factors = [np.uint64(f) for f in factors]
-        self.hashes = Memo(xxhash.xxh3_64_intdigest)
 
     def of(self, text: str | None) -> np.ndarray:
         found = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
@@ -71,7 +70,8 @@ class Shingles:
             return np.empty(0, np.uint64)
         if len(found) < self.words:
             return np.array([xxhash.xxh3_64_intdigest(b" ".join(found))], np.uint64)
-        hashes = np.fromiter(map(self.hashes.__getitem__, found), np.uint64, len(found))
+        # a word is hashed faster than it is looked up, and nothing is remembered
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
         count = len(hashes) - self.words + 1
         total = hashes[:count] * self.factors[0]
         for i in range(1, self.words):

@@ -37,6 +37,8 @@ from parley.llm.common import prepare_workers, shared_folder, stored
 ORDER = 4
 #: Words counted or remembered in a task before they are summed up or dropped.
 MOST_WORDS = 300_000
+#: New pieces, and texts, that are scored together: hashes of all their letters are held several times over.
+TOGETHER, TEXTS = 20_000, 250
 DEVIATIONS = 8.0
 UNDETERMINED = "und"
 #: Marks of the start and the end of a word; no letter has these code points.
@@ -264,12 +266,14 @@ class _Scorer:
         self.matrix = np.zeros((1 << 12, len(self.models.languages) + 1), np.float32)
 
     def learn(self, pieces: set[str]) -> None:
-        """Score the new pieces, all at once."""
+        """Score the new pieces, some at a time."""
         if len(self.rows) > MOST_WORDS:
             self._forget()
         new = [p for p in pieces if p not in self.rows]
-        if not new:
-            return
+        for at in range(0, len(new), TOGETHER):
+            self._add(new[at : at + TOGETHER])
+
+    def _add(self, new: list[str]) -> None:
         words, owner = [], []
         for i, piece in enumerate(new):
             for word in letter_words(piece):
@@ -303,7 +307,7 @@ def entropies(docs: DataFrame, models: Models) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
         languages = shared.value.languages
-        for batch in batches:
+        for batch in (whole.slice(at, TEXTS) for whole in batches for at in range(0, whole.num_rows, TEXTS)):
             texts = [(t or "").lower().split() for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
             out: tuple[list, ...] = ([], [], [], [], [])
             if languages:

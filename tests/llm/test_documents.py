@@ -2,6 +2,7 @@
 
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -263,6 +264,24 @@ def test_models_hold_all_languages_and_grams(spark):
     assert [models.languages[i] for i in best] == [r[0] for r in rows[1:]]
 
 
+def test_new_words_are_scored_some_at_a_time(spark):
+    """A batch full of new words takes memory for some of them, and gives the same scores."""
+    train = spark.createDataFrame([("a", "banana band abba"), ("b", "cello bell lob")], "lang string, text string")
+    models = langid.learn(train)
+    letters = "abcdelno"
+    words = ["".join(letters[i >> shift & 7] for shift in range(0, 18, 3)) + "bell" for i in range(80_000)]
+    expected = [models.word_scores([w])[0] for w in words[:50_000:10_000]]
+    tracemalloc.start()
+    try:
+        scorer = langid._Scorer(models)
+        scorer.learn(set(words))
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
+    for word, row in zip(words[:50_000:10_000], expected, strict=True):
+        assert scorer.text([word]) == pytest.approx(row, rel=1e-6)
+
+
 def test_op3_on_held_out_documents(spark):
     rows = catalog()["op3_kneser_ney_languages"](spark, ENOUGH).collect()
     docs = {r.doc_id: r for r in _read(spark, ENOUGH, "documents").collect()}

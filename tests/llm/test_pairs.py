@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -316,3 +317,16 @@ def test_a_copy_without_id_hides_no_link(spark):
     docs = spark.createDataFrame([(None, text), (1, text), (2, near)], "doc_id long, text string").coalesce(1)
     found = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs, words=4, part=85, whole=100).collect()}
     assert found == {None: None, 1: 1, 2: 1}
+
+
+def test_shingles_remember_no_words():
+    """A worker's memory does not grow with the distinct words of its texts."""
+    shingles = jaccard.Shingles(5)
+    shingles.of("some words to begin with, more than five")
+    tracemalloc.start()
+    try:
+        for i in range(100):
+            assert len(shingles.of(" ".join(f"word{i}x{j}" for j in range(200)))) == 196
+        assert tracemalloc.get_traced_memory()[0] < 200_000
+    finally:
+        tracemalloc.stop()
