@@ -13,7 +13,8 @@ too, and its partners do the same, so no link is lost.
 A bucket gives no list of pairs: its members are paired with the most central one, pairs are
 verified on the whole sets, and only where a bucket still holds several components are their
 members compared across, inside its group. A bit sketch (each shingle flips one bit, so the Hamming distance is
-again a lower bound) sorts out pairs before texts are moved.
+again a lower bound) sorts out pairs before texts are moved. It has about as many bits as there are shingles, as
+fewer would tell nothing of a large set; a larger sketch folds to a smaller one by XOR.
 
 Nulls and edges: a null text, an empty one and one without words have an empty set, linked
 with nothing; with fewer words than a shingle the whole sequence is the one shingle; equal
@@ -41,7 +42,8 @@ from parley.llm.components import components
 _FACTORS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 _MIX, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-SKETCH_BITS = 1024
+#: Bits of the sketch of a small set, and of the largest ones.
+SKETCH_BITS, MOST_SKETCH_BITS = 1024, 1 << 16
 #: Members that one verification group holds next to its hub.
 GROUP = 128
 #: Members of a bucket that are compared across with as many others in one group.
@@ -151,11 +153,25 @@ def _signature(hashes: np.ndarray) -> tuple[int, int]:
 
 
 def _bits(hashes: np.ndarray) -> np.ndarray:
-    """The parity of the shingles at each of ``SKETCH_BITS`` places, in words of 64."""
-    places = np.bincount((hashes & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    """The parity of the shingles at each place of the sketch, in words of 64."""
+    size = min(max(SKETCH_BITS, 1 << max(0, len(hashes) - 1).bit_length()), MOST_SKETCH_BITS)
+    places = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(places.astype(np.uint8)).view(np.int64)
 
 
+def _folded_rows(bits: pa.ListArray) -> np.ndarray:
+    """Sketches of sets as rows, all folded to the size of the smallest."""
+    # numpy counts the bits of a signed number's absolute value
+    sizes, flat = bits.value_lengths().to_numpy(), bits.flatten().to_numpy().view(np.uint64)
+    starts, least = np.cumsum(sizes) - sizes, sizes.min()
+    out = np.empty((len(sizes), least), flat.dtype)
+    for size in np.unique(sizes):
+        which = np.flatnonzero(sizes == size)
+        rows = flat[starts[which][:, None] + np.arange(size)]
+        out[which] = np.bitwise_xor.reduce(rows.reshape(len(which), size // least, least), axis=1)
+    return out
+
+
 PRINT = "doc_id bigint, n bigint, s1 bigint, s2 bigint, bits array<bigint>, keys array<bigint>"
 _PRINT = pa.schema(
     [("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bits", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))]
@@ -191,8 +207,19 @@ def prints(docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(make, PRINT)
 
 
+def _folded(bits: Column, words: Column) -> Column:
+    """A sketch folded to so many words, if it has more."""
+
+    def word(place: Column) -> Column:
+        places = F.sequence(place, F.size(bits) - 1, words)
+        return F.aggregate(places, F.lit(0).cast("bigint"), lambda total, i: total.bitwiseXOR(F.get(bits, i)))
+
+    return F.when(F.size(bits) > words, F.transform(F.sequence(F.lit(0), words - 1), word)).otherwise(bits)
+
+
 def _distance(a: Column, b: Column) -> Column:
-    differing = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int"))
+    words = F.least(F.size(a), F.size(b))
+    differing = F.zip_with(_folded(a, words), _folded(b, words), lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int"))
     return F.aggregate(differing, F.lit(0), lambda total, x: total + x)
 
 
@@ -342,8 +369,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[np.n
     def columns() -> tuple[np.ndarray, ...]:
         whole = pa.Table.from_batches(held)
         flat = [whole.column(i).to_numpy() for i in range(keys, whole.num_columns - 1)]
-        bits = whole.column(whole.num_columns - 1).combine_chunks()
-        return (*flat, bits.flatten().to_numpy().reshape(len(bits), -1))
+        return (*flat, _folded_rows(whole.column(whole.num_columns - 1).combine_chunks()))
 
     for batch in batches:
         if not batch.num_rows:

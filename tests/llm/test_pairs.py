@@ -6,6 +6,7 @@ import re
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from parley.llm import covertree, jaccard, vectors
@@ -330,3 +331,42 @@ def test_shingles_remember_no_words():
         assert tracemalloc.get_traced_memory()[0] < 200_000
     finally:
         tracemalloc.stop()
+
+
+def test_sketches_tell_large_sets_apart(spark):
+    """Large sets with nothing in common need no look at their texts; sketches of two sizes compare."""
+    rng = np.random.default_rng(5)
+    other, large, above = (np.sort(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (4000, 4000, 1100))
+    # the last has 1000 of 1100 shingles and a sketch of half the size
+    rows = [(i, len(h), jaccard._bits(h).tolist()) for i, h in enumerate((large, other, above, above[:1000]))]
+    classes = spark.createDataFrame(rows, "rep bigint, n bigint, bits array<bigint>")
+    pairs = spark.createDataFrame([(1, 0), (3, 2), (2, 0)], "a bigint, b bigint")
+    assert [tuple(r) for r in jaccard._plausible(pairs, classes, 80, 100).collect()] == [(3, 2)]
+    assert [len(r[2]) for r in rows] == [64, 64, 32, 16]
+    folded = jaccard._folded_rows(pa.array([rows[2][2], rows[3][2]], pa.list_(pa.int64())))
+    assert folded.shape == (2, 16)
+    distance = int(np.bitwise_count(folded[0] ^ folded[1]).sum())
+    assert 0 < distance <= 100
+    a, b = (F.array(*map(F.lit, rows[i][2])) for i in (2, 3))
+    assert spark.range(1).select(jaccard._distance(a, b)).first()[0] == distance
+
+
+def test_no_link_is_lost_between_sketches_of_two_sizes(spark):
+    """Near copies of more and of fewer than 1024 shingles."""
+    rng = random.Random(9)
+    base = [[f"t{k}w{rng.randrange(10**9)}" for _ in range(1100)] for k in range(4)]
+    texts = [" ".join(words[: 1100 - cut]) for words in base for cut in (0, 40, 90, 150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs, words=5, part=80, whole=100).collect()}
+    assert found == {i: i // 4 * 4 for i in range(16)}
+
+
+def test_signs_of_sketches_lose_no_link(spark):
+    """A linked pair whose sketches differ in the highest bits is found across components."""
+    rest = 1024 * np.arange(1, 301, dtype=np.uint64) + np.uint64(5)
+    more = np.array([64 * word + place for word in range(16) for place in (1, 56)], np.uint64)
+    rows = [(i, len(h), jaccard._bits(h).tolist()) for i, h in enumerate((rest, np.sort(np.concatenate([rest, more]))))]
+    classes = spark.createDataFrame(rows, "rep bigint, n bigint, bits array<bigint>")
+    buckets = spark.createDataFrame([(0, [7], 2), (1, [7], 2)], "doc_id bigint, keys array<bigint>, weight bigint")
+    labels = spark.createDataFrame([(0, 0, 0), (1, 1, 1)], "doc_id bigint, rep bigint, label bigint")
+    assert [tuple(r) for r in jaccard._across(buckets, labels, classes, 80, 100).collect()] == [(1, 0)]
